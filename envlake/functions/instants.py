@@ -7,6 +7,9 @@ from pyspark.sql import Column, functions as F
 ZONED = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)$"
 DATE = r"^\d{4}-\d{2}-\d{2}$"
 
+# Range of instants that 64-bit nanoseconds can hold.
+INSTANT_RANGE = ("1677-09-21 00:12:43.145225Z", "2262-04-11 23:47:16.854775Z")
+
 # Month names and zone of the display text.
 DISPLAY_MONTHS = (
     "Jan", "Feb", "Mar", "Apr", "May", "Jun",
@@ -22,15 +25,9 @@ def parse_instant(text: Column) -> Column:
 
     Instants outside the range of 64-bit nanoseconds count as unreadable.
     """
-    # Only the colon-less offset needs rewriting before the cast.
-    normal = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    normal = F.when(text.rlike(r":\d{2}.*[+-]\d{4}$"), normal).otherwise(text)
-    instant = normal.try_cast("timestamp")
-    in_range = instant.between(
-        F.lit("1677-09-21 00:12:43.145225Z").cast("timestamp"),
-        F.lit("2262-04-11 23:47:16.854775Z").cast("timestamp"),
-    )
-    return F.when(text.rlike(ZONED) & in_range, instant)
+    instant = F.when(text.rlike(ZONED), text).try_cast("timestamp")
+    low, high = (F.lit(bound).cast("timestamp") for bound in INSTANT_RANGE)
+    return F.when(instant.between(low, high), instant)
 
 
 def nanosecond_remainder(text: Column) -> Column:
@@ -51,6 +48,14 @@ def iso_utc(instant: Column) -> Column:
     return F.concat(whole, F.when(fraction == ".000000", "").otherwise(fraction), F.lit("Z"))
 
 
+def canonical_utc(instant: Column, nanoseconds: Column) -> Column:
+    """One spelling per instant, nanoseconds included."""
+    nanos = F.when(nanoseconds != 0, F.lpad(nanoseconds.cast("string"), 3, "0")).otherwise("")
+    fraction = F.date_format(instant, ".SSSSSS")
+    shown = F.when((fraction == ".000000") & (nanos == ""), "").otherwise(F.concat(fraction, nanos))
+    return F.concat(F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss"), shown, F.lit("Z"))
+
+
 def compact_label(text: Column) -> Column:
     """Window label usable in a path: ISO text without dashes and colons."""
     return F.translate(text, "-:", "")

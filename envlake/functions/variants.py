@@ -70,22 +70,10 @@ def canonical_json(content: Column) -> Column:
     return F.to_json(F.try_parse_json(content))
 
 
-def rest_of(value: Column, *names: str) -> Column:
-    """Comparable text of an object without the named members.
-
-    Each member keeps its kind, so that 28 and 28.0 stay different.
-    """
-    members = F.map_filter(
-        F.try_variant_get(value, "$", "map<string,variant>"),
-        lambda name, _: ~name.isin(*names),
-    )
-    numeric_kind = r"DECIMAL\(\d+,\d+\)|DOUBLE|FLOAT"
-    return F.to_json(
-        F.transform_values(
-            members,
-            lambda _, item: F.struct(
-                item.alias("v"),
-                F.regexp_replace(kind(item), numeric_kind, "REAL").alias("k"),
-            ),
-        )
+def replaced(value: Column, members: dict[str, Column]) -> Column:
+    """Object with the named members set; all other members stay."""
+    kept = F.map_filter(
+        F.try_variant_get(value, "$", "map<string,variant>"), lambda name, _: ~name.isin(*members)
     )
+    pairs = (part for name, item in members.items() for part in (F.lit(name), item))
+    return F.to_variant_object(F.map_concat(kept, F.create_map(*pairs)))

@@ -365,7 +365,7 @@ def batch_rules() -> dict[str, Column]:
         "sensor_id": failed(F.col("sensor_id").between(1, MAX_ID)),
         "parameter": failed(F.col("parameter").rlike("^[a-zA-Z0-9_-]+$")),
         "returned": failed(F.col("returned") == F.col("records")),
-        "window": failed(ordered),
+        "window_order": failed(ordered),
     }
 
 

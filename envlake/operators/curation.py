@@ -16,12 +16,15 @@ from envlake.domain import (
     SOURCE,
 )
 from envlake.functions import instants, rules, text
+from envlake.functions.plans import compute_once
 from envlake.functions.rules import failed
 from envlake.sources.tables import require_columns
 
 IDENTIFIERS = ("location_id", "sensor_id", "parameter_id")
 NUMBERS = ("value", "latitude", "longitude")
 BOUNDARIES = ("datetime_from_utc", "datetime_to_utc")
+# Prefix of typed values beside their text.
+TYPED = "typed_"
 NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
@@ -35,8 +38,22 @@ def _number(value: Column) -> Column:
     return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
+def parse_text(rows: DataFrame) -> DataFrame:
+    """Text rows beside their typed values, each parsed once."""
+    require_columns(rows, set(REQUIRED_COLUMNS), "processed input")
+    present = set(rows.columns)
+    typed = {name: _identifier(F.col(name)) for name in IDENTIFIERS if name in present}
+    typed |= {name: _number(F.col(name)) for name in NUMBERS if name in present}
+    for name, nanos in zip(BOUNDARIES, NANO_COLUMNS, strict=True):
+        typed[name] = instants.parse_instant(F.col(name))
+        typed[nanos] = instants.nanosecond_remainder(F.col(name))
+    texts = {name: F.col(name) for name in rows.columns}
+    return compute_once(rows, texts | {f"{TYPED}{name}": value for name, value in typed.items()})
+
+
 def text_rules(columns: list[str]) -> dict[str, Column]:
-    """Contract of processed rows whose columns are all text."""
+    """Contract of processed text rows, over the columns of ``parse_text``."""
+    typed = {name: F.col(TYPED + name) for name in (*IDENTIFIERS, *NUMBERS, *BOUNDARIES)}
     checks = {
         "source": failed(F.col("source") == SOURCE),
         "parameter": failed(F.col("parameter").isin(*PARAMETERS)),
@@ -44,50 +61,45 @@ def text_rules(columns: list[str]) -> dict[str, Column]:
     }
     for name in IDENTIFIERS:
         if name in columns:
-            broken = failed(_identifier(F.col(name)).between(1, MAX_ID))
+            broken = failed(typed[name].between(1, MAX_ID))
             optional = name == "parameter_id"
             checks[name] = broken & F.col(name).isNotNull() if optional else broken
     for name in NUMBERS:
         if name in columns:
-            broken = failed(_number(F.col(name)).isNotNull())
+            broken = typed[name].isNull()
             checks[name] = broken if name == "value" else broken & F.col(name).isNotNull()
     for name in BOUNDARIES:
-        checks[name] = failed(instants.parse_instant(F.col(name)).isNotNull())
-
-    def boundary(name: str) -> Column:
-        value = F.col(name)
-        return F.struct(instants.parse_instant(value), instants.nanosecond_remainder(value))
-
-    checks["period"] = (
-        ~checks["datetime_from_utc"]
-        & ~checks["datetime_to_utc"]
-        & failed(boundary("datetime_to_utc") > boundary("datetime_from_utc"))
-    )
+        checks[name] = typed[name].isNull()
+    start, end = (F.struct(TYPED + b, TYPED + n) for b, n in zip(BOUNDARIES, NANO_COLUMNS, strict=True))
+    both = ~checks["datetime_from_utc"] & ~checks["datetime_to_utc"]
+    checks["period"] = both & failed(end > start)
     if "measurement_date_utc" in columns:
-        day = F.to_date(instants.parse_instant(F.col("datetime_to_utc")))
+        day = F.date_format(F.to_date(typed["datetime_to_utc"]), "yyyy-MM-dd")
         checks["measurement_date_utc"] = ~checks["datetime_to_utc"] & failed(
-            F.col("measurement_date_utc") == F.date_format(day, "yyyy-MM-dd")
+            F.col("measurement_date_utc") == day
         )
     return checks
 
 
 def text_violations(rows: DataFrame) -> DataFrame:
     """(rule, violations) over all rules, from one pass over the text rows."""
-    require_columns(rows, set(REQUIRED_COLUMNS), "processed input")
-    return rules.violation_report(rows, text_rules(rows.columns))
+    return rules.violation_report(parse_text(rows), text_rules(rows.columns))
 
 
-def restore_types(rows: DataFrame) -> DataFrame:
-    """Typed curated rows of text rows that passed the contract."""
-    present = set(rows.columns)
-    typed = {name: _identifier(F.col(name)) for name in IDENTIFIERS if name in present}
-    typed |= {name: _number(F.col(name)) for name in NUMBERS if name in present}
-    typed |= {name: instants.parse_instant(F.col(name)) for name in BOUNDARIES}
-    typed |= {
-        nanos: instants.nanosecond_remainder(F.col(name))
-        for nanos, name in zip(NANO_COLUMNS, BOUNDARIES, strict=True)
-    }
-    return curated_columns(rows.withColumns(typed))
+def clean_text_rows(rows: DataFrame) -> DataFrame:
+    """Typed curated rows of the text rows that keep the whole contract."""
+    parsed = parse_text(rows)
+    return restore_types(parsed.filter(rules.first_violation(text_rules(rows.columns)).isNull()))
+
+
+def restore_types(parsed: DataFrame) -> DataFrame:
+    """Typed curated rows of parsed text rows."""
+    names = [name for name in parsed.columns if not name.startswith(TYPED)]
+    typed = [name.removeprefix(TYPED) for name in parsed.columns if name.startswith(TYPED)]
+    plain = [F.col(name) for name in names if name not in typed]
+    return curated_columns(
+        parsed.select(*plain, *(F.col(TYPED + name).alias(name) for name in typed))
+    )
 
 
 def curated_columns(rows: DataFrame) -> DataFrame:
@@ -131,9 +143,9 @@ def curate(processed: DataFrame) -> DataFrame:
 
 def curate_text(rows: DataFrame) -> DataFrame:
     """Gate text rows and return them typed."""
-    require_columns(rows, set(REQUIRED_COLUMNS), "processed input")
-    rules.require_clean(rows, text_rules(rows.columns), "processed input")
-    typed = restore_types(rows)
+    parsed = parse_text(rows)
+    rules.require_clean(parsed, text_rules(rows.columns), "processed input")
+    typed = restore_types(parsed)
     rules.require_unique(typed, IDENTITY, "processed input")
     return typed
 

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from envlake.domain import NANO_COLUMNS, OBSERVATION_COLUMNS, PARAMETERS, SOURCE
 from envlake.functions import instants, text, variants
+from envlake.functions.plans import compute_once
 from envlake.functions.rules import failed
-from envlake.functions.variants import member
 
 # Rejection reasons in no particular order; the order in which
 # they are tested is the order of the rules in ``_reject_reason``.
@@ -27,17 +27,36 @@ NO_RECORDS = "no_records"
 MARKERS = (BROKEN_FILE, NO_RECORDS)
 
 
+# Members the model reads; everything else only takes part in the signature.
+MEMBERS_DDL = (
+    "value variant, parameter struct<id: variant, name: variant, units: variant>, "
+    "period struct<label: variant, interval: variant, "
+    "datetimeFrom: struct<utc: variant, local: variant>, "
+    "datetimeTo: struct<utc: variant, local: variant>>, coordinates variant"
+)
+BATCH_COLUMNS = (
+    "source_file",
+    "position",
+    "envelope_error",
+    "batch_location_id",
+    "batch_location_name",
+    "batch_sensor_id",
+    "batch_parameter",
+    "retrieval_datetime_from",
+    "retrieval_datetime_to",
+)
+
+
 def normalize(records: DataFrame) -> DataFrame:
     """Add the observation columns, the comparison signature and the reason.
 
     ``reject_reason`` is null for valid rows. Identity columns and payload are
     null on rejected rows, so they group together cheaply later on.
     """
-    inspected = _inspect(records)
-    reasoned = inspected.withColumn("reject_reason", _reject_reason())
+    reasoned = _read_members(records).withColumn("reject_reason", _reject_reason())
     valid = F.col("reject_reason").isNull()
     columns = _observation_columns()
-    return reasoned.select(
+    rows = reasoned.select(
         "reject_reason",
         "source_file",
         "position",
@@ -49,102 +68,95 @@ def normalize(records: DataFrame) -> DataFrame:
         ),
         F.when(valid, _signature()).alias("signature"),
     )
+    # A later filter on the reason must not repeat all of the parsing.
+    return compute_once(rows, {name: F.col(name) for name in rows.columns})
 
 
-def _inspect(records: DataFrame) -> DataFrame:
-    """Parse each record once and name the members every rule looks at."""
-    parsed = records.withColumn("rec", F.try_parse_json("record_text"))
-    retrieval, rec = F.col("retrieval"), F.col("rec")
-    members = parsed.withColumns(
-        {
-            "parameter_obj": member(rec, "$.parameter"),
-            "period_obj": member(rec, "$.period"),
-            "coordinates_obj": member(rec, "$.coordinates"),
-            "raw_value": member(rec, "$.value"),
-            "raw_parameter_id": member(rec, "$.parameter.id"),
-            "from_obj": member(rec, "$.period.datetimeFrom"),
-            "to_obj": member(rec, "$.period.datetimeTo"),
-            "raw_latitude": member(rec, "$.coordinates.latitude"),
-            "raw_longitude": member(rec, "$.coordinates.longitude"),
-            "batch_location_id": member(retrieval, "$.location_id"),
-            "batch_sensor_id": member(retrieval, "$.sensor_id"),
-            "batch_parameter": text.canonical_name(
-                variants.text_of(member(retrieval, "$.parameter"))
-            ),
-            "batch_location_name": variants.text_of(member(retrieval, "$.location_name")),
-        }
-    )
-    read = members.withColumns(
-        {
-            "name": text.canonical_name(variants.text_of(member(F.col("parameter_obj"), "$.name"))),
-            "unit_text": variants.text_of(member(F.col("parameter_obj"), "$.units")),
-            "from_text": variants.text_of(member(F.col("from_obj"), "$.utc")),
-            "to_text": variants.text_of(member(F.col("to_obj"), "$.utc")),
-            "number": variants.number_of(F.col("raw_value")),
-        }
-    )
-    return read.withColumns(
-        {
-            "from_instant": instants.parse_instant(F.col("from_text")),
-            "to_instant": instants.parse_instant(F.col("to_text")),
-            "from_nanos": instants.nanosecond_remainder(F.col("from_text")),
-            "to_nanos": instants.nanosecond_remainder(F.col("to_text")),
-        }
-    )
+def _read_members(records: DataFrame) -> DataFrame:
+    """Parse each record once into plain columns that the rules then combine.
+
+    Members are read as VARIANT leaves, which keep their JSON kind; a part that
+    should be an object but is not becomes null as a whole.
+    """
+    is_object = F.startswith("record_text", F.lit("{"))
+    parsed = records.withColumn("r", F.when(is_object, F.from_json("record_text", MEMBERS_DDL)))
+
+    def text_at(path: str) -> Column:
+        return variants.text_of(F.col(path))
+
+    def is_optional_text(path: str) -> Column:
+        return F.coalesce(variants.kind(F.col(path)).isin("VOID", "STRING"), F.lit(True))
+
+    def is_optional_number(value: Column) -> Column:
+        return variants.is_missing(value) | variants.is_number(value)
+
+    coordinates = F.col("r.coordinates")
+    latitude = variants.member(coordinates, "$.latitude")
+    longitude = variants.member(coordinates, "$.longitude")
+    parameter_id = F.col("r.parameter.id")
+    start, end = "r.period.datetimeFrom", "r.period.datetimeTo"
+    columns = {
+        **{name: F.col(name) for name in BATCH_COLUMNS},
+        "record_text": F.col("record_text"),
+        "has_record": F.col("r").isNotNull(),
+        "has_parameter": F.col("r.parameter").isNotNull(),
+        "has_period": F.col("r.period").isNotNull(),
+        "coordinates_ok": variants.is_missing(coordinates) | variants.is_object(coordinates),
+        "name_text": text_at("r.parameter.name"),
+        "unit": text_at("r.parameter.units"),
+        "parameter_id": F.when(
+            variants.is_identifier(parameter_id), variants.integer_of(parameter_id)
+        ),
+        "parameter_id_missing": variants.is_missing(parameter_id),
+        "raw_value": F.col("r.value"),
+        "number": variants.number_of(F.col("r.value")),
+        "label": text_at("r.period.label"),
+        "interval": text_at("r.period.interval"),
+        "labels_ok": is_optional_text("r.period.label") & is_optional_text("r.period.interval"),
+        "from_text": text_at(f"{start}.utc"),
+        "to_text": text_at(f"{end}.utc"),
+        "from_local": text_at(f"{start}.local"),
+        "to_local": text_at(f"{end}.local"),
+        "from_local_ok": is_optional_text(f"{start}.local"),
+        "to_local_ok": is_optional_text(f"{end}.local"),
+        "latitude": variants.number_of(latitude),
+        "longitude": variants.number_of(longitude),
+        "position_ok": is_optional_number(latitude) & is_optional_number(longitude),
+    }
+    read = parsed.select(*(column.alias(name) for name, column in columns.items()))
+    derived = {
+        "name": text.canonical_name(F.col("name_text")),
+        "from_instant": instants.parse_instant(F.col("from_text")),
+        "to_instant": instants.parse_instant(F.col("to_text")),
+        "from_nanos": instants.nanosecond_remainder(F.col("from_text")),
+        "to_nanos": instants.nanosecond_remainder(F.col("to_text")),
+    }
+    return read.withColumns(derived)
 
 
 def _reject_reason() -> Column:
     """First failing rule; every rule is null-safe."""
-
-    def optional_text(obj: str, name: str) -> Column:
-        value = member(F.col(obj), f"$.{name}")
-        return variants.is_missing(value) | variants.is_text(value)
-
-    def optional_number(name: str) -> Column:
-        return variants.is_missing(F.col(name)) | variants.is_number(F.col(name))
-
-    def boundary_ok(obj: str, instant: str) -> Column:
-        return (
-            variants.is_object(F.col(obj))
-            & F.col(instant).isNotNull()
-            & optional_text(obj, "local")
-        )
-
+    col = F.col
     start = F.struct("from_instant", "from_nanos")
     end = F.struct("to_instant", "to_nanos")
-    coordinates = F.col("coordinates_obj")
     rules = [
-        (MISSING_FIELD, variants.is_object(F.col("rec"))),
-        (
-            BAD_IDENTIFIER,
-            variants.is_identifier(F.col("batch_location_id"))
-            & variants.is_identifier(F.col("batch_sensor_id")),
-        ),
-        (
-            MISSING_FIELD,
-            variants.is_object(F.col("parameter_obj")) & variants.is_object(F.col("period_obj")),
-        ),
-        (BAD_PARAMETER, F.col("name").isin(*PARAMETERS)),
-        (MISMATCH, F.col("name") == F.col("batch_parameter")),
-        (
-            BAD_IDENTIFIER,
-            variants.is_missing(F.col("raw_parameter_id"))
-            | variants.is_identifier(F.col("raw_parameter_id")),
-        ),
-        (MISSING_UNIT, ~text.is_blank(F.col("unit_text"))),
-        (BAD_VALUE, F.col("number").isNotNull()),
-        (BAD_TIMESTAMP, boundary_ok("from_obj", "from_instant")),
-        (BAD_TIMESTAMP, boundary_ok("to_obj", "to_instant")),
+        (MISSING_FIELD, col("has_record")),
+        (BAD_IDENTIFIER, col("batch_location_id").isNotNull() & col("batch_sensor_id").isNotNull()),
+        (MISSING_FIELD, col("has_parameter") & col("has_period")),
+        (BAD_PARAMETER, col("name").isin(*PARAMETERS)),
+        (MISMATCH, col("name") == col("batch_parameter")),
+        (BAD_IDENTIFIER, col("parameter_id_missing") | col("parameter_id").isNotNull()),
+        (MISSING_UNIT, ~text.is_blank(col("unit"))),
+        (BAD_VALUE, col("number").isNotNull()),
+        (BAD_TIMESTAMP, col("from_instant").isNotNull() & col("from_local_ok")),
+        (BAD_TIMESTAMP, col("to_instant").isNotNull() & col("to_local_ok")),
         (BAD_PERIOD, end > start),
-        (MISSING_FIELD, variants.is_missing(coordinates) | variants.is_object(coordinates)),
-        (BAD_VALUE, optional_number("raw_latitude") & optional_number("raw_longitude")),
-        (
-            MISSING_FIELD,
-            optional_text("period_obj", "label") & optional_text("period_obj", "interval"),
-        ),
+        (MISSING_FIELD, col("coordinates_ok")),
+        (BAD_VALUE, col("position_ok")),
+        (MISSING_FIELD, col("labels_ok")),
     ]
-    reason = F.when(F.col("envelope_error").isNotNull(), BROKEN_FILE).when(
-        F.col("position").isNull(), NO_RECORDS
+    reason = F.when(col("envelope_error").isNotNull(), BROKEN_FILE).when(
+        col("position").isNull(), NO_RECORDS
     )
     for name, ok in rules:
         reason = reason.when(failed(ok), name)
@@ -152,31 +164,28 @@ def _reject_reason() -> Column:
 
 
 def _observation_columns() -> dict[str, Column]:
-    def period_text(path: str) -> Column:
-        return variants.text_of(member(F.col("period_obj"), path))
-
-    return {
-        "source": F.lit(SOURCE),
-        "location_id": variants.integer_of(F.col("batch_location_id")),
-        "location_name": F.col("batch_location_name"),
-        "sensor_id": variants.integer_of(F.col("batch_sensor_id")),
-        "parameter": F.col("name"),
-        "parameter_id": variants.integer_of(F.col("raw_parameter_id")),
-        "unit": F.col("unit_text"),
-        "value": F.col("number"),
-        "period_label": period_text("$.label"),
-        "period_interval": period_text("$.interval"),
-        "datetime_from_utc": F.col("from_instant"),
-        "datetime_to_utc": F.col("to_instant"),
-        "datetime_from_local": period_text("$.datetimeFrom.local"),
-        "datetime_to_local": period_text("$.datetimeTo.local"),
-        "latitude": variants.number_of(F.col("raw_latitude")),
-        "longitude": variants.number_of(F.col("raw_longitude")),
-        "retrieval_datetime_from": F.col("retrieval_datetime_from"),
-        "retrieval_datetime_to": F.col("retrieval_datetime_to"),
-        "datetime_from_ns": F.col("from_nanos"),
-        "datetime_to_ns": F.col("to_nanos"),
+    sources = {
+        "location_id": "batch_location_id",
+        "location_name": "batch_location_name",
+        "sensor_id": "batch_sensor_id",
+        "parameter": "name",
+        "parameter_id": "parameter_id",
+        "unit": "unit",
+        "value": "number",
+        "period_label": "label",
+        "period_interval": "interval",
+        "datetime_from_utc": "from_instant",
+        "datetime_to_utc": "to_instant",
+        "datetime_from_local": "from_local",
+        "datetime_to_local": "to_local",
+        "latitude": "latitude",
+        "longitude": "longitude",
+        "retrieval_datetime_from": "retrieval_datetime_from",
+        "retrieval_datetime_to": "retrieval_datetime_to",
+        "datetime_from_ns": "from_nanos",
+        "datetime_to_ns": "to_nanos",
     }
+    return {"source": F.lit(SOURCE), **{name: F.col(column) for name, column in sources.items()}}
 
 
 def _signature() -> Column:
@@ -184,28 +193,46 @@ def _signature() -> Column:
 
     Two records with the same digest are the same measurement; provenance of
     the batch takes no part. Members this model does not know do take part.
+    VARIANT text has sorted keys and plain numbers, so a record that is spelled
+    canonically already is digested as it stands; others are respelled first.
     """
-    # -0.0 and 0 are equal; integers beyond exact doubles compare digit by digit.
-    number = F.col("number") + F.lit(0.0)
-    large = F.when(
-        F.abs(number) >= F.lit(float(2**53)),
-        F.try_variant_get("raw_value", "$", "decimal(38,0)").cast("string"),
+    record = F.try_parse_json("record_text")
+    start = instants.canonical_utc(F.col("from_instant"), F.col("from_nanos"))
+    end = instants.canonical_utc(F.col("to_instant"), F.col("to_nanos"))
+    plain_number = variants.kind(F.col("raw_value")).rlike("^(BIGINT|DECIMAL)")
+    canonical = (
+        (F.col("name_text") == F.col("name"))
+        & (F.col("from_text") == start)
+        & (F.col("to_text") == end)
+        & plain_number
     )
-    return F.sha2(
-        F.to_json(
-            F.struct(
-                variants.rest_of(F.col("rec"), "parameter", "period", "value").alias("record"),
-                variants.rest_of(F.col("parameter_obj"), "name").alias("parameter"),
-                variants.rest_of(F.col("period_obj"), "datetimeFrom", "datetimeTo").alias("period"),
-                variants.rest_of(F.col("from_obj"), "utc").alias("start"),
-                variants.rest_of(F.col("to_obj"), "utc").alias("end"),
-                F.col("name"),
-                F.col("from_instant"),
-                F.col("from_nanos"),
-                F.col("to_instant"),
-                F.col("to_nanos"),
-                F.coalesce(large, number.cast("string")).alias("value"),
-            )
-        ),
-        256,
+    number = F.col("number")
+    whole = (number == F.floor(number)) & (F.abs(number) < F.lit(1e38))
+    value = (
+        F.when(plain_number, F.col("raw_value"))
+        .when(whole, number.cast("decimal(38,0)").cast("variant"))
+        .otherwise(F.col("raw_value"))
+    )
+
+    def boundary(name: str, utc: Column) -> Column:
+        return variants.replaced(
+            variants.member(record, f"$.period.{name}"), {"utc": utc.cast("variant")}
+        )
+
+    respelled = variants.replaced(
+        record,
+        {
+            "value": value,
+            "parameter": variants.replaced(
+                variants.member(record, "$.parameter"), {"name": F.col("name").cast("variant")}
+            ),
+            "period": variants.replaced(
+                variants.member(record, "$.period"),
+                {
+                    "datetimeFrom": boundary("datetimeFrom", start),
+                    "datetimeTo": boundary("datetimeTo", end),
+                },
+            ),
+        },
     )
+    return F.sha2(F.when(canonical, record.cast("string")).otherwise(respelled.cast("string")), 256)

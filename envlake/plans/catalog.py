@@ -300,9 +300,7 @@ def curation_violations(t: DriverTables) -> DataFrame:
 
 @query
 def curated_rows(t: DriverTables) -> DataFrame:
-    rows = t.text_rows()
-    clean = rows.filter(rules.first_violation(curation.text_rules(rows.columns)).isNull())
-    return curation.restore_types(clean)
+    return curation.clean_text_rows(t.text_rows())
 
 
 @query

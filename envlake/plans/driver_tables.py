@@ -454,7 +454,7 @@ class DriverTables:
             F.lit("measurements").alias("resource"),
             "run_id",
             "page",
-            ~((run % 19 == 0) & (page == 3)).alias("results_ok"),
+            (~((run % 19 == 0) & (page == 3))).alias("results_ok"),
             F.when((run % 23 == 0) & (page == 2), "7").otherwise(page.cast("string")).alias("meta_page"),
             F.when((run % 29 == 0) & (page == 4), "500").otherwise("1000").alias("meta_limit"),
             F.when(run % 3 != 0, F.when((run % 31 == 0) & (page == 3), "1").otherwise(total.cast("string")))

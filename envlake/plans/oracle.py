@@ -6,6 +6,9 @@ reasons, for example, are a CASE over ``event_id`` and never touch JSON.
 
 from __future__ import annotations
 
+from envlake.operators import routing
+from envlake.plans.driver_tables import REQUESTS
+
 TS = "'%Y-%m-%d %H:%M:%S.%f'"
 DAY = "'%Y-%m-%d'"
 
@@ -796,36 +799,41 @@ SQL["batch_violations"] = _rule_counts(
         "sensor_id": "o_orderkey % 29 = 0",
         "parameter": "o_orderkey % 23 = 0",
         "returned": "o_orderkey % 17 = 0",
-        "window": "o_orderkey % 19 = 0",
+        "window_order": "o_orderkey % 19 = 0",
     },
 )
 
-# Request number, and the location whose name comes first among those contained.
-_QUESTIONS = """q AS (SELECT conv_id * 1000 + turn AS question_id, conv_id, (conv_id * 3 + turn) % 8 AS request,
-        CASE WHEN conv_id % 3 <> 0 THEN 'nation_' || (conv_id % 40) ELSE '' END AS place
+# Request number, whole text, and the location whose name comes first among those contained.
+_REQUEST_LIST = ", ".join("'" + text.replace("'", "''") + "'" for text in REQUESTS)
+_QUESTIONS = f"""raw AS (SELECT conv_id * 1000 + turn AS question_id, text || ' '
+        || [{_REQUEST_LIST}][(conv_id * 3 + turn) % {len(REQUESTS)} + 1]
+        || CASE WHEN conv_id % 3 <> 0 THEN ' at Nation_' || (conv_id % 40) ELSE '' END AS asked
         FROM conversations WHERE role = 'user'),
-    named AS (SELECT question_id, min({'location_name': location_name, 'location_id': location_id}) AS p
-        FROM q JOIN loc ON place <> '' AND contains(place, lower(location_name)) GROUP BY question_id)"""
-# (summary, locations, comparison, health, trends, weather, parameters) per request.
-_INTENTS = """intents AS (SELECT * FROM (VALUES
-        (0, 1, 0, 0, 0, 0, 0, ''), (1, 1, 1, 1, 0, 0, 0, 'pm10'), (2, 0, 0, 0, 0, 1, 0, 'pm25'),
-        (3, 1, 0, 0, 1, 0, 0, ''), (4, 0, 1, 1, 0, 0, 0, 'pm25,pm10'), (5, 0, 0, 0, 0, 1, 1, 'pm10'),
-        (6, 0, 1, 0, 0, 0, 0, ''), (7, 0, 0, 0, 0, 0, 0, ''))
-        AS v(request, needs_summary, needs_locations, needs_comparison, needs_health, needs_trends, needs_weather, parameters))"""
-SQL["question_intents"] = _with(
-    "loc",
-    f""", {_QUESTIONS}, {_INTENTS} SELECT question_id, needs_summary, needs_locations, needs_comparison, needs_health,
-    needs_trends, needs_weather, parameters FROM q JOIN intents USING (request)""",
-)
+    q AS (SELECT question_id, replace(lower(asked), 'ß', 'ss') AS asked FROM raw),
+    named AS (SELECT question_id, min({{'location_name': location_name, 'location_id': location_id}}) AS p
+        FROM q JOIN loc ON contains(asked, lower(location_name)) GROUP BY question_id)"""
+
+
+def _intents() -> str:
+    flags = []
+    for name, terms in routing.INTENTS.items():
+        hit = " OR ".join(f"contains(asked, '{term}')" for term in terms)
+        flags.append(f"({hit})::BIGINT AS {name}")
+    squeezed = "regexp_replace(asked, '[.\\s]', '', 'g')"
+    names = ", ".join(f"CASE WHEN contains({squeezed}, '{p}') THEN '{p}' END" for p in ("pm25", "pm10"))
+    return f"intents AS (SELECT question_id, {', '.join(flags)}, concat_ws(',', {names}) AS parameters FROM q)"
+
+
+SQL["question_intents"] = _with("loc", f", {_QUESTIONS}, {_intents()} SELECT * FROM intents")
 SQL["question_locations"] = _with(
     "loc",
     f", {_QUESTIONS} SELECT question_id, p.location_id AS location_id, p.location_name AS location_name FROM named",
 )
 SQL["question_plan"] = _with(
     "loc",
-    f""", {_QUESTIONS}, {_INTENTS}, w AS (SELECT q.question_id, i.*, n.p.location_id AS place_id,
-        (needs_trends = 1 OR needs_weather = 1) AS series_intent FROM q JOIN intents i USING (request)
-        LEFT JOIN named n ON n.question_id = q.question_id),
+    f""", {_QUESTIONS}, {_intents()}, w AS (SELECT i.*, n.p.location_id AS place_id,
+        (needs_trends = 1 OR needs_weather = 1) AS series_intent FROM intents i
+        LEFT JOIN named n ON n.question_id = i.question_id),
     x AS (SELECT *, series_intent AND parameters <> '' AND place_id IS NOT NULL AS s FROM w)
     SELECT question_id, needs_health AS uses_data_health, needs_summary * (1 - needs_health) AS uses_summary,
     ((needs_locations = 1 AND needs_comparison = 0) OR series_intent)::INT AS uses_catalogue,
@@ -853,7 +861,7 @@ _STAGES = (
     "['validate_run_config','acquire_air_quality','process_air_quality','build_curated_air_quality',"
     "'enrich_air_quality_weather','load_postgres_warehouse','build_dbt_analytics']"
 )
-_AUDIT_EVENTS = f""", e AS (SELECT 'run-' || user_id AS run_id, event_id AS seq, ts AS at, k, location_id,
+_AUDIT_EVENTS = f""", e AS (SELECT 'run-' || user_id AS run_id, event_id AS seq, ts AS happened, k, location_id,
         CASE event_type WHEN 'signup' THEN 'start' WHEN 'view' THEN 'stage' WHEN 'click' THEN 'count'
             WHEN 'purchase' THEN 'succeed' ELSE 'fail' END AS kind, {_STAGES}[k % 7 + 1] AS any_stage FROM ev)"""
 # Whole-run windows: the state before an event is the last stage and what ended it.
@@ -880,7 +888,7 @@ _AUDIT = (
             FILTER (WHERE segment = last_segment), 'running') AS status,
         coalesce(max(stage) FILTER (WHERE seq = last_segment), 'validate_run_config') AS current_stage,
         arg_max({'s': stage}, seq) FILTER (WHERE segment = last_segment AND kind = 'fail') AS last_fail,
-        max(at) FILTER (WHERE seq = born) AS started, max(at) FILTER (WHERE segment = last_segment AND seq = end_seq) AS finished,
+        max(happened) FILTER (WHERE seq = born) AS started, max(happened) FILTER (WHERE segment = last_segment AND seq = end_seq) AS finished,
         arg_max({'n': CASE WHEN kind = 'count' THEN k END}, seq) FILTER (WHERE counts OR forgets) AS loaded,
         count(*) FILTER (WHERE refused) AS refused FROM x GROUP BY run_id),
     early AS (SELECT run_id, count(*) AS n FROM a WHERE seq < born AND kind <> 'start' GROUP BY run_id) """

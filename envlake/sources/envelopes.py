@@ -72,13 +72,30 @@ def parse_envelopes(files: DataFrame) -> DataFrame:
     return parsed.select(
         "path",
         error.alias("envelope_error"),
-        "retrieval",
+        *(column.alias(name) for name, column in _batch_columns().items()),
         start.alias("retrieval_datetime_from"),
         end.alias("retrieval_datetime_to"),
         "measurements",
     )
 
 
+def _batch_columns() -> dict[str, Column]:
+    """Provenance that every record of the batch shares, read once per envelope."""
+
+    def part(name: str) -> Column:
+        return variants.member(F.col("retrieval"), f"$.{name}")
+
+    def identifier(name: str) -> Column:
+        return F.when(variants.is_identifier(part(name)), variants.integer_of(part(name)))
+
+    return {
+        "batch_location_id": identifier("location_id"),
+        "batch_location_name": variants.text_of(part("location_name")),
+        "batch_sensor_id": identifier("sensor_id"),
+        "batch_parameter": text.canonical_name(variants.text_of(part("parameter"))),
+    }
+
+
 def _contract(start: Column, end: Column) -> Column:
     retrieval = F.col("retrieval")
 
@@ -138,7 +155,7 @@ def split_records(envelopes: DataFrame) -> DataFrame:
     return envelopes.select(
         F.col("path").alias("source_file"),
         "envelope_error",
-        "retrieval",
+        *_batch_columns(),
         "retrieval_datetime_from",
         "retrieval_datetime_to",
         F.posexplode_outer(usable).alias("position", "record_text"),

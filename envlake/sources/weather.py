@@ -13,6 +13,7 @@ from envlake.domain import (
     WEATHER_ZONES,
 )
 from envlake.functions import rules, variants
+from envlake.functions.plans import compute_once
 from envlake.operators.geography import in_bounds
 
 WEATHER_SUBDIR = "open_meteo/hourly"
@@ -41,18 +42,21 @@ def parse_weather(files: DataFrame) -> DataFrame:
         value = variants.member(response, f"$.hourly.{name}")
         return F.when(variants.is_array(value), F.try_variant_get(value, "$", "array<variant>"))
 
-    return document.select(
-        "path",
-        F.col("d").alias("document"),
-        response.alias("response"),
-        variants.integer_of(variants.member(request, "$.location_id")).alias("location_id"),
-        variants.text_of(variants.member(request, "$.start_date")).alias("start_date"),
-        variants.text_of(variants.member(request, "$.end_date")).alias("end_date"),
-        variants.number_of(variants.member(request, "$.latitude")).alias("weather_latitude"),
-        variants.number_of(variants.member(request, "$.longitude")).alias("weather_longitude"),
-        series("time").alias("time"),
-        *(series(name).alias(name) for name in WEATHER_VARIABLES),
-    )
+    columns = {
+        "path": F.col("path"),
+        "document": F.col("d"),
+        "response": response,
+        "location_id": variants.integer_of(variants.member(request, "$.location_id")),
+        "start_date": variants.text_of(variants.member(request, "$.start_date")),
+        "end_date": variants.text_of(variants.member(request, "$.end_date")),
+        "weather_latitude": variants.number_of(variants.member(request, "$.latitude")),
+        "weather_longitude": variants.number_of(variants.member(request, "$.longitude")),
+        "time": series("time"),
+        **{name: series(name) for name in WEATHER_VARIABLES},
+    }
+    parsed = compute_once(document, columns)
+    everything = {name: F.col(name) for name in parsed.columns}
+    return compute_once(parsed, everything | {"hours": F.transform("time", hour_of)})
 
 
 def hour_of(value: Column) -> Column:
@@ -85,7 +89,7 @@ def weather_rules() -> dict[str, Column]:
         units_match = units_match & F.coalesce(
             variants.text_of(part(f"$.hourly_units.{name}")) == unit, F.lit(False)
         )
-    hours = F.transform("time", hour_of)
+    hours = F.col("hours")
     day = lambda hour: F.date_format(hour, "yyyy-MM-dd")
     hours_in_window = F.forall(
         hours, lambda hour: hour.isNotNull() & day(hour).between(F.col("start_date"), F.col("end_date"))
@@ -141,13 +145,13 @@ def _bad_values(name: str, low: float | None = None, high: float | None = None)
 
 def weather_hours(weather: DataFrame) -> DataFrame:
     """One row per location and hour with the four metrics."""
-    zipped = F.arrays_zip("time", *WEATHER_VARIABLES)
+    zipped = F.arrays_zip("hours", *WEATHER_VARIABLES)
     rows = weather.select(
         "location_id", "weather_latitude", "weather_longitude", F.explode(zipped).alias("h")
     )
     return rows.select(
         "location_id",
-        hour_of(F.col("h.time")).alias("weather_hour_utc"),
+        F.col("h.hours").alias("weather_hour_utc"),
         *(
             variants.number_of(F.col(f"h.{name}")).alias(metric)
             for name, metric in zip(WEATHER_VARIABLES, WEATHER_METRICS, strict=True)
