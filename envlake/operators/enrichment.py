@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from envlake.domain import (
     IDENTITY,
-    KEY,
     PARAMETERS,
     WEATHER_COLUMNS,
     WEATHER_METRICS,
@@ -126,10 +125,3 @@ def enrichment_manifest(enriched: DataFrame, hours: DataFrame) -> DataFrame:
     )
     available = available_hours(hours).agg(F.count(F.lit(1)).alias("c"))
     return totals.withColumn("weather_rows_available", available.scalar())
-
-
-def check_join_kept_rows(before: DataFrame, after: DataFrame) -> None:
-    """The join must keep the number of rows and the identities."""
-    if before.count() != after.count():
-        raise InputError("enrichment changed the number of observations")
-    rules.require_unique(after, KEY, "enriched output")

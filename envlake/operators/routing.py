@@ -100,29 +100,22 @@ def mentioned_locations(questions: DataFrame, locations: DataFrame) -> DataFrame
         .groupBy("anchor")
         .agg(F.collect_set("length").alias("lengths"))
     )
+    # Only as much text as the longest name needs travels with each position.
+    longest = names.agg(F.coalesce(F.max("length"), F.lit(0)).alias("n")).scalar()
     asked = questions.select("question_id", folded(F.col("text")).alias("_q")).filter("_q <> ''")
     starts = asked.select(
         "question_id", "_q", F.explode(F.sequence(F.lit(1), F.length("_q"))).alias("at")
-    )
+    ).select("question_id", F.substring(F.col("_q"), F.col("at"), longest).alias("ahead"))
     sizes = F.array(*(F.lit(n) for n in range(1, ANCHOR + 1)))
+    heads = F.transform(sizes, lambda n: F.substring(F.col("ahead"), F.lit(1), n))
     pieces = starts.select(
-        "question_id",
-        F.explode(
-            F.array_distinct(
-                F.transform(sizes, lambda n: F.substring(F.col("_q"), F.col("at"), n))
-            )
-        ).alias("anchor"),
-        "at",
-        "_q",
+        "question_id", "ahead", F.explode(F.array_distinct(heads)).alias("anchor")
     )
     candidates = pieces.join(openings, "anchor").select(
-        "question_id",
-        F.explode("lengths").alias("length"),
-        "at",
-        "_q",
+        "question_id", "ahead", F.explode("lengths").alias("length")
     )
     needles = candidates.select(
-        "question_id", F.substring(F.col("_q"), F.col("at"), F.col("length")).alias("needle")
+        "question_id", F.substring(F.col("ahead"), F.lit(1), F.col("length")).alias("needle")
     ).distinct()
     matched = needles.join(first_named, "needle")
     return (

@@ -8,11 +8,11 @@ from envlake.plans.driver_tables import DriverTables
 from envlake.session import workspace
 from envlake.streaming.incremental import IncrementalBuild, read_registered
 
-MICRO_BATCHES = 3
+MICRO_BATCHES = 2
 
 
 def replay_daily_mart(t: DriverTables) -> DataFrame:
-    """Land all envelopes in three arrival groups, stream them, return the mart."""
+    """Land all envelopes in arrival groups, stream them, return the mart."""
     folder = workspace(t.spark, "replay")
     landed = f"{folder}/landed"
     arrival = F.pmod(F.xxhash64("path"), F.lit(MICRO_BATCHES))

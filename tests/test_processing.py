@@ -76,13 +76,14 @@ def test_records_that_are_no_objects(spark):
     assert report.final_processed_row_count == 1
 
 
-@pytest.mark.parametrize("identifier", [0, -1, True, "101", None, 1.0])
-def test_batch_identifiers(spark, identifier):
-    body = envelope([measurement()])
-    body["retrieval"]["location_id"] = identifier
-    files = spark.createDataFrame([("p", json.dumps(body))], "path string, content string")
+def test_batch_identifiers(spark):
+    bodies = []
+    for identifier in (0, -1, True, "101", None, 1.0):
+        bodies.append(envelope([measurement()]))
+        bodies[-1]["retrieval"]["location_id"] = identifier
+    files = spark.createDataFrame([("p", json.dumps(b)) for b in bodies], "path string, content string")
     rows = normalize(envelopes.split_records(envelopes.parse_envelopes(files)))
-    assert [r.reject_reason for r in rows.collect()] == ["invalid_identifier"]
+    assert [r.reject_reason for r in rows.collect()] == ["invalid_identifier"] * len(bodies)
 
 
 def test_report_and_first_copy(spark, tmp_path):
@@ -126,12 +127,17 @@ DIFFERENT = [
 ]
 
 
-@pytest.mark.parametrize("change", SAME)
-def test_equal_spellings_collapse(spark, change):
-    bodies = [envelope([measurement()]), envelope([measurement(**change)], start="2026-09-02")]
-    rows = collapse_bodies(spark, bodies)
+def pairs(changes):
+    """Per change, an original and a changed copy under one sensor."""
+    for sensor, change in enumerate(changes, 1):
+        yield envelope([measurement()], sensor_id=sensor)
+        yield envelope([measurement(**change)], sensor_id=sensor, start="2026-09-02")
+
+
+def test_equal_spellings_collapse(spark):
+    rows = collapse_bodies(spark, list(pairs(SAME)))
     assert dedup.conflicts(rows).count() == 0
-    assert dedup.processed_rows(rows).count() == 1
+    assert dedup.processed_rows(rows).count() == len(SAME)
 
 
 def test_whole_numbers_compare_by_value(spark):
@@ -143,11 +149,11 @@ def test_whole_numbers_compare_by_value(spark):
     assert dedup.conflicts(rows).count() == 0
 
 
-@pytest.mark.parametrize("change", DIFFERENT)
-def test_changed_content_conflicts(spark, change):
-    bodies = [envelope([measurement()]), envelope([measurement(**change)], start="2026-09-02")]
+def test_changed_content_conflicts(spark):
+    rows = collapse_bodies(spark, list(pairs(DIFFERENT)))
+    assert dedup.conflicts(rows).count() == len(DIFFERENT)
     with pytest.raises(ConflictError, match="location=101, sensor=1"):
-        dedup.require_publishable(collapse_bodies(spark, bodies))
+        dedup.require_publishable(rows)
 
 
 def test_nanoseconds_are_identity(spark):
@@ -176,40 +182,39 @@ def test_broken_file_is_named(spark, tmp_path, content):
     assert BROKEN[content] in str(error.value)
 
 
-@pytest.mark.parametrize(
-    "change",
-    [
-        {"schema_version": 1.0},
-        {"schema_version": "1"},
-        {"source": "other"},
-        {"source_meta": []},
-        {"source_pages": [1]},
-        {"measurements": {}},
-    ],
-)
-def test_envelope_contract(spark, change):
-    body = envelope([measurement()]) | change
-    files = spark.createDataFrame([("p", json.dumps(body))], "path string, content string")
-    assert envelopes.first_envelope_error(envelopes.parse_envelopes(files)).first().broken_files == 1
-
-
-@pytest.mark.parametrize(
-    "change",
-    [
-        {"returned": 2},
-        {"complete": False},
-        {"complete": 1},
-        {"parameter": " "},
-        {"datetime_from": "2026-09-03"},
-        {"datetime_to": "2026-09-03T00:00:00Z"},
-        {"datetime_from": "2026-09-01T00:00:00", "datetime_to": "2026-09-02T00:00:00"},
-        {"location_name": 5},
-    ],
-)
-def test_retrieval_contract(spark, change):
-    body = envelope([measurement()], **change)
-    files = spark.createDataFrame([("p", json.dumps(body))], "path string, content string")
-    assert envelopes.first_envelope_error(envelopes.parse_envelopes(files)).first().broken_files == 1
+BODY_FAULTS = [
+    {"schema_version": 1.0},
+    {"schema_version": "1"},
+    {"source": "other"},
+    {"source_meta": []},
+    {"source_pages": [1]},
+    {"measurements": {}},
+]
+RETRIEVAL_FAULTS = [
+    {"returned": 2},
+    {"complete": False},
+    {"complete": 1},
+    {"parameter": " "},
+    {"datetime_from": "2026-09-03"},
+    {"datetime_to": "2026-09-03T00:00:00Z"},
+    {"datetime_from": "2026-09-01T00:00:00", "datetime_to": "2026-09-02T00:00:00"},
+    {"location_name": 5},
+]
+
+
+def test_envelope_contract(spark):
+    bodies = [envelope([measurement()])]
+    bodies += [envelope([measurement()]) | change for change in BODY_FAULTS]
+    bodies += [envelope([measurement()], **change) for change in RETRIEVAL_FAULTS]
+    for name in ("location_id", "sensor_id", "datetime_from", "parameter"):
+        bodies.append(envelope([measurement()]))
+        del bodies[-1]["retrieval"][name]
+    files = spark.createDataFrame(
+        [(str(i), json.dumps(b)) for i, b in enumerate(bodies)], "path string, content string"
+    )
+    parsed = envelopes.parse_envelopes(files)
+    assert [r.path for r in parsed.filter("envelope_error IS NULL").collect()] == ["0"]
+    assert envelopes.first_envelope_error(parsed).first().broken_files == len(bodies) - 1
 
 
 def test_missing_root(spark, tmp_path):
