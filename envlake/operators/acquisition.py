@@ -95,10 +95,16 @@ def normalize_windows(requests: DataFrame) -> DataFrame:
     Input: run_mode, date_from, date_to, checkpoint, datetime_to, location_id.
     ``window_error`` is null for requests that may run.
     """
+    read = requests.withColumns(
+        {
+            "_first_day": instants.parse_date(F.col("date_from")),
+            "_last_day": instants.parse_date(F.col("date_to")),
+            "_start": instants.parse_instant(_with_t(F.col("checkpoint"))),
+            "_end": instants.parse_instant(_with_t(F.col("datetime_to"))),
+        }
+    )
+    first_day, last_day, start, end = map(F.col, ("_first_day", "_last_day", "_start", "_end"))
     historical = F.col("run_mode") == "historical"
-    dates_from, dates_to = instants.parse_date(F.col("date_from")), instants.parse_date(F.col("date_to"))
-    start = instants.parse_instant(_with_t(F.col("checkpoint")))
-    end = instants.parse_instant(_with_t(F.col("datetime_to")))
     location = F.col("location_id")
     error = (
         F.when(failed(F.col("run_mode").isin("historical", "incremental")), "unknown run mode")
@@ -111,23 +117,30 @@ def normalize_windows(requests: DataFrame) -> DataFrame:
             ~historical & (F.col("date_from").isNotNull() | F.col("date_to").isNotNull()),
             "incremental mode uses timestamps only",
         )
-        .when(historical & (dates_from.isNull() | dates_to.isNull()), "dates must be YYYY-MM-DD")
-        .when(historical & (dates_to <= dates_from), "end must be later than start")
+        .when(historical & (first_day.isNull() | last_day.isNull()), "dates must be YYYY-MM-DD")
+        .when(historical & (last_day <= first_day), "end must be later than start")
         .when(~historical & (start.isNull() | end.isNull()), "timestamps must name a zone")
         .when(~historical & (end <= start), "end must be later than start")
     )
-    window_from = F.when(historical, F.col("date_from")).otherwise(instants.iso_utc(start))
-    window_to = F.when(historical, F.col("date_to")).otherwise(instants.iso_utc(end))
-    ok = error.isNull()
-    label = F.concat_ws("__", instants.compact_label(window_from), instants.compact_label(window_to))
-    return requests.withColumns(
+    ok = F.col("window_error").isNull()
+    windowed = read.withColumn("window_error", error).withColumns(
         {
-            "window_error": error,
-            "window_from": F.when(ok, window_from),
-            "window_to": F.when(ok, window_to),
-            "window_label": F.when(ok, label),
+            "window_from": F.when(
+                ok, F.when(historical, F.col("date_from")).otherwise(instants.iso_utc(start))
+            ),
+            "window_to": F.when(
+                ok, F.when(historical, F.col("date_to")).otherwise(instants.iso_utc(end))
+            ),
         }
     )
+    label = F.concat(
+        instants.compact_label(F.col("window_from")),
+        F.lit("__"),
+        instants.compact_label(F.col("window_to")),
+    )
+    return windowed.withColumn("window_label", label).drop(
+        "_first_day", "_last_day", "_start", "_end"
+    )
 
 
 def _with_t(value: Column) -> Column:

@@ -100,16 +100,20 @@ def mentioned_locations(questions: DataFrame, locations: DataFrame) -> DataFrame
         .groupBy("anchor")
         .agg(F.collect_set("length").alias("lengths"))
     )
-    # Only as much text as the longest name needs travels with each position.
+    # Only as much text as the longest name needs travels with each position, and
+    # only openings as long as some name has are looked up (at most ANCHOR sizes).
     longest = names.agg(F.coalesce(F.max("length"), F.lit(0)).alias("n")).scalar()
+    sizes = names.agg(F.collect_set(F.length("anchor")).alias("n")).scalar()
     asked = questions.select("question_id", folded(F.col("text")).alias("_q")).filter("_q <> ''")
     starts = asked.select(
         "question_id", "_q", F.explode(F.sequence(F.lit(1), F.length("_q"))).alias("at")
-    ).select("question_id", F.substring(F.col("_q"), F.col("at"), longest).alias("ahead"))
-    sizes = F.array(*(F.lit(n) for n in range(1, ANCHOR + 1)))
-    heads = F.transform(sizes, lambda n: F.substring(F.col("ahead"), F.lit(1), n))
-    pieces = starts.select(
-        "question_id", "ahead", F.explode(F.array_distinct(heads)).alias("anchor")
+    ).select(
+        "question_id",
+        F.substring(F.col("_q"), F.col("at"), longest).alias("ahead"),
+        sizes.alias("sizes"),
+    )
+    pieces = starts.select("question_id", "ahead", F.explode("sizes").alias("size")).select(
+        "question_id", "ahead", F.substring(F.col("ahead"), F.lit(1), F.col("size")).alias("anchor")
     )
     candidates = pieces.join(openings, "anchor").select(
         "question_id", "ahead", F.explode("lengths").alias("length")
