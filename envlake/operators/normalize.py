@@ -47,11 +47,12 @@ BATCH_COLUMNS = (
 )
 
 
-def normalize(records: DataFrame) -> DataFrame:
+def normalize(records: DataFrame, with_signature: bool = True) -> DataFrame:
     """Add the observation columns, the comparison signature and the reason.
 
     ``reject_reason`` is null for valid rows. Identity columns and payload are
-    null on rejected rows, so they group together cheaply later on.
+    null on rejected rows, so they group together cheaply later on. Only the
+    collapse of copies needs the signature; others can go without its cost.
     """
     reasoned = _read_members(records).withColumn("reject_reason", _reject_reason())
     valid = F.col("reject_reason").isNull()
@@ -66,7 +67,7 @@ def normalize(records: DataFrame) -> DataFrame:
             for name in (*OBSERVATION_COLUMNS, *NANO_COLUMNS)
             if name != "source_file"
         ),
-        F.when(valid, _signature()).alias("signature"),
+        *([F.when(valid, _signature()).alias("signature")] if with_signature else []),
     )
     # A later filter on the reason must not repeat all of the parsing.
     return compute_once(rows, {name: F.col(name) for name in rows.columns})

@@ -237,22 +237,22 @@ def display_labels(t: DriverTables) -> DataFrame:
 # -- raw to processed -----------------------------------------------------------------
 
 
-def _normalized(t: DriverTables, conflicts: bool = False) -> DataFrame:
+def _normalized(t: DriverTables, conflicts: bool = False, with_signature: bool = True) -> DataFrame:
     parsed = envelopes.parse_envelopes(t.envelopes(conflicts=conflicts))
-    return normalize(envelopes.split_records(parsed))
+    return normalize(envelopes.split_records(parsed), with_signature)
 
 
 @query
 def reject_reasons(t: DriverTables) -> DataFrame:
-    rows = _normalized(t).filter("reject_reason IS NOT NULL")
+    rows = _normalized(t, with_signature=False).filter("reject_reason IS NOT NULL")
     rows = rows.filter(~F.col("reject_reason").isin(*MARKERS))
     return rows.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("records"))
 
 
 @query
 def normalized_rows(t: DriverTables) -> DataFrame:
-    rows = _normalized(t).filter("reject_reason IS NULL")
-    return rows.drop("reject_reason", "envelope_error", "signature", "position")
+    rows = _normalized(t, with_signature=False).filter("reject_reason IS NULL")
+    return rows.drop("reject_reason", "envelope_error", "position")
 
 
 @query
