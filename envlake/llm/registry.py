@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from envlake.llm import exact_dedup, simhash
+from envlake.llm import bpe, exact_dedup, packing, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator, over its whole table."""
     return {
         "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
+        "op2_mixture_packing": packing.op2_mixture_packing,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+        "op8_byte_bpe": bpe.op8_byte_bpe,
     }
 
 
