@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from envlake.llm import bpe, exact_dedup, language, packing, quality, simhash
+from envlake.llm import bpe, exact_dedup, language, licenses, line_dedup, packing, quality, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
         "op2_mixture_packing": packing.op2_mixture_packing,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+        "op4_site_line_dedup": line_dedup.op4_site_line_dedup,
+        "op5_license_scan": licenses.op5_license_scan,
         "op6_quality_qda": quality.op6_quality_qda,
         "op7_language_id": language.op7_language_id,
         "op8_byte_bpe": bpe.op8_byte_bpe,
@@ -23,4 +25,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the operators that SQL can express."""
-    return {"op3_exact_dedup": exact_dedup.OP3_SQL}
+    return {
+        "op3_exact_dedup": exact_dedup.OP3_SQL,
+        "op4_site_line_dedup": line_dedup.OP4_SQL,
+        "op5_license_scan": licenses.OP5_SQL,
+    }
