@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from envlake.llm import ann, bpe, exact_dedup, language, licenses, line_dedup, packing, quality, simhash
+from envlake.llm import ann, bpe, exact_dedup, language, licenses, line_dedup, lm, packing, quality, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_qda": quality.op6_quality_qda,
         "op7_language_id": language.op7_language_id,
         "op8_byte_bpe": bpe.op8_byte_bpe,
+        "op9_stupid_backoff": lm.op9_stupid_backoff,
         "op10_collision_counting": ann.op10_collision_counting,
     }
 
@@ -30,4 +31,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_exact_dedup": exact_dedup.OP3_SQL,
         "op4_site_line_dedup": line_dedup.OP4_SQL,
         "op5_license_scan": licenses.OP5_SQL,
+        "op9_stupid_backoff": lm.OP9_SQL,
     }
