@@ -26,6 +26,8 @@ from envlake.llm.components import components
 from envlake.llm.tables import free_name, read_table, small_batches, written
 
 SEED = 42
+# Finer segments make a larger grid: with 2 bits, chance meetings of a hundred million texts stay rare.
+SEGMENT_BITS = 2
 # Shingles whose bits are unpacked at once; a long text is counted piece by piece.
 PIECE = 255 << 5
 
@@ -128,9 +130,10 @@ def _cells(point: Column, segment_bits: int) -> Column:
     ones = (1 << segment_bits) - 1
     for lane in _lanes(segment_bits):
         count = F.shiftrightunsigned(point, lane).bitwiseAND(F.lit(ones))
+        others = point.bitwiseAND(F.lit(_signed((1 << 64) - 1 - (ones << lane))))
         cells += [
-            F.when(count < segment_bits, point + F.lit(1 << lane)),
-            F.when(count > 0, point - F.lit(1 << lane)),
+            F.when(count < segment_bits, others.bitwiseOR(F.shiftleft(count + 1, lane))),
+            F.when(count > 0, others.bitwiseOR(F.shiftleft(count - 1, lane))),
         ]
     return F.array_compact(F.array(*cells))
 
@@ -140,7 +143,7 @@ def _words(fp: Column) -> Column:
     return F.array(fp, *(fp.bitwiseXOR(F.lit(_signed(1 << bit))) for bit in range(64)))
 
 
-def links(distinct: DataFrame, segment_bits: int = 4) -> DataFrame:
+def links(distinct: DataFrame, segment_bits: int = SEGMENT_BITS) -> DataFrame:
     """Links (u, v) that join all fingerprints (fp) within 2 bits of each other."""
     cells = distinct.select("fp", F.explode(_cells(F.col("point"), segment_bits)).alias("cell"))
     shared = cells.groupBy("cell").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a <> b").select("cell")
@@ -150,10 +153,10 @@ def links(distinct: DataFrame, segment_bits: int = 4) -> DataFrame:
     return words.join(hubs, "word").filter("fp <> hub").select(F.col("fp").alias("u"), F.col("hub").alias("v")).distinct()
 
 
-def near_duplicates(documents: DataFrame, width: int = 3, segment_bits: int = 4) -> DataFrame:
+def near_duplicates(documents: DataFrame, width: int = 3, segment_bits: int = SEGMENT_BITS) -> DataFrame:
     """One row per row of documents: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id)."""
-    if 64 % segment_bits or segment_bits < 4:
-        raise ValueError("segment_bits must divide 64 and be 4 or more")
+    if segment_bits not in (2, 4, 8):
+        raise ValueError("segment_bits must be 2, 4 or 8")
     rows = written(fingerprints(documents, width), "simhash-fingerprints")
     groups = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     distinct = groups.select("fp", grid_point(F.col("fp"), segment_bits).alias("point"))
