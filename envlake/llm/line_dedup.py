@@ -36,7 +36,7 @@ def boilerplate(documents: DataFrame, site: str = "source", max_ratio: float = M
         _lines(F.col("text")).alias("lines"),
     )
     totals = pages.select("site", "page").distinct().groupBy("site").agg(F.count("*").alias("site_pages"))
-    lines = pages.select("site", "page", F.explode(F.array_distinct(F.transform("lines", F.trim))).alias("line"))
+    lines = pages.select("site", "page", F.explode(F.array_distinct(F.transform("lines", lambda line: F.trim(line)))).alias("line"))
     # Lines travel as a hash; texts are fetched for the few that are left.
     hashed = lines.filter("line <> ''").select("site", F.xxhash64("line").alias("line_hash"), "page")
     counted = hashed.distinct().groupBy("site", "line_hash").agg(F.count("*").alias("pages")).filter(F.col("pages") >= min_pages)

@@ -17,6 +17,11 @@ import numpy as np
 CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
+def cuts_of(text: str) -> list[str]:
+    """The parts of a text, one by one."""
+    return CUT.split(text)
+
+
 class PartCache:
     """What a function makes of parts of texts, for the parts met lately: two generations of bounded size."""
 
@@ -44,7 +49,7 @@ class PartCache:
             head = parts[0]
             found = list(map(young.__getitem__, parts[1:]))
             if None in found or (found and (not head or head[-1].isspace())):
-                yield list(self.make(CUT.split(text)))
+                yield list(self.make(cuts_of(text)))
             else:
                 found[:0] = self.make([head])
                 yield found
