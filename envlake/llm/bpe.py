@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from envlake.llm.tables import read_table, small_batches
-from envlake.llm.tokens import PartCache
+from envlake.llm.tokens import PartCache, per_process
 
 # Entries kept of joined pairs and of short byte strings.
 MEMO = 1 << 18
@@ -167,7 +167,7 @@ def round_trips(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per row: doc_id, n_tokens, ids_sha256 (decimal ids joined by a space), decoded_sha256 (decoded bytes)."""
     small_batches(documents.sparkSession)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cached() -> PartCache:
         codec, split = text_codec(path, pattern)
 
         def trip(match: str) -> tuple[int, str, bytes]:
@@ -190,7 +190,10 @@ def round_trips(documents: DataFrame, path: str, pattern: str) -> DataFrame:
                 )
             return made
 
-        cache = PartCache(make)
+        return PartCache(make)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = per_process(("bpe", path, pattern), cached)
         for batch in batches:
             rows = []
             for found in cache.of([text or "" for text in batch.column(1).to_pylist()]):

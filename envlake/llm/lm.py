@@ -30,6 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from envlake.llm.tables import SPACE_CLASS, read_table, small_batches, written
@@ -38,15 +39,16 @@ BACKOFF = 0.4
 LEAST_PAIRS = 2
 HOT_SHARE = 0.001
 # Words a task gathers before it sends their pairs on, and pairs per partition of the tables.
-FLUSH_WORDS = 1 << 20
-PARTITION_PAIRS = 1 << 21
+FLUSH_WORDS = 1 << 21
+PARTITION_PAIRS = 1 << 19
 
-# Pairs of documents for one partition: row arrays u, w (hashes), doc (index), n; per document its key and whether it is fitted on.
-PAIRS = "bucket int, u binary, w binary, doc binary, n binary, keys binary, fitted binary"
-ARROW_PAIRS = pa.schema([("bucket", pa.int32()), *((name, pa.binary()) for name in ("u", "w", "doc", "n", "keys", "fitted"))])
-# What a level has scored: per document the sum of logarithms, words and backed-off words; or words that it passes on.
-SCORED = "bucket int, w binary, doc binary, n binary, keys binary, total binary, words binary, backed binary"
-SCORED_COLUMNS = ["bucket", "w", "doc", "n", "keys", "total", "words", "backed"]
+# Pairs of documents for one partition, sorted by document, as packed arrays: the distinct words u and w and the place of each
+# row's word among them, n; per document its key, its number of rows, and whether the model is fitted on it.
+PAIRS = "bucket int, u binary, u_at binary, w binary, w_at binary, n binary, keys binary, rows binary, fitted binary"
+ARROW_PAIRS = pa.schema([("bucket", pa.int32()), *((part.split()[0], pa.binary()) for part in PAIRS.split(", ")[1:])])
+# Words that the level of pairs passes on, and sums per document: of logarithms, words, and words that backed off.
+PASSED = "bucket int, w binary, n binary, keys binary, rows binary"
+SUMS = "key bigint, total double, words bigint, backed bigint"
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -87,6 +89,24 @@ def _first_word(text: Column) -> Column:
     return F.when(first != "", F.xxhash64(F.translate(first, string.ascii_uppercase, string.ascii_lowercase)))
 
 
+def _packed(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
+def _numbers(values: np.ndarray) -> np.ndarray:
+    """Small numbers in two bytes each, larger ones in four; telling which is left to the number of rows."""
+    return values.astype(np.uint16 if not len(values) or values.max() < 1 << 16 else np.uint32)
+
+
+def _unpacked_numbers(data: bytes, rows: int) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    return np.frombuffer(raw, np.uint16 if len(raw) == 2 * rows else np.uint32).astype(np.int64)
+
+
 def _mixed(u: np.ndarray, w: np.ndarray) -> np.ndarray:
     """Hash of a pair of hashes."""
     mixed = (u * np.uint64(0x9E3779B97F4A7C15)) ^ (w + np.uint64(0x632BE59BD9B4E019))
@@ -112,14 +132,11 @@ def _runs(sorted_values: np.ndarray) -> list[tuple[int, int, int]]:
 def _send_pairs(hot: np.ndarray, buckets: int):
     """Distinct pairs of documents (key, fitted, text), per partition of the tables."""
 
-    def flush(texts: list[list[bytes]], keys: list[int], fitted: list[bool]) -> Iterator[pa.RecordBatch]:
-        place: dict[bytes, int] = {}
-        codes = np.array([place.setdefault(word, len(place)) for words in texts for word in words], np.int64)
+    def flush(place: dict[bytes, int], texts: list[np.ndarray], keys: list[int], fitted: list[bool]) -> Iterator[pa.RecordBatch]:
         hashes, size = _hash(list(place)), max(len(place), 1)
-        lengths = np.array([len(words) for words in texts], np.int64)
-        doc = np.repeat(np.arange(len(texts)), lengths)
-        inside = doc[1:] == doc[:-1]
-        pairs = ((doc[:-1] * size + codes[:-1]) * size + codes[1:])[inside]
+        codes = np.concatenate(texts)
+        doc = np.repeat(np.arange(len(texts)), [len(words) for words in texts])
+        pairs = ((doc[:-1] * size + codes[:-1]) * size + codes[1:])[doc[1:] == doc[:-1]]
         pairs, n = np.unique(pairs, return_counts=True)
         u, w, of = hashes[pairs // size % size], hashes[pairs % size], pairs // size // size
         to = _dealt(u, w, hot, buckets)
@@ -127,35 +144,52 @@ def _send_pairs(hot: np.ndarray, buckets: int):
         u, w, of, n = u[order], w[order], of[order], n[order]
         key, fit = np.array(keys, np.int64), np.array(fitted, np.uint8)
         for bucket, a, b in _runs(to[order]):
-            named, index = np.unique(of[a:b], return_inverse=True)
-            columns = [u[a:b], w[a:b], index.astype(np.uint32), n[a:b].astype(np.uint32), key[named], fit[named]]
+            docs, rows = np.unique(of[a:b], return_counts=True)
+            columns = []
+            for words in (u[a:b], w[a:b]):
+                distinct, at = np.unique(words, return_inverse=True)
+                columns += [distinct, _numbers(at)]
+            columns += [_numbers(n[a:b]), key[docs], _numbers(rows), fit[docs]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([bucket], pa.int32()), *(pa.array([column.tobytes()], pa.binary()) for column in columns)], schema=ARROW_PAIRS
+                [pa.array([bucket], pa.int32()), *(pa.array([_packed(column)], pa.binary()) for column in columns)], schema=ARROW_PAIRS
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place: dict[bytes, int] = {}
         texts, keys, fitted, gathered = [], [], [], 0
         for batch in batches:
             for key, fit, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                texts.append(_words(text.as_py()))
+                texts.append(np.array([place.setdefault(word, len(place)) for word in _words(text.as_py())], np.int64))
                 keys.append(key)
                 fitted.append(fit)
                 gathered += len(texts[-1])
                 if gathered >= FLUSH_WORDS:
-                    yield from flush(texts, keys, fitted)
-                    texts, keys, fitted, gathered = [], [], [], 0
-        if texts:
-            yield from flush(texts, keys, fitted)
+                    yield from flush(place, texts, keys, fitted)
+                    place, texts, keys, fitted, gathered = {}, [], [], [], 0
+        if gathered:
+            yield from flush(place, texts, keys, fitted)
 
     return run
 
 
-def _stacked(rows: pd.DataFrame, kinds: dict[str, type]) -> tuple[np.ndarray, ...]:
-    """Row arrays of all rows one after another, documents numbered through."""
-    parts = {name: [np.frombuffer(one, kind) for one in rows[name]] for name, kind in kinds.items()}
-    shifts = np.cumsum([0, *(len(keys) for keys in parts["keys"])])[:-1]
-    parts["doc"] = [doc.astype(np.int64) + shift for doc, shift in zip(parts["doc"], shifts, strict=True)]
-    return tuple(np.concatenate(arrays) if arrays else np.zeros(0, kinds[name]) for name, arrays in parts.items())
+def _documents(rows: pd.DataFrame, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per row the number of its document and n; per document its key."""
+    keys = [_unpacked(one, np.int64) for one in rows["keys"]]
+    counts = [_unpacked_numbers(one, len(own)) for one, own in zip(rows["rows"], keys, strict=True)]
+    counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
+    n = [_unpacked_numbers(one, size) for one, size in zip(rows["n"], sizes, strict=True)]
+    return np.repeat(np.arange(len(counts)), counts), np.concatenate(n) if n else counts, np.concatenate(keys) if keys else counts
+
+
+def _pair_rows(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """u, w, document and n of every pair; key and fitted of every document."""
+    sizes = [int(_unpacked_numbers(r, len(_unpacked(k, np.int64))).sum()) for r, k in zip(rows["rows"], rows["keys"], strict=True)]
+    words = []
+    for name in ("u", "w"):
+        found = [_unpacked(d, np.uint64)[_unpacked_numbers(at, n)] for d, at, n in zip(rows[name], rows[name + "_at"], sizes, strict=True)]
+        words.append(np.concatenate(found) if found else np.zeros(0, np.uint64))
+    fitted = [_unpacked(one, np.uint8) for one in rows["fitted"]]
+    return (*words, *_documents(rows, sizes), np.concatenate(fitted) if fitted else np.zeros(0, np.uint8))
 
 
 def _looked_up(words: np.ndarray, counts: pd.DataFrame, hot: np.ndarray, hot_counts: np.ndarray) -> np.ndarray:
@@ -170,65 +204,66 @@ def _looked_up(words: np.ndarray, counts: pd.DataFrame, hot: np.ndarray, hot_cou
     return np.where(known[at] == words, n[at], 0)
 
 
-def _sums(keys: np.ndarray, doc: np.ndarray, logs: np.ndarray, n: np.ndarray, backed: bool) -> list:
-    """A row of sums per document."""
+def _sums(keys: np.ndarray, doc: np.ndarray, logs: np.ndarray, n: np.ndarray, backed: bool) -> pd.DataFrame:
+    """Sums per document."""
     named, at = np.unique(doc, return_inverse=True)
-    total = np.bincount(at, logs * n, len(named))
     words = np.bincount(at, n, len(named)).astype(np.int64)
-    none = np.zeros(0).tobytes()
-    return [None, none, none, none, keys[named].tobytes(), total.tobytes(), words.tobytes(), (words if backed else 0 * words).tobytes()]
+    total = np.bincount(at, logs * n, len(named))
+    return pd.DataFrame({"key": keys[named], "total": total, "words": words, "backed": words if backed else 0 * words})
+
+
+def _modelled(u: np.ndarray, w: np.ndarray, doc: np.ndarray, n: np.ndarray, fitted: np.ndarray) -> np.ndarray:
+    """Occurrences of each pair in the documents fitted on."""
+    _, same = np.unique(_mixed(u, w), return_inverse=True)
+    return np.bincount(same, n * fitted[doc])[same] if len(same) else np.zeros(0)
 
 
-def _score_pairs(hot: np.ndarray, hot_counts: np.ndarray, buckets: int, least: int) -> Callable:
-    """Level of pairs: logarithms of pairs that the model has; the others are passed on by w."""
+def _score_pairs(hot: np.ndarray, hot_counts: np.ndarray, least: int) -> Callable:
+    """Level of pairs: sums over the pairs that the model has."""
 
     def run(_key: tuple, rows: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        kinds = {"u": np.uint64, "w": np.uint64, "doc": np.uint32, "n": np.uint32, "keys": np.int64, "fitted": np.uint8}
-        u, w, doc, n, keys, fitted = _stacked(rows, kinds)
-        _, same = np.unique(_mixed(u, w), return_inverse=True)
-        model = np.bincount(same, n * fitted[doc]) if len(same) else np.zeros(0)
-        pair_count = model[same]
+        u, w, doc, n, keys, fitted = _pair_rows(rows)
+        pair_count = _modelled(u, w, doc, n, fitted)
         has = pair_count >= max(least, 1)
         logs = np.log(pair_count[has] / np.maximum(_looked_up(u[has], counts, hot, hot_counts), 1))
-        out = [_sums(keys, doc[has], logs, n[has], False)]
-        w, doc, n = w[~has], doc[~has], n[~has]
+        return _sums(keys, doc[has], logs, n[has], False)
+
+    return run
+
+
+def _pass_words(buckets: int, least: int) -> Callable:
+    """The words after which the model has no pair, dealt by their hash, documents in the order of their keys."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        u, w, doc, n, keys, fitted = _pair_rows(rows)
+        missing = _modelled(u, w, doc, n, fitted) < max(least, 1)
+        w, key, n = w[missing], keys[doc[missing]], n[missing]
         to = (w % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(to, kind="stable")
-        w, doc, n = w[order], doc[order], n[order]
+        order = np.lexsort((key, to))
+        w, key, n = w[order], key[order], n[order]
+        out = []
         for bucket, a, b in _runs(to[order]):
-            named, index = np.unique(doc[a:b], return_inverse=True)
-            out.append([bucket, w[a:b].tobytes(), index.astype(np.uint32).tobytes(), n[a:b].astype(np.uint32).tobytes(), keys[named].tobytes(), None, None, None])
-        return pd.DataFrame(out, columns=SCORED_COLUMNS).astype({"bucket": "Int32"})
+            own, per_key = np.unique(key[a:b], return_counts=True)
+            out.append((bucket, *map(_packed, (w[a:b], _numbers(n[a:b]), np.diff(own, prepend=0), _numbers(per_key)))))
+        return pd.DataFrame(out, columns=["bucket", "w", "n", "keys", "rows"]).astype({"bucket": "int32"})
 
     return run
 
 
 def _score_words(hot: np.ndarray, hot_counts: np.ndarray, corpus: int) -> Callable:
-    """Level of words: logarithms of their shares, backed off."""
+    """Level of words: backed-off logarithms of their shares."""
 
     def run(_key: tuple, rows: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        w, doc, n, keys = _stacked(rows, {"w": np.uint64, "doc": np.uint32, "n": np.uint32, "keys": np.int64})
+        found = [_unpacked(one, np.uint64) for one in rows["w"]]
+        w = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        rows = rows.assign(keys=[_packed(np.cumsum(_unpacked(one, np.int64))) for one in rows["keys"]])
+        doc, n, keys = _documents(rows, [len(one) for one in found])
         share = np.maximum(_looked_up(w, counts, hot, hot_counts), 1) / max(corpus, 1)
-        out = [_sums(keys, doc, np.log(BACKOFF * share), n, True)]
-        return pd.DataFrame(out, columns=SCORED_COLUMNS).astype({"bucket": "Int32"})
+        return _sums(keys, doc, np.log(BACKOFF * share), n, True)
 
     return run
 
 
-def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums per document out of their arrays."""
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            yield pd.DataFrame(
-                {
-                    "key": np.frombuffer(row.keys, np.int64),
-                    "total": np.frombuffer(row.total, np.float64),
-                    "words": np.frombuffer(row.words, np.int64),
-                    "backed": np.frombuffer(row.backed, np.int64),
-                }
-            )
-
-
 def backoff_scores(documents: DataFrame, fitted: str | None = None, least: int = LEAST_PAIRS) -> DataFrame:
     """Per row of documents: doc_id, n_words, n_backoff, log_score.
 
@@ -256,19 +291,17 @@ def backoff_scores(documents: DataFrame, fitted: str | None = None, least: int =
     by_table = table.repartition(buckets, "bucket")
     sent = texts.select("key", "fit", "text").mapInArrow(_send_pairs(hot, buckets), PAIRS).repartition(buckets, "bucket")
     pairs = sent.groupBy("bucket").cogroup(by_table.groupBy("bucket"))
-    scored = written(pairs.applyInPandas(_score_pairs(hot, hot_counts, buckets, least), SCORED), "lm-scored")
-    passed = scored.filter("bucket IS NOT NULL").select("bucket", "w", "doc", "n", "keys").repartition(buckets, "bucket")
+    scored = pairs.applyInPandas(_score_pairs(hot, hot_counts, least), SUMS)
+    passed = sent.groupBy("bucket").applyInPandas(_pass_words(buckets, least), PASSED).repartition(buckets, "bucket")
     words = passed.groupBy("bucket").cogroup(by_table.groupBy("bucket"))
-    rest = words.applyInPandas(_score_words(hot, hot_counts, corpus), SCORED)
-    sums = scored.filter("bucket IS NULL").unionByName(rest).select("keys", "total", "words", "backed")
-    unpacked = sums.mapInPandas(_unpack, "key bigint, total double, words bigint, backed bigint")
+    rest = words.applyInPandas(_score_words(hot, hot_counts, corpus), SUMS)
     # First words have no pair.
     heads = texts.select("key", _first_word(F.col("text")).alias("word")).filter("word IS NOT NULL")
     log_share = F.log(F.greatest(F.coalesce("n", F.lit(1)), F.lit(1)) / F.lit(float(max(corpus, 1))))
     first = heads.join(counts, "word", "left").select(
         "key", log_share.alias("total"), F.lit(1).cast("bigint").alias("words"), F.lit(0).cast("bigint").alias("backed")
     )
-    per_key = unpacked.unionByName(first).groupBy("key").agg(*(F.sum(name).alias(name) for name in ("total", "words", "backed")))
+    per_key = scored.unionByName(rest).unionByName(first).groupBy("key").agg(*(F.sum(name).alias(name) for name in ("total", "words", "backed")))
     rows = texts.select("doc_id", "key")
     copies = rows.groupBy("key").agg(F.count("*").alias("copies"))
     scores = copies.join(per_key, "key", "left")

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -22,10 +24,19 @@ def cuts_of(text: str) -> list[str]:
     return CUT.split(text)
 
 
+def per_process(key: tuple, make: Callable[[], object]) -> object:
+    """A value that all tasks of a worker process share; it holds nothing that a lost worker takes along."""
+    store = sys.modules.setdefault("_shared_by_tasks", types.ModuleType("_shared_by_tasks"))
+    values = store.__dict__.setdefault("values", {})
+    if key not in values:
+        values[key] = make()
+    return values[key]
+
+
 class PartCache:
     """What a function makes of parts of texts, for the parts met lately: two generations of bounded size."""
 
-    def __init__(self, make: Callable[[list[str]], Iterable], limit: int = 300_000) -> None:
+    def __init__(self, make: Callable[[list[str]], Iterable], limit: int = 400_000) -> None:
         self.make, self.limit = make, limit
         # By the part without the space it begins with; None where white space touches its ends.
         self.young: dict[str, object] = {}
@@ -59,6 +70,10 @@ class PartCache:
 
 def tokenizer_cache(path: str) -> tuple[PartCache, np.dtype]:
     """Cache of ids, as little-endian bytes of the returned type, by the tokenizer in a file; no special tokens."""
+    return per_process(("tokenizer", path), lambda: _tokenizer_cache(path))
+
+
+def _tokenizer_cache(path: str) -> tuple[PartCache, np.dtype]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -66,16 +81,31 @@ def tokenizer_cache(path: str) -> tuple[PartCache, np.dtype]:
     tokenizer.encode_special_tokens = True
     kind = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
+    def ids(texts: list[str]) -> list[list[int]]:
+        return [found.ids for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def encode(parts: list[str]) -> list[bytes]:
-        return [np.array(found.ids, kind).tobytes() for found in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        return [np.array(found, kind).tobytes() for found in ids(parts)]
 
+    (line_end,) = ids(["\n"])
     ends = dict(zip((".", ","), encode([".", ","]), strict=True))
 
+    def encode_spaced(parts: list[str]) -> list[bytes]:
+        """Parts that begin with a space and hold no other: in one text, a line each."""
+        (found,) = ids(["\n".join(parts)])
+        found = np.array(found, kind)
+        at = np.flatnonzero(found == line_end[0]).tolist()
+        data, size = found.tobytes(), kind.itemsize
+        return [data[size * begin : size * end] for begin, end in zip([0, *(a + 1 for a in at)], [*at, len(found)], strict=True)]
+
     def make(parts: list[str]) -> list[bytes]:
         # A full stop or comma after a letter or digit is a token of its own.
         bare = [part[:-1] if part[-1:] in ends and part[-2:-1].isalnum() else part for part in parts]
         distinct = list(dict.fromkeys(bare))
-        known = dict(zip(distinct, encode(distinct), strict=True))
+        spaced = [part for part in distinct if part[:1] == " " and len(part.split()) == 1 and len(part.strip()) == len(part) - 1]
+        known = dict(zip(spaced, encode_spaced(spaced), strict=True)) if len(line_end) == 1 and spaced else {}
+        others = [part for part in distinct if part not in known]
+        known.update(zip(others, encode(others), strict=True))
         return [known[b] if len(b) == len(p) else known[b] + ends[p[-1]] for b, p in zip(bare, parts, strict=True)]
 
     return PartCache(make), kind
