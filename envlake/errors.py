@@ -11,3 +11,8 @@ class ConflictError(ValueError):
 
 class QueryArgumentError(ValueError):
     """A query argument lies outside its domain."""
+
+
+def is_missing_path(error: Exception) -> bool:
+    """Whether reading failed because nothing is there; any other failure must not pass for it."""
+    return getattr(error, "getCondition", lambda: None)() == "PATH_NOT_FOUND"

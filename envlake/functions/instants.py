@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-ZONED = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)$"
-DATE = r"^\d{4}-\d{2}-\d{2}$"
+# Extended or basic ISO 8601: day, hour, optional minute and second with fraction, zone.
+ZONED = (
+    r"^(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2}))[T ](\d{2})(?::?(\d{2})(?::?(\d{2})([.,]\d+)?)?)?"
+    r"(Z| UTC|[+-]\d{2}(?::?\d{2})?)$"
+)
+PLAIN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)$"
+DATE = r"^(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2}))$"
 
 # Range of instants that 64-bit nanoseconds can hold.
 INSTANT_RANGE = ("1677-09-21 00:12:43.145225Z", "2262-04-11 23:47:16.854775Z")
@@ -23,22 +28,27 @@ NOT_AVAILABLE = "Not available"
 def parse_instant(text: Column) -> Column:
     """Instant of ISO text that names its zone; null otherwise.
 
-    Instants outside the range of 64-bit nanoseconds count as unreadable.
+    Basic and hour-only spellings are written out first. Instants outside the range of
+    64-bit nanoseconds count as unreadable.
     """
-    instant = F.when(text.rlike(ZONED), text).try_cast("timestamp")
+    at = F.regexp_replace(text, ZONED, "$1-$2$4-$3$5T$6:0$7:0$8$9$10")
+    # A part that is there makes its place three digits long; the first zero goes.
+    full = F.regexp_replace(F.regexp_replace(at, r":0(\d{2})", ":$1"), r":0(?=[:Z+-])", ":00")
+    spelled = F.when(text.rlike(PLAIN), text).when(text.rlike(ZONED), F.replace(F.replace(full, F.lit(","), F.lit(".")), F.lit(" UTC"), F.lit("Z")))
+    instant = spelled.try_cast("timestamp")
     low, high = (F.lit(bound).cast("timestamp") for bound in INSTANT_RANGE)
     return F.when(instant.between(low, high), instant)
 
 
 def nanosecond_remainder(text: Column) -> Column:
     """Nanoseconds (0-999) that a microsecond timestamp cannot hold."""
-    digits = F.rpad(F.regexp_extract(text, r"\.\d{6}(\d{1,3})", 1), 3, "0")
-    return F.when(text.rlike(r"\.\d{7}"), digits).otherwise("0").try_cast("smallint")
+    digits = F.rpad(F.regexp_extract(text, r"[.,]\d{6}(\d{1,3})", 1), 3, "0")
+    return F.when(text.rlike(r"[.,]\d{7}"), digits).otherwise("0").try_cast("smallint")
 
 
 def parse_date(text: Column) -> Column:
-    """Date of strict ``YYYY-MM-DD`` text; null otherwise."""
-    return F.when(text.rlike(DATE), text.try_cast("date"))
+    """Date of ``YYYY-MM-DD`` or ``YYYYMMDD`` text; null otherwise."""
+    return F.when(text.rlike(DATE), F.regexp_replace(text, DATE, "$1-$2$4-$3$5").try_cast("date"))
 
 
 def iso_utc(instant: Column) -> Column:

@@ -6,26 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SPREAD = 16
 
-
-def lookup_join(
-    facts: DataFrame,
-    dimension: DataFrame,
-    key: str,
-    spread_on: Sequence[str],
-    how: str = "left",
-    spread: int = SPREAD,
-) -> DataFrame:
+def lookup_join(facts: DataFrame, dimension: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join facts to a dimension that is unique on ``key``.
 
-    The dimension is repeated ``spread`` times and facts pick a copy by hash, so
-    a key that owns a large share of the facts is spread over that many tasks.
-    The runtime still broadcasts the dimension whenever its measured size allows.
+    The runtime broadcasts the dimension where its size is below the session threshold.
+    Beyond it both sides are shuffled, and a key that owns a large share of the facts is
+    split over several tasks, each with its copy of that one dimension row.
     """
-    salted = facts.withColumn("_copy", F.pmod(F.xxhash64(*spread_on), F.lit(spread)).cast("int"))
-    copies = dimension.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    return salted.join(copies, [key, "_copy"], how).drop("_copy")
+    return facts.join(dimension, key, how)
 
 
 def running_values(

@@ -150,16 +150,24 @@ def _with_t(value: Column) -> Column:
 # -- page sequence -------------------------------------------------------------
 
 
-def audit_pages(pages: DataFrame, keys: Sequence[str] = ("resource", "run_id")) -> DataFrame:
+def audit_pages(
+    pages: DataFrame, keys: Sequence[str] = ("resource", "run_id"), max_pages: int = MAX_PAGES
+) -> DataFrame:
     """Outcome of each paginated retrieval.
 
     Input per requested page: keys, page, results_ok, meta_page, meta_limit,
     meta_found (text), returned, content_hash. A retrieval ends at its first
-    fault or when it is complete; nothing beyond the page guard counts, which
-    also bounds every window below to ``MAX_PAGES`` rows.
+    fault or when it is complete. A page without a number from 1 on makes the whole
+    sequence inconsistent; one that goes on beyond the page guard exceeds it. Every
+    retrieval has an outcome. Windows below see ``max_pages`` rows at most.
     """
+    number = F.col("page")
+    strays = pages.groupBy(*keys).agg(
+        F.max(number.isNull() | (number < 1)).alias("bad_number"),
+        F.max(F.coalesce(number > max_pages, F.lit(False))).alias("beyond"),
+    )
     landed = (
-        pages.filter(F.col("page").between(1, MAX_PAGES))
+        pages.filter(number.between(1, max_pages))
         # A page landed twice must not enlarge the window.
         .groupBy(*keys, "page")
         .agg(
@@ -236,12 +244,20 @@ def audit_pages(pages: DataFrame, keys: Sequence[str] = ("resource", "run_id"))
     folded = judged.groupBy(*keys).agg(
         last.alias("end"), F.max("page").alias("pages_landed"), F.max("running").alias("all_returned")
     )
-    open_status = F.when(col("pages_landed") >= MAX_PAGES, "page_limit_exceeded").otherwise("incomplete")
-    return folded.select(
-        *keys,
-        F.coalesce(col("end.outcome"), open_status).alias("status"),
-        F.coalesce(col("end.page"), col("pages_landed")).cast("bigint").alias("pages_fetched"),
-        F.coalesce(col("end.running"), col("all_returned")).cast("bigint").alias("returned"),
+    guarded = col("beyond") | F.coalesce(col("pages_landed") >= max_pages, F.lit(False))
+    open_status = F.when(guarded, "page_limit_exceeded").otherwise("incomplete")
+    same_run = F.lit(True)
+    for name in keys:
+        same_run = same_run & strays[name].eqNullSafe(folded[name])
+    zero = F.lit(0)
+    counted = lambda value: F.when(col("bad_number"), zero).otherwise(F.coalesce(*value, zero)).cast("bigint")
+    return strays.join(folded, same_run, "left").select(
+        *(strays[name] for name in keys),
+        F.when(col("bad_number"), "inconsistent_page_number")
+        .otherwise(F.coalesce(col("end.outcome"), open_status))
+        .alias("status"),
+        counted((col("end.page"), col("pages_landed"))).alias("pages_fetched"),
+        counted((col("end.running"), col("all_returned"))).alias("returned"),
     )
 
 
@@ -387,7 +403,8 @@ def register_batches(incoming: DataFrame, registry: DataFrame) -> DataFrame:
 
     incoming: path, content_hash, returned; registry: path, content_hash. The
     content itself takes no part, so only digests are shuffled. The first new
-    copy of a path is written, every further equal copy is a reuse.
+    copy of a path is written, every further equal copy is a reuse. A path that two
+    concurrent runs have registered is one path if they agree, else a conflict.
     """
     arrived = incoming.groupBy("path").agg(
         F.count(F.lit(1)).alias("copies"),
@@ -395,10 +412,13 @@ def register_batches(incoming: DataFrame, registry: DataFrame) -> DataFrame:
         F.max("content_hash").alias("other_hash"),
         F.sum("returned").alias("measurements"),
     )
-    known = registry.select("path", F.col("content_hash").alias("known_hash"))
+    known = registry.groupBy("path").agg(
+        F.min("content_hash").alias("known_hash"), F.max("content_hash").alias("known_other")
+    )
     joined = arrived.join(known, "path", "left")
     clash = (F.col("content_hash") != F.col("other_hash")) | (
-        F.col("known_hash").isNotNull() & (F.col("known_hash") != F.col("content_hash"))
+        F.col("known_hash").isNotNull()
+        & ((F.col("known_hash") != F.col("content_hash")) | (F.col("known_other") != F.col("content_hash")))
     )
     status = (
         F.when(clash, "conflict").when(F.col("known_hash").isNotNull(), "reused").otherwise("written")

@@ -27,12 +27,7 @@ def fact(observations: DataFrame, locations: DataFrame) -> DataFrame:
         F.col("latitude").alias("canonical_latitude"),
         F.col("longitude").alias("canonical_longitude"),
     )
-    joined = lookup_join(
-        staged_observations(observations),
-        canonical,
-        "location_id",
-        spread_on=("sensor_id", "datetime_to_utc"),
-    )
+    joined = lookup_join(staged_observations(observations), canonical, "location_id")
     return joined.select(
         *WAREHOUSE_COLUMNS,
         "canonical_location_name",

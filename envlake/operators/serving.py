@@ -340,16 +340,13 @@ def data_health(runs: DataFrame, location_mart: DataFrame, dag_id: str) -> dict[
 def recent_with_location(observations: DataFrame, locations: DataFrame) -> DataFrame:
     """The 100 most recent observations with location name and weather."""
     names = locations.select("location_id", "location_name")
-    joined = lookup_join(
-        observations.drop("location_name"),
-        names,
-        "location_id",
-        spread_on=("sensor_id", "datetime_to_utc"),
-        how="inner",
-    )
+    order = (F.desc("datetime_to_utc"), "location_id", "sensor_id", "parameter")
+    # Rows of unknown locations do not count, so they go before the limit; names come after it.
+    known = lookup_join(observations.drop("location_name"), names.select("location_id"), "location_id", "left_semi")
+    recent = known.orderBy(*order).limit(RECENT_LIMIT)
     return (
-        joined.orderBy(F.desc("datetime_to_utc"), "location_id", "sensor_id", "parameter")
-        .limit(RECENT_LIMIT)
+        recent.join(names, "location_id")
+        .orderBy(*order)
         .select(
             "datetime_to_utc",
             "location_id",

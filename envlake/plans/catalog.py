@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from envlake.domain import KEY, PARAMETERS
+from envlake.domain import KEY, OBSERVATION_COLUMNS, PARAMETERS
+from envlake.errors import InputError
 from envlake.functions import instants, rules
 from envlake.operators import (
     acquisition,
@@ -143,10 +145,9 @@ def metric_card(t: DriverTables) -> DataFrame:
 
 @query
 def locations_with_parameters(t: DriverTables) -> DataFrame:
-    # Location 25 loses its rows, so that one location has no parameters.
-    return serving.locations_with_parameters(
-        t.locations, t.by_location.filter(F.col("location_id") != 25)
-    )
+    # Location 99 is a copy without observations, so that one location has no parameters.
+    idle = t.locations.filter("location_id = 25").withColumn("location_id", F.lit(99).cast("bigint"))
+    return serving.locations_with_parameters(t.locations.unionByName(idle), t.by_location)
 
 
 @query
@@ -272,15 +273,21 @@ def quality_report(t: DriverTables) -> DataFrame:
 
 @query
 def envelope_checks(t: DriverTables) -> DataFrame:
-    """Envelopes whose path parts have an odd length are broken first."""
+    """Envelopes broken by sensor; spelling a window in basic ISO form (8) breaks none."""
     files = t.envelopes()
+    boundary = r'"datetime_(from|to)":"(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2})Z"'
     sensor = F.regexp_extract("path", "sensor_id=([0-9]+)/", 1).cast("bigint")
     content = (
-        F.when(sensor % 7 == 0, F.replace("content", F.lit('"schema_version":1'), F.lit('"schema_version":"1"')))
-        .when(sensor % 7 == 1, F.replace("content", F.lit('"complete":true'), F.lit('"complete":false')))
-        .when(sensor % 7 == 2, F.regexp_replace("content", r'"returned":\d+', '"returned":-1'))
-        .when(sensor % 7 == 3, F.concat(F.lit("["), F.col("content"), F.lit("]")))
-        .when(sensor % 7 == 4, F.regexp_replace("content", r'"datetime_to":"[^"]*"', '"datetime_to":"2020-01-01"'))
+        F.when(sensor % 11 == 0, F.replace("content", F.lit('"schema_version":1'), F.lit('"schema_version":"1"')))
+        .when(sensor % 11 == 1, F.replace("content", F.lit('"complete":true'), F.lit('"complete":false')))
+        .when(sensor % 11 == 2, F.regexp_replace("content", r'"returned":\d+', '"returned":-1'))
+        .when(sensor % 11 == 3, F.concat(F.lit("["), F.col("content"), F.lit("]")))
+        .when(sensor % 11 == 4, F.regexp_replace("content", r'"datetime_to":"[^"]*"', '"datetime_to":"2020-01-01"'))
+        .when(sensor % 11 == 5, F.concat(F.col("content"), F.col("content")))
+        .when(sensor % 11 == 6, F.concat(F.col("content"), F.lit(" junk}")))
+        .when(sensor % 11 == 7, F.regexp_replace("content", r'"datetime_from":"([^"T]*)T', '"datetime_from":"$1 '))
+        .when(sensor % 11 == 8, F.regexp_replace("content", boundary, '"datetime_$1":"$2$3$4T$5$6$7Z"'))
+        .when(sensor % 11 == 9, F.concat(F.col("content"), F.lit(","), F.col("content")))
         .otherwise(F.col("content"))
     )
     parsed = envelopes.parse_envelopes(files.select("path", content.alias("content")))
@@ -310,12 +317,15 @@ def curated_manifest(t: DriverTables) -> DataFrame:
 
 @query
 def readback_diff(t: DriverTables) -> DataFrame:
-    """Difference of curated rows and a copy with changed, lost and doubled rows."""
-    columns = [*KEY, "unit", "value"]
+    """Difference of curated rows, over all columns, and a copy with changed, lost and doubled rows."""
     rows = t.observations_with_event
+    columns = [*(name for name in OBSERVATION_COLUMNS if name in rows.columns), "measurement_date_utc"]
     copies = F.when(divides(97), 0).when(divides(89), 2).otherwise(1)
-    actual = rows.withColumn(
-        "value", F.when(divides(83), F.col("value") + 1).otherwise(F.col("value"))
+    actual = rows.withColumns(
+        {
+            "value": F.when(divides(83), F.col("value") + 1).otherwise(F.col("value")),
+            "source_file": F.when(divides(79), F.concat("source_file", F.lit("~"))).otherwise(F.col("source_file")),
+        }
     ).withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies)))
     return curation.content_difference(rows.select(*columns), actual.select(*columns))
 
@@ -368,7 +378,7 @@ def request_cache(t: DriverTables) -> DataFrame:
     )
     cached = plan.filter(F.col("location_id") % 2 == 0).select("request_key")
     return enrichment.split_cached(plan, cached).select(
-        "location_id", "start_date", "end_date", F.col("cache_hit").cast("int").alias("cache_hit")
+        "location_id", "start_date", "end_date", "request_key", F.col("cache_hit").cast("int").alias("cache_hit")
     )
 
 
@@ -397,13 +407,16 @@ def warehouse_violations(t: DriverTables) -> DataFrame:
 
 @query
 def warehouse_checks(t: DriverTables) -> DataFrame:
-    """Load checks over rows with repeats, and without locations 5, 10, ..."""
+    """Load checks over rows with repeats and of unknown locations."""
     rows = t.observations_with_event
     again = rows.filter(divides(97))
-    loaded = rows.unionByName(again).withColumn(
-        "parameter", F.when(divides(83), "no2").otherwise(F.col("parameter"))
+    loaded = rows.unionByName(again).withColumns(
+        {
+            "parameter": F.when(divides(83), "no2").otherwise(F.col("parameter")),
+            "location_id": _moved_away(),
+        }
     )
-    return warehouse.load_checks(loaded, t.locations.filter(F.col("location_id") % 5 != 0))
+    return warehouse.load_checks(loaded, t.locations)
 
 
 @query
@@ -414,18 +427,25 @@ def load_summary(t: DriverTables) -> DataFrame:
 # -- model tests ---------------------------------------------------------------------------------
 
 
+def _moved_away() -> Column:
+    """Every fifth location's rows name a location that the dimension lacks."""
+    place = F.col("location_id")
+    return F.when(place % 5 == 0, place + 1000).otherwise(place)
+
+
 def _faulty_relations(t: DriverTables) -> dict[str, DataFrame]:
     """The nine tested relations over observations with planted faults."""
     rows = enrichment.join_weather(t.observations_with_event, t.hours)
     rows = rows.withColumns(
         {
+            "location_id": _moved_away(),
             "unit": F.when(~divides(97), F.col("unit")),
             "parameter": F.when(divides(89), "no2").otherwise(F.col("parameter")),
             "source": F.when(~divides(83), F.col("source")),
         }
     )
     observations = models.staged_observations(rows.unionByName(rows.filter(divides(79))))
-    sites = t.locations.filter(F.col("location_id") % 5 != 0)
+    sites = t.locations
     fact = models.fact(observations, sites)
     return {
         "locations": sites.unionByName(sites.filter(F.col("location_id") % 8 == 0)),
@@ -528,7 +548,9 @@ def qt_weather_matches(t: DriverTables) -> DataFrame:
         F.when(F.col("location_id") % 4 == 0, F.col("observation_count") + 1).otherwise(
             F.col("observation_count")
         ),
-    ).filter("location_id % 5 <> 0")
+    )
+    # Groups of every fifth location appear under another name: one lacks, one is too many.
+    mart = mart.withColumn("location_id", _moved_away())
     return expectations.weather_mart_differences(t.fact, mart)
 
 
@@ -537,7 +559,14 @@ def qt_weather_matches(t: DriverTables) -> DataFrame:
 
 @query
 def location_selection(t: DriverTables) -> DataFrame:
-    return acquisition.select_locations(t.configured)
+    """All locations, the one asked for, and the outcome for one that is unknown."""
+    every = acquisition.select_locations(t.configured).withColumn("scope", F.lit("all"))
+    one = acquisition.select_locations(t.configured, 7).withColumn("scope", F.lit("one"))
+    try:
+        unknown = acquisition.select_locations(t.configured, 999).withColumn("scope", F.lit("unknown"))
+    except InputError as refused:
+        unknown = one.withColumns({"scope": F.lit("unknown"), "id": F.lit(999).cast("bigint"), "name": F.lit(str(refused))})
+    return every.unionByName(one).unionByName(unknown)
 
 
 @query
@@ -597,7 +626,22 @@ def catalogue_flatten(t: DriverTables) -> DataFrame:
 
 @query
 def catalogue_totals(t: DriverTables) -> DataFrame:
-    rows = location_sources.catalogue_totals(t.catalogue_pages())
+    """Totals that are text, too large, reached, spelled with a zero, or differ between pages."""
+    pages = t.catalogue_pages()
+    even = F.col("path").cast("int") % 2 == 0
+    stated = {
+        "text": F.lit('">1000"'),
+        "more": F.lit("100000"),
+        "reached": F.lit("5"),
+        "spelled": F.when(even, '"0999"').otherwise("999"),
+        "differing": F.when(even, "999").otherwise("1000"),
+    }
+    cases = []
+    for name, found in stated.items():
+        content = F.replace(F.col("content"), F.lit('"found":">1000"'), F.concat(F.lit('"found":'), found))
+        totals = location_sources.catalogue_totals(pages.withColumn("content", content))
+        cases.append(totals.withColumn("stated", F.lit(name)))
+    rows = functools.reduce(DataFrame.unionByName, cases)
     return rows.withColumn("incomplete", F.coalesce(F.col("incomplete").cast("string"), F.lit("unknown")))
 
 

@@ -27,7 +27,7 @@ from envlake.sinks.registry import content_hash
 # An envelope holds the records of one sensor within one block of event ids, so
 # it never exceeds this many records however often a sensor occurs.
 ENVELOPE_BLOCK = 20_000
-CATALOGUE_PAGE = 1000
+CATALOGUE_PAGE = 4
 
 
 def divides(divisor: int, column: str = "event_id") -> Column:
@@ -339,6 +339,7 @@ class DriverTables:
             f'"{name}":"{unit}"' for name, unit in zip(WEATHER_VARIABLES, WEATHER_UNITS, strict=True)
         )
         day = F.date_format("day", "yyyy-MM-dd")
+        arrays[-3 * len(WEATHER_VARIABLES)] = F.when(fault == 13, F.lit(',"other":[')).otherwise(arrays[-3 * len(WEATHER_VARIABLES)])
         content = F.concat(
             F.lit(f'{{"schema_version":1,"source":"{WEATHER_SOURCE}","request":{{"location_id":'),
             F.col("location_id").cast("string"),
@@ -350,7 +351,9 @@ class DriverTables:
             day,
             F.lit('","end_date":"'),
             day,
-            F.lit('"},"response":{"latitude":'),
+            F.lit('"},"response":{'),
+            F.when(fault == 12, '"error":true,').otherwise(""),
+            F.lit('"latitude":'),
             F.when(fault == 10, "95.0").otherwise(latitude_of(F.col("location_id")).cast("string")),
             F.lit(',"longitude":'),
             longitude_of(F.col("location_id")).cast("string"),
@@ -360,7 +363,7 @@ class DriverTables:
             F.when(fault == 2, units.replace("mm", "inch")).otherwise(units),
             F.lit('},"hourly":{'),
             *arrays,
-            F.lit("}}}"),
+            F.when(fault == 11, "}}").otherwise("}}}"),
         )
         path = F.concat(
             F.lit("open_meteo/hourly/location_id="), F.col("location_id").cast("string"), F.lit("/"), day
@@ -442,18 +445,23 @@ class DriverTables:
         return self.events.select("location_id", "sensor_id", parameter.alias("parameter")).distinct()
 
     def pages(self) -> DataFrame:
-        """Page sequences of five pages per run, with faults by run."""
+        """Page sequences of five pages per run, with faults by run; some page numbers are none."""
         key = F.col("o_orderkey")
         run, page = F.floor(key / 5).cast("bigint"), key % 5 + 1
         rows = self.read("orders").select(run.alias("run_id"), page.alias("page"))
         run, page = F.col("run_id"), F.col("page")
+        number = (
+            F.when((run % 41 == 0) & (page == 1), F.lit(0))
+            .when((run % 43 == 0) & (page == 5), F.lit(acquisition.MAX_PAGES + 1))
+            .when(~((run % 47 == 0) & (page == 2)), page)
+        )
         tail = run % 1000
         last = page == 5
         total = F.when(run % 17 == 0, tail + 4001).otherwise(tail + 4000)
         return rows.select(
             F.lit("measurements").alias("resource"),
             "run_id",
-            "page",
+            number.cast("bigint").alias("page"),
             (~((run % 19 == 0) & (page == 3))).alias("results_ok"),
             F.when((run % 23 == 0) & (page == 2), "7").otherwise(page.cast("string")).alias("meta_page"),
             F.when((run % 29 == 0) & (page == 4), "500").otherwise("1000").alias("meta_limit"),
@@ -466,7 +474,7 @@ class DriverTables:
         )
 
     def catalogue_pages(self) -> DataFrame:
-        """(path, content) of catalogue pages of at most 1000 locations each."""
+        """(path, content) of catalogue pages of a few locations each."""
         supplier = self.read("supplier")
         names = F.array(F.lit("pm25"), F.lit("pm10"), F.lit("no2"), F.lit(""))
         pick = lambda n: F.element_at(names, ((F.col("s_suppkey") + n) % 4 + 1).cast("int"))
@@ -592,11 +600,17 @@ class DriverTables:
             (F.col("o_custkey") % 100).alias("returned"),
         )
         stored = F.when(pair % 11 == 0, 9).otherwise(0)
-        known = orders.filter((key % 2 == 0) & (pair % 3 == 0)).select(
-            path.alias("path"),
-            content_hash(
-                F.concat(F.lit('{"pair": '), pair.cast("string"), F.lit(', "shift": '), stored.cast("string"), F.lit("}"))
-            ).alias("content_hash"),
+        # Two runs have registered every fifth pair; for some the digests differ.
+        runs = F.when(pair % 5 == 0, F.array(stored, F.when(pair % 15 == 0, stored).otherwise(7))).otherwise(F.array(stored))
+        known = (
+            orders.filter((key % 2 == 0) & ((pair % 3 == 0) | (pair % 5 == 0)))
+            .select(path.alias("path"), pair.alias("pair"), F.explode(runs).alias("shift"))
+            .select(
+                "path",
+                content_hash(
+                    F.concat(F.lit('{"pair": '), F.col("pair").cast("string"), F.lit(', "shift": '), F.col("shift").cast("string"), F.lit("}"))
+                ).alias("content_hash"),
+            )
         )
         return incoming, known
 

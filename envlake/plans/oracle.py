@@ -295,8 +295,10 @@ SQL["metric_card"] = _with("byloc", _AVERAGES.format("WHERE parameter = 'pm10'")
 SQL["locations_with_parameters"] = _with(
     "byloc",
     """SELECT l.location_id, l.location_name, l.latitude, l.longitude, coalesce(p.parameters, '') AS parameters
-    FROM loc l LEFT JOIN (SELECT location_id, string_agg(parameter, ',' ORDER BY parameter) AS parameters
-        FROM (SELECT DISTINCT location_id, parameter FROM byloc WHERE location_id <> 25) GROUP BY location_id) p
+    FROM (SELECT location_id, location_name, latitude, longitude FROM loc UNION ALL
+        SELECT 99, location_name, latitude, longitude FROM loc WHERE location_id = 25) l
+    LEFT JOIN (SELECT location_id, string_agg(parameter, ',' ORDER BY parameter) AS parameters
+        FROM (SELECT DISTINCT location_id, parameter FROM byloc) GROUP BY location_id) p
     ON p.location_id = l.location_id""",
 )
 SQL["location_header"] = _with(
@@ -423,8 +425,8 @@ SQL["quality_report"] = _with(
 SQL["envelope_checks"] = _with(
     "rec",
     f""", f AS (SELECT DISTINCT {_path('batch')} AS path, sensor_id, batch FROM rec WHERE batch < 2),
-    judged AS (SELECT *, CASE WHEN sensor_id % 7 IN (0, 1, 2, 4) THEN 'invalid raw envelope/provenance'
-        WHEN sensor_id % 7 = 3 THEN 'unreadable or invalid JSON' ELSE 'valid' END AS outcome FROM f)
+    judged AS (SELECT *, CASE WHEN sensor_id % 11 IN (0, 1, 2, 4, 7) THEN 'invalid raw envelope/provenance'
+        WHEN sensor_id % 11 IN (3, 5, 6, 9) THEN 'unreadable or invalid JSON' ELSE 'valid' END AS outcome FROM f)
     SELECT outcome, count(*) AS files, arg_min(path, string_split(path, '/')) AS first_path FROM judged GROUP BY outcome""",
 )
 
@@ -470,24 +472,28 @@ SQL["curated_manifest"] = _with(
 SQL["readback_diff"] = _with(
     "obs",
     f""", copied AS (
-        SELECT *, CASE WHEN event_id % 83 = 0 THEN value + 1 ELSE value END AS new_value,
+        SELECT *, event_id % 83 = 0 OR event_id % 79 = 0 AS changed,
             CASE WHEN event_id % 97 = 0 THEN 0 WHEN event_id % 89 = 0 THEN 2 ELSE 1 END AS copies FROM obs),
-    lost AS (SELECT *, value AS v, -1 AS s FROM copied WHERE event_id % 83 = 0 OR copies = 0),
-    more AS (SELECT *, new_value AS v, CASE WHEN event_id % 83 = 0 THEN copies ELSE copies - 1 END AS s FROM copied
-        WHERE (event_id % 83 = 0 AND copies > 0) OR copies = 2)
-    SELECT {KEY}, unit, v AS value, s::BIGINT AS surplus FROM lost
-    UNION ALL SELECT {KEY}, unit, v, s::BIGINT FROM more""",
+    lost AS (SELECT *, -1 AS s FROM copied WHERE changed OR copies = 0),
+    more AS (SELECT * REPLACE (CASE WHEN event_id % 83 = 0 THEN value + 1 ELSE value END AS value,
+            CASE WHEN event_id % 79 = 0 THEN source_file || '~' ELSE source_file END AS source_file),
+            CASE WHEN changed THEN copies ELSE copies - 1 END AS s FROM copied
+        WHERE (changed AND copies > 0) OR copies = 2)
+    SELECT source, location_id, location_name, sensor_id, parameter, parameter_id, unit, value, period_label,
+    period_interval, {_t('datetime_from_utc')}, {_t('datetime_to_utc')}, datetime_from_local, datetime_to_local,
+    latitude, longitude, source_file, retrieval_datetime_from, retrieval_datetime_to, {_d('measurement_date_utc')},
+    s::BIGINT AS surplus FROM (SELECT * FROM lost UNION ALL SELECT * FROM more)""",
 )
 _WEATHER_FILES = """, f AS (SELECT *, (day(d) + location_id) % 23 AS fault FROM (
     SELECT location_id, weather_hour_utc::DATE AS d, count(*) AS hours,
         count(temperature_2m_c) AS known FROM wx GROUP BY ALL)) """
 _WEATHER_RULES = {
-    "unreadable": "false",
-    "provider_error": "false",
-    "not_utc": "fault = 1",
-    "missing_array": "false",
+    "unreadable": "fault = 11",
+    "provider_error": "fault = 12",
+    "not_utc": "fault IN (1, 11)",
+    "missing_array": "fault IN (11, 13)",
     "unequal_arrays": "fault = 9",
-    "wrong_units": "fault = 2",
+    "wrong_units": "fault IN (2, 11)",
     "bad_hour": "fault = 4",
     "duplicate_hour": "fault = 3",
     "bad_temperature": "fault = 5",
@@ -501,7 +507,7 @@ _METRICS = "temperature_2m_c, relative_humidity_2m_pct, precipitation_mm, wind_s
 SQL["weather_hours"] = _with(
     "wx",
     f"""SELECT location_id, {_t('weather_hour_utc')}, {_METRICS} FROM wx
-    WHERE (day(wx.weather_hour_utc) + location_id) % 23 NOT BETWEEN 1 AND 10""",
+    WHERE (day(wx.weather_hour_utc) + location_id) % 23 NOT BETWEEN 1 AND 13""",
 )
 SQL["available_hours"] = _with("avail", f"SELECT location_id, {_t('weather_hour_utc')}, {_METRICS} FROM avail")
 SQL["coordinates_resolved"] = _with(
@@ -529,7 +535,11 @@ SQL["request_plan"] = _with("obs conf", _REQUESTS + "SELECT * FROM q")
 SQL["request_cache"] = _with(
     "obs conf",
     _REQUESTS
-    + """SELECT location_id, start_date, end_date, (location_id % 2 = 0)::BIGINT AS cache_hit FROM q
+    + """SELECT location_id, start_date, end_date, (location_id % 2 = 0)::BIGINT AS cache_hit,
+    sha256('{"end_date":"' || end_date || '","hourly":"temperature_2m,relative_humidity_2m,precipitation,wind_speed_10m"'
+        || ',"latitude":' || latitude || ',"location_id":' || location_id || ',"longitude":' || longitude
+        || ',"precipitation_unit":"mm","start_date":"' || start_date
+        || '","temperature_unit":"celsius","timezone":"UTC","wind_speed_unit":"kmh"}') AS request_key FROM q
     WHERE coordinate_error IS NULL""",
 )
 SQL["enrichment_manifest"] = _with(
@@ -575,7 +585,7 @@ SQL["warehouse_violations"] = _with(
 SQL["warehouse_checks"] = _with(
     "obs loc",
     """, r AS (SELECT * FROM obs UNION ALL SELECT * FROM obs WHERE event_id % 97 = 0)
-    SELECT count(*) AS observations, (SELECT count(*) FROM loc WHERE location_id % 5 <> 0) AS locations,
+    SELECT count(*) AS observations, (SELECT count(*) FROM loc) AS locations,
     count(*) FILTER (WHERE event_id % 97 = 0) // 2 AS duplicate_keys,
     count(*) FILTER (WHERE event_id % 83 = 0) AS bad_parameters,
     count(*) FILTER (WHERE location_id % 5 = 0) AS orphans FROM r""",
@@ -591,12 +601,12 @@ SQL["load_summary"] = _with(
 )
 
 # Observations and locations with the faults the model tests look for.
-_QT = """, base AS (SELECT event_id, location_id, sensor_id, datetime_from_utc, datetime_to_utc, measurement_date_utc, value,
+_QT = """, base AS (SELECT event_id, CASE WHEN location_id % 5 = 0 THEN location_id + 1000 ELSE location_id END AS location_id, sensor_id, datetime_from_utc, datetime_to_utc, measurement_date_utc, value,
         CASE WHEN event_id % 97 <> 0 THEN unit END AS unit,
         CASE WHEN event_id % 89 = 0 THEN 'no2' ELSE parameter END AS parameter,
         CASE WHEN event_id % 83 <> 0 THEN source END AS source, weather_source IS NOT NULL AS matched FROM enr),
     qt AS (SELECT * FROM base UNION ALL SELECT * FROM base WHERE event_id % 79 = 0),
-    site AS (SELECT * FROM loc WHERE location_id % 5 <> 0),
+    site AS (SELECT * FROM loc),
     sites AS (SELECT * FROM site UNION ALL SELECT * FROM site WHERE location_id % 8 = 0),
     qd AS (SELECT DISTINCT measurement_date_utc, location_id, parameter, unit FROM qt),
     ql AS (SELECT DISTINCT location_id, parameter, unit FROM qt),
@@ -680,10 +690,18 @@ SQL["qt_invariants"] = _with(
     UNION ALL SELECT 'location', location_id, parameter, unit FROM byloc WHERE location_id % 4 = 0""",
 )
 SQL["qt_weather_matches"] = _with(
-    "wmart", "SELECT location_id, parameter, unit FROM wmart WHERE location_id % 4 = 0 OR location_id % 5 = 0"
+    "wmart",
+    """SELECT location_id, parameter, unit FROM wmart WHERE location_id % 4 = 0 OR location_id % 5 = 0
+    UNION ALL SELECT location_id + 1000, parameter, unit FROM wmart WHERE location_id % 5 = 0""",
 )
 
-SQL["location_selection"] = _with("conf", "SELECT id::BIGINT AS id, name, latitude, longitude FROM conf")
+SQL["location_selection"] = _with(
+    "conf",
+    """SELECT 'all' AS scope, id::BIGINT AS id, name, latitude, longitude FROM conf
+    UNION ALL SELECT 'one', id, name, latitude, longitude FROM conf WHERE id = 7
+    UNION ALL SELECT 'unknown', 999, 'location_id must belong to the approved configuration.', latitude, longitude
+    FROM conf WHERE id = 7""",
+)
 _SENSORS = """, s AS (SELECT DISTINCT location_id, sensor_id, CASE WHEN location_id % 6 = 0 THEN 'no2'
     WHEN location_id % 4 = 0 THEN 'pm25' ELSE parameter END AS parameter FROM ev) """
 SQL["sensor_selection"] = _with("ev", _SENSORS + "SELECT * FROM s WHERE parameter IN ('pm25', 'pm10')")
@@ -736,8 +754,11 @@ SQL["checkpoint_safety"] = (
     r.first_reason, coalesce(s.n, 0) AS location_count
     FROM customer c LEFT JOIN r ON r.run_id = c_custkey LEFT JOIN s ON s.run_id = c_custkey"""
 )
-# The first fault or the completion by page; every run has pages 1 to 5.
-SQL["page_audit"] = """WITH p AS (SELECT o_orderkey // 5 AS run_id, o_orderkey % 5 + 1 AS page FROM orders),
+# The first fault or the completion by page; runs have pages 1 to 5, some of them with other numbers.
+SQL["page_audit"] = """WITH a AS (SELECT o_orderkey // 5 AS run_id, o_orderkey % 5 + 1 AS page FROM orders),
+    odd AS (SELECT run_id, bool_or((run_id % 41 = 0 AND page = 1) OR (run_id % 47 = 0 AND page = 2)) AS bad,
+        bool_or(run_id % 43 = 0 AND page = 5 AND NOT (run_id % 41 = 0 AND page = 1)) AS beyond FROM a GROUP BY run_id),
+    p AS (SELECT * FROM a WHERE NOT (run_id % 43 = 0 AND page = 5)),
     j AS (SELECT *, run_id % 1000 AS tail, run_id % 3 <> 0 AS known,
         CASE WHEN page = 5 THEN run_id % 1000 ELSE 1000 END AS returned,
         run_id % 1000 + CASE WHEN run_id % 17 = 0 THEN 4001 ELSE 4000 END AS total FROM p),
@@ -751,9 +772,11 @@ SQL["page_audit"] = """WITH p AS (SELECT o_orderkey // 5 AS run_id, o_orderkey %
         WHEN CASE WHEN known THEN running >= total ELSE returned < 1000 END THEN 'complete' END AS outcome FROM k),
     l AS (SELECT run_id, min(page) FILTER (WHERE outcome IS NOT NULL) AS last_page, max(page) AS pages,
         max(running) AS everything FROM o GROUP BY run_id)
-    SELECT 'measurements' AS resource, l.run_id, coalesce(o.outcome, 'incomplete') AS status,
-    coalesce(last_page, pages) AS pages_fetched, coalesce(o.running, everything)::BIGINT AS returned
-    FROM l LEFT JOIN o ON o.run_id = l.run_id AND o.page = l.last_page"""
+    SELECT 'measurements' AS resource, odd.run_id, CASE WHEN bad THEN 'inconsistent_page_number'
+        ELSE coalesce(o.outcome, CASE WHEN beyond THEN 'page_limit_exceeded' ELSE 'incomplete' END) END AS status,
+    CASE WHEN bad THEN 0 ELSE coalesce(last_page, pages, 0) END AS pages_fetched,
+    CASE WHEN bad THEN 0 ELSE coalesce(o.running, everything, 0) END::BIGINT AS returned
+    FROM odd LEFT JOIN l ON l.run_id = odd.run_id LEFT JOIN o ON o.run_id = l.run_id AND o.page = l.last_page"""
 SQL["acquisition_summary"] = """WITH r AS (SELECT l_suppkey AS run_id, l_linenumber AS line,
         CASE WHEN l_discount = 0 THEN 0 ELSE l_quantity END::BIGINT AS returned FROM lineitem)
     SELECT run_id, count(*) AS sensors_queried, sum(returned)::BIGINT AS total_measurements,
@@ -771,14 +794,19 @@ SQL["catalogue_flatten"] = """SELECT s_suppkey AS id, s_name AS name,
     CASE WHEN s_suppkey % 7 = 0 THEN '' ELSE CASE s_suppkey % 4
         WHEN 0 THEN 'pm25,pm10' WHEN 1 THEN 'pm10,no2,pm25' WHEN 2 THEN 'no2,pm10' ELSE 'pm25,no2' END END AS parameters
     FROM supplier"""
-SQL["catalogue_totals"] = (
-    "SELECT count(*) AS returned, NULL::VARCHAR AS found, 'unknown' AS incomplete FROM supplier"
-)
+SQL["catalogue_totals"] = """WITH s AS (SELECT count(*) AS returned FROM supplier)
+    SELECT 'text' AS stated, returned, NULL::VARCHAR AS found, 'unknown' AS incomplete FROM s
+    UNION ALL SELECT 'more', returned, '100000', 'true' FROM s
+    UNION ALL SELECT 'reached', returned, '5', CASE WHEN 5 > returned THEN 'true' ELSE 'false' END FROM s
+    UNION ALL SELECT 'spelled', returned, '999', CASE WHEN 999 > returned THEN 'true' ELSE 'false' END FROM s
+    UNION ALL SELECT 'differing', returned, NULL, 'true' FROM s"""
 _REGISTERED = """WITH i AS (SELECT o_orderkey // 2 AS pair, o_orderkey % 2 AS half, o_custkey % 100 AS returned,
         CASE WHEN o_orderkey % 2 = 1 AND (o_orderkey // 2) % 13 = 0 THEN 1 ELSE 0 END AS shift FROM orders),
     g AS (SELECT pair, count(*) AS copies, min(shift) AS lo, max(shift) AS hi, sum(returned)::BIGINT AS measurements,
-        bool_or(half = 0) AND pair % 3 = 0 AS known, CASE WHEN pair % 11 = 0 THEN 9 ELSE 0 END AS stored FROM i GROUP BY pair),
-    s AS (SELECT 'batch/' || pair AS path, CASE WHEN lo <> hi OR (known AND stored <> lo) THEN 'conflict'
+        bool_or(half = 0) AND (pair % 3 = 0 OR pair % 5 = 0) AS known, CASE WHEN pair % 11 = 0 THEN 9 ELSE 0 END AS stored
+        FROM i GROUP BY pair),
+    s AS (SELECT 'batch/' || pair AS path,
+        CASE WHEN lo <> hi OR (known AND (stored <> lo OR (pair % 5 = 0 AND pair % 15 <> 0))) THEN 'conflict'
         WHEN known THEN 'reused' ELSE 'written' END AS status, copies, measurements FROM g),
     reg AS (SELECT path, status, CASE WHEN status = 'written' THEN 1 ELSE 0 END AS batches_written,
         CASE status WHEN 'written' THEN copies - 1 WHEN 'reused' THEN copies ELSE 0 END AS batches_reused,

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from envlake.domain import SCHEMA_VERSION, SOURCE
-from envlake.errors import ConflictError, InputError
+from envlake.errors import ConflictError, InputError, is_missing_path
 from envlake.functions import rules, variants
 from envlake.operators.acquisition import (
     batch_path,
@@ -73,7 +73,9 @@ def content_hash(content):
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(REGISTRY_DDL).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
         return spark.createDataFrame([], REGISTRY_DDL)
 
 

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from envlake.errors import InputError
+from envlake.errors import InputError, is_missing_path
 
 PUBLISHED_DDL = "version string, published_at bigint, tables array<string>, manifest string"
 
@@ -65,7 +65,9 @@ class SnapshotStore:
         """Version of the current snapshot, or None before the first one."""
         try:
             records = self.spark.read.schema(PUBLISHED_DDL).json(f"{self.root}/{name}/published")
-        except AnalysisException:
+        except AnalysisException as error:
+            if not is_missing_path(error):
+                raise
             return None
         return records.agg(F.max_by("version", F.struct("published_at", "version"))).first()[0]
 

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from envlake.domain import SCHEMA_VERSION, SOURCE
-from envlake.errors import InputError
+from envlake.errors import InputError, is_missing_path
 from envlake.functions import instants, text, variants
 
 # Place and kind of the landed batches.
@@ -24,9 +24,9 @@ REQUIRED_RETRIEVAL = (
 UNREADABLE = "unreadable or invalid JSON"
 BROKEN_CONTRACT = "invalid raw envelope/provenance"
 
-ENVELOPE_DDL = (
-    "source variant, resource variant, schema_version variant, retrieval variant, "
-    "source_meta variant, source_pages variant, measurements array<string>"
+ENVELOPE_STRUCT = (
+    "source: variant, resource: variant, schema_version: variant, retrieval: variant, "
+    "source_meta: variant, source_pages: variant, measurements: array<string>"
 )
 
 
@@ -43,6 +43,8 @@ def read_raw_files(spark: SparkSession, raw_dir: str) -> DataFrame:
             pathGlobFilter="*.json",
         )
     except AnalysisException as missing:
+        if not is_missing_path(missing):
+            raise
         raise InputError(f"No measurement batches found below {RAW_SUBDIR}.") from missing
     return files.select(
         relative_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("content")
@@ -59,10 +61,16 @@ def parse_envelopes(files: DataFrame) -> DataFrame:
 
     Measurements are split as text first and parsed one by one later: a record
     with a non-finite number must not make its whole envelope unreadable.
+
+    The content is read as the first element of an array that ends in a null. More
+    elements, or a broken array, show a file that is not one JSON document.
     """
-    looks_like_object = F.btrim("content", F.lit(text.WHITESPACE)).rlike(r"(?s)^\{.*\}$")
-    envelope = F.when(looks_like_object, F.from_json("content", ENVELOPE_DDL))
-    parsed = files.select("path", envelope.alias("e")).select(
+    stripped = F.btrim("content", F.lit(text.WHITESPACE))
+    inside = F.concat(F.lit("["), stripped, F.lit(",null]"))
+    documents = F.when(stripped.startswith("{") & stripped.endswith("}"), F.from_json(inside, f"array<struct<{ENVELOPE_STRUCT}>>"))
+    split = files.select("path", documents.alias("d"))
+    whole = (F.size("d") == 2) & F.col("d")[1].isNull()
+    parsed = split.select("path", F.when(whole, F.col("d")[0]).alias("e")).select(
         "path", F.col("e").isNull().alias("_unreadable"), "e.*"
     )
     start = variants.text_of(variants.member(F.col("retrieval"), "$.datetime_from"))
@@ -141,7 +149,8 @@ def _contract(start: Column, end: Column) -> Column:
 def window_holds(start: Column, end: Column) -> Column:
     """Both boundaries are dates or both are zoned instants, and end > start."""
     dates = instants.parse_date(end) > instants.parse_date(start)
-    times = instants.parse_instant(end) > instants.parse_instant(start)
+    with_t = lambda value: F.when(F.contains(value, F.lit("T")), value)
+    times = instants.parse_instant(with_t(end)) > instants.parse_instant(with_t(start))
     return F.coalesce(dates, F.lit(False)) | F.coalesce(times, F.lit(False))
 
 

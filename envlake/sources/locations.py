@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from envlake.functions import variants
+from envlake.functions import text, variants
 from envlake.operators.acquisition import count_text, incomplete
 
 LOCATION_STRUCT = (
@@ -78,14 +78,25 @@ def flatten_catalogue(pages: DataFrame) -> DataFrame:
 
 
 def catalogue_totals(pages: DataFrame) -> DataFrame:
-    """Rows returned, total the source names, and the completeness tri-state."""
+    """Rows returned, total the source names, and the completeness tri-state.
+
+    Totals are compared as numbers. Pages that name different totals leave it open, as
+    they cannot belong to one retrieval: ``found`` is then null and ``incomplete`` true.
+    Text that is no plain number is shown only where no page has a number.
+    """
     parts = pages.select(
         F.from_json("content", "meta variant, results array<string>").alias("p")
     ).select(
         F.size("p.results").cast("bigint").alias("rows"),
         count_text(variants.member(F.col("p.meta"), "$.found")).alias("found"),
     )
-    totals = parts.agg(F.sum("rows").alias("returned"), F.max("found").alias("found"))
-    return totals.withColumn(
-        "incomplete", incomplete(F.col("found"), F.col("returned"), F.lit(None).cast("boolean"))
+    number = F.when(text.digits_only(F.col("found")), text.strip(F.col("found")).try_cast("decimal(38,0)"))
+    totals = parts.agg(
+        F.sum("rows").alias("returned"), F.min(number).alias("least"), F.max(number).alias("most"), F.max("found").alias("other")
+    )
+    differing = F.coalesce(F.col("least") != F.col("most"), F.lit(False))
+    found = F.when(~differing, F.coalesce(F.col("most").cast("string"), F.col("other")))
+    state = incomplete(F.col("found"), F.col("returned"), F.lit(None).cast("boolean"))
+    return totals.select("returned", found.alias("found"), differing.alias("differing")).select(
+        "returned", "found", F.when(F.col("differing"), F.lit(True)).otherwise(state).alias("incomplete")
     )

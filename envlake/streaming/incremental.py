@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from envlake.domain import IDENTITY, NANO_COLUMNS, OBSERVATION_COLUMNS, WEATHER_COLUMNS, column_type
-from envlake.errors import ConflictError
+from envlake.errors import ConflictError, is_missing_path
 from envlake.operators import dedup, enrichment, models
 from envlake.operators.normalize import normalize
 from envlake.session import configure
@@ -137,7 +137,9 @@ class IncrementalBuild:
         ddl = f"{schema}, signature string, source_order {order}, measurement_date_utc date, batch_id bigint"
         try:
             rows = self.spark.read.schema(ddl).parquet(f"{self.folder}/log")
-        except AnalysisException:
+        except AnalysisException as error:
+            if not is_missing_path(error):
+                raise
             rows = self.spark.createDataFrame([], ddl)
         if before is not None:
             rows = rows.filter(F.col("batch_id") < before)

@@ -78,7 +78,7 @@ def main(argv: list[str]) -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, failed = connect(folder), contract.oracle_sql(), []
     for name, plan in contract.queries().items():
-        if argv[1:] and name not in argv[1:]:
+        if name not in sqls or (argv[1:] and name not in argv[1:]):
             continue
         started = time.time()
         try:

@@ -10,8 +10,8 @@ from envlake.plans import catalog
 from envlake.plans.driver_tables import DriverTables
 
 FOLDER = "/root/testdata/sf0.001"
-PLANS = contract.queries()
-SQL = contract.oracle_sql()
+PLANS = catalog.queries()
+SQL = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +33,11 @@ def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["agg_location", "dedup_rows", "location_recent20", "run_audit_fold", "series_trends"])
+def test_all_are_registered():
+    assert set(PLANS) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", [name for name in PLANS if not name.startswith(("stream_", "build_"))])
 def test_no_python_and_no_cross_join(spark, name):
     plan = plan_of(spark, name)
     assert "Python" not in plan and "Pandas" not in plan
