@@ -720,6 +720,16 @@ def latest_run(t: DriverTables) -> DataFrame:
     return serving.latest_run(run_audit.fold_runs(t.run_events()), "daily")
 
 
+# -- whole build -------------------------------------------------------------------------------------------
+
+
+@query
+def build_report(t: DriverTables) -> DataFrame:
+    from envlake.plans import rebuild
+
+    return rebuild.build_report(t)
+
+
 # -- streaming ---------------------------------------------------------------------------------------------
 
 

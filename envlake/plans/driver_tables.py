@@ -190,7 +190,7 @@ class DriverTables:
 
     # -- raw envelopes -----------------------------------------------------------
 
-    def _record_text(self) -> Column:
+    def _record_text(self, nanoseconds: bool = True) -> Column:
         """Measurement JSON of a row, with the planted faults."""
         start, end = F.col("datetime_from_utc"), F.col("datetime_to_utc")
         other = F.when(F.col("parameter") == "pm25", "pm10").otherwise("pm25")
@@ -200,7 +200,7 @@ class DriverTables:
             .when(F.col("event_id") % 10 == 3, F.concat(F.lit(" "), F.upper("parameter"), F.lit(" ")))
             .otherwise(F.col("parameter"))
         )
-        nanos = F.when(divides(11), "123").otherwise("")
+        nanos = F.when(divides(11) & F.lit(nanoseconds), "123").otherwise("")
         shifted = (F.col("event_id") % 10 == 7) | F.col("offset_spelling")
 
         def utc(t: Column) -> Column:
@@ -254,7 +254,7 @@ class DriverTables:
             F.lit(',"flagInfo":{"hasFlags":false}}'),
         )
 
-    def envelopes(self, *, conflicts: bool = False) -> DataFrame:
+    def envelopes(self, *, conflicts: bool = False, nanoseconds: bool = True) -> DataFrame:
         """(path, content) of landed envelopes."""
         # Every event is in batch 0. Every fiftieth arrives again in batch 1, spelled
         # with an offset; on request some come back in batch 2 with another value.
@@ -272,7 +272,7 @@ class DriverTables:
             }
         )
         grouped = (
-            rows.withColumn("t", self._record_text())
+            rows.withColumn("t", self._record_text(nanoseconds))
             .select("location_id", "sensor_id", "parameter", "block", "batch", "event_id", "t")
             .groupBy("location_id", "sensor_id", "parameter", "block", "batch")
             .agg(F.array_sort(F.collect_list(F.struct("event_id", "t"))).alias("records"))
@@ -298,8 +298,8 @@ class DriverTables:
         )
         return grouped.select(envelope_path(F.col("batch")).alias("path"), content.alias("content"))
 
-    def weather_files(self) -> DataFrame:
-        """(path, content) of weather responses per location and day, some broken.
+    def weather_files(self, *, faults: bool = True) -> DataFrame:
+        """(path, content) of weather responses per location and day, some broken unless asked otherwise.
 
         The day number decides the fault; each file holds at most 25 hours.
         """
@@ -310,7 +310,7 @@ class DriverTables:
             *(F.coalesce(F.col(m).cast("string"), F.lit("null")).alias(m) for m in WEATHER_METRICS),
         )
         grouped = rows.groupBy("location_id", "day").agg(F.array_sort(F.collect_list(item)).alias("h"))
-        fault = (F.dayofmonth("day") + F.col("location_id")) % 23
+        fault = (F.dayofmonth("day") + F.col("location_id")) % 23 if faults else F.lit(0)
         times = F.transform("h.t", lambda t: F.concat(F.lit('"'), t, F.lit('"')))
         times = (
             F.when(fault == 3, F.concat(times, F.slice(times, 1, 1)))

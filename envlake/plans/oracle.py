@@ -6,6 +6,7 @@ reasons, for example, are a CASE over ``event_id`` and never touch JSON.
 
 from __future__ import annotations
 
+from envlake.domain import OBSERVATION_COLUMNS, WAREHOUSE_COLUMNS, WEATHER_COLUMNS
 from envlake.operators import routing
 from envlake.plans.driver_tables import REQUESTS
 
@@ -949,3 +950,70 @@ SQL["stream_incremental"] = _with(
         round(avg(value), 9) AS average_value, min(value) AS minimum_value, max(value) AS maximum_value
     FROM rec WHERE batch = 0 AND reason IS NULL GROUP BY ALL)""",
 )
+
+
+def _build_report() -> str:
+    """What a build over the accepted records leaves; column orders are those of the model."""
+    nanos = ["datetime_from_ns", "datetime_to_ns"]
+    observed = [*OBSERVATION_COLUMNS, *nanos]
+    # Partition columns come back last.
+    joined = [name for name in observed if name != "parameter"] + ["parameter", "measurement_date_utc", *WEATHER_COLUMNS]
+    canonical = ["canonical_location_name", "canonical_latitude", "canonical_longitude", "has_weather_context"]
+    weather = ["weather_context_count", "weather_context_percentage"]
+    statistics = ["location_name", "observation_count", "average_value", "minimum_value", "maximum_value", *weather]
+    grain = ["location_id", "parameter", "unit"]
+    columns = {
+        "curated": [*observed, "measurement_date_utc"],
+        "enriched": joined,
+        "agg_daily_air_quality": ["measurement_date_utc", *grain, *statistics],
+        "agg_location_air_quality": [*grain, *statistics, "earliest_observation_utc", "latest_observation_utc"],
+        "agg_pollution_weather": [
+            "measurement_date_utc", *grain, "location_name", "observation_count", "average_pollution_value",
+            "average_temperature_2m_c", "average_relative_humidity_2m_pct", "average_precipitation_mm",
+            "average_wind_speed_10m_kmh", "temperature_observation_count", "humidity_observation_count",
+            "precipitation_observation_count", "wind_observation_count",
+        ],
+        "fct_air_quality_observations": [n for n in WAREHOUSE_COLUMNS if n != "measurement_date_utc"] + canonical + ["measurement_date_utc"],
+    }
+    fixed = [("columns", name, ",".join(names)) for name, names in columns.items()]
+    fixed += [
+        ("manifest", "curated partition_columns", "parameter,measurement_date_utc"),
+        ("manifest", "enriched partition_columns", "parameter,measurement_date_utc"),
+        ("manifest", "enriched weather_variables", "temperature_2m,relative_humidity_2m,precipitation,wind_speed_10m"),
+        ("manifest", "curated schema_version", "1"),
+        ("manifest", "enriched schema_version", "1"),
+        ("order", "observations", "0"),
+        ("export", "differing rows", "0"),
+        ("second run", "weather", "refused"),
+        ("second run", "snapshots kept", "True"),
+    ]
+    values = ", ".join(f"('{part}', '{item}', '{value}')" for part, item, value in fixed)
+    grain_of = "measurement_date_utc, location_id, parameter, unit"
+    counts = [
+        ("manifest", "processed rows", "count(*)::VARCHAR"),
+        ("manifest", "curated row_count", "count(*)::VARCHAR"),
+        ("manifest", "enriched air_quality_rows", "count(*)::VARCHAR"),
+        ("manifest", "enriched weather_matched_rows", "count(*) FILTER (WHERE matched)::VARCHAR"),
+        ("rows", "fct_air_quality_observations", "count(*) || ' ' || count(*)"),
+        ("rows", "agg_daily_air_quality", f"count(DISTINCT ({grain_of})) || ' ' || count(*)"),
+        ("rows", "agg_location_air_quality", "count(DISTINCT (location_id, parameter, unit)) || ' ' || count(*)"),
+        (
+            "rows",
+            "agg_pollution_weather",
+            f"count(DISTINCT ({grain_of})) FILTER (WHERE matched) || ' ' || count(*) FILTER (WHERE matched)",
+        ),
+    ]
+    counted = " UNION ALL ".join(f"SELECT '{part}', '{item}', {value} FROM built" for part, item, value in counts)
+    report = SQL["quality_report"]
+    ctes, _, lines = report.partition("SELECT 'raw_files_discovered'")
+    avail = ", ".join(f"{name} AS ({PARTS[name]})" for name in ("wx", "avail"))
+    return f"""{ctes.rstrip()}, {avail},
+    built AS (SELECT k.*, a.location_id IS NOT NULL AS matched FROM kept k LEFT JOIN avail a
+        ON a.location_id = k.location_id AND a.weather_hour_utc = date_trunc('hour', k.datetime_to_utc)),
+    lines AS (SELECT 'raw_files_discovered'{lines})
+    SELECT 'report' AS part, trim(metric || ' ' || item) AS item, n::VARCHAR AS value FROM lines
+    UNION ALL {counted}
+    UNION ALL SELECT * FROM (VALUES {values}) f"""
+
+
+SQL["build_report"] = _build_report()

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from envlake.domain import CURATED_ORDER, IDENTITY, KEY, PARTITIONS
+from envlake.domain import CURATED_ORDER, IDENTITY, KEY, PARTITIONS, SCHEMA_VERSION, WEATHER_VARIABLES
 from envlake.errors import InputError
 from envlake.functions import rules
 from envlake.operators import curation, dedup, enrichment, expectations, models, warehouse
@@ -55,7 +55,10 @@ class Pipeline:
                 raise InputError("No measurement batches found.")
             dedup.require_publishable(rows)
 
-        self.store.publish("processed", {"collapsed": Table(collapsed)}, check=gate)
+        def report(staged: dict[str, DataFrame]) -> str:
+            return _as_json(dedup.quality_report(staged["collapsed"]))
+
+        self.store.publish("processed", {"collapsed": Table(collapsed)}, report, gate)
         return dedup.quality_report(self.store.read("processed", "collapsed"))
 
     def processed(self) -> DataFrame:
@@ -63,8 +66,11 @@ class Pipeline:
 
     def curate(self) -> DataFrame:
         curated = curation.curate(self.processed())
-        manifest = _as_json(curation.curated_manifest(curated))
         table = Table(curated, partition_by=PARTITIONS, order_by=CURATED_ORDER)
+
+        def manifest(staged: dict[str, DataFrame]) -> str:
+            return _as_json(curation.curated_manifest(staged["air_quality"]), columns=curated.columns, partition_columns=PARTITIONS)
+
         self.store.publish("curated", {"air_quality": table}, manifest)
         return self.curated()
 
@@ -92,7 +98,14 @@ class Pipeline:
                 raise InputError("enrichment changed the number of observations")
             rules.require_unique(staged["air_quality_weather"], IDENTITY, "enriched output")
 
-        manifest = _as_json(enrichment.enrichment_manifest(enriched, hours))
+        def manifest(staged: dict[str, DataFrame]) -> str:
+            return _as_json(
+                enrichment.enrichment_manifest(staged["air_quality_weather"], hours),
+                columns=enriched.columns,
+                partition_columns=PARTITIONS,
+                weather_variables=WEATHER_VARIABLES,
+            )
+
         table = Table(enriched, partition_by=PARTITIONS, order_by=CURATED_ORDER)
         self.store.publish("enriched", {"air_quality_weather": table}, manifest, gate)
         return self.enriched()
@@ -113,7 +126,7 @@ class Pipeline:
 
         tables = {
             "locations": Table(locations, order_by=("location_id",)),
-            "observations": Table(observations, ("measurement_date_utc",), KEY),
+            "observations": Table(observations, DAY, (*DAY, *KEY)),
         }
         self.store.publish("warehouse", tables, check=gate)
         return warehouse.load_summary(self.observations(), self.locations())
@@ -149,9 +162,8 @@ class Pipeline:
         """Materialise fact and marts; publish only if every model test passes."""
         observations, locations = self.observations(), self.locations()
         fact = models.fact(observations, locations)
-        day = ("measurement_date_utc",)
         tables = {
-            "fct_air_quality_observations": Table(fact, day, KEY),
+            "fct_air_quality_observations": Table(fact, DAY, (*DAY, *KEY)),
             "agg_daily_air_quality": Table(models.daily_mart(observations, locations)),
             "agg_location_air_quality": Table(models.location_mart(observations, locations)),
             "agg_pollution_weather": Table(models.weather_mart(observations, locations)),
@@ -178,6 +190,7 @@ class Pipeline:
             rows.createOrReplaceTempView(name)
 
 
+DAY = ("measurement_date_utc",)
 MARTS = (
     "fct_air_quality_observations",
     "agg_daily_air_quality",
@@ -215,5 +228,8 @@ def failed_tests(relations: dict[str, DataFrame]) -> list[str]:
     return failed + [name for name, violations in singular.items() if not violations.isEmpty()]
 
 
-def _as_json(one_row: DataFrame) -> str:
-    return one_row.select(F.to_json(F.struct("*")).alias("j")).first().j
+def _as_json(one_row: DataFrame, **names) -> str:
+    """JSON of one row and of lists of names, with the schema version."""
+    lists = [F.array(*map(F.lit, values)).alias(name) for name, values in names.items()]
+    row = one_row.select("*", *lists, F.lit(SCHEMA_VERSION).alias("schema_version"))
+    return row.select(F.to_json(F.struct("*")).alias("j")).first().j

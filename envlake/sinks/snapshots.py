@@ -40,18 +40,22 @@ class SnapshotStore:
     compression: str = "snappy"
     _now: object = field(default=time.time_ns, repr=False)
 
-    def publish(self, name: str, tables: Mapping[str, Table], manifest: str | None = None, check=None) -> str:
+    def publish(self, name: str, tables: Mapping[str, Table], manifest=None, check=None) -> str:
         """Write, read back and compare all tables, then make them current.
 
-        ``check`` receives the staged tables and may raise to refuse them.
+        ``check`` receives the staged tables and may raise to refuse them. ``manifest`` is
+        text, or makes it of the staged tables, so that nothing is computed again for it.
         """
         version = f"v{self._now():020d}-{uuid.uuid4().hex[:8]}"
         base = f"{self.root}/{name}/versions/{version}"
         counts = {}
         for table_name, table in tables.items():
             counts[table_name] = self._write_verified(f"{base}/{table_name}", table)
+        staged = {t: self._read_as(f"{base}/{t}", table.rows) for t, table in tables.items()}
         if check is not None:
-            check({t: self._read_as(f"{base}/{t}", table.rows) for t, table in tables.items()}, counts)
+            check(staged, counts)
+        if callable(manifest):
+            manifest = manifest(staged)
         record = self.spark.range(1).select(
             F.lit(version).alias("version"),
             F.lit(self._now()).cast("bigint").alias("published_at"),
