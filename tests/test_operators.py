@@ -3,10 +3,11 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from envlake.domain import RUN_STAGES
-from envlake.errors import ConflictError, InputError, QueryArgumentError
+from envlake.errors import ConflictError, InputError, QueryArgumentError, is_missing_path
 from envlake.functions import instants, text
 from envlake.functions.skew import lookup_join, running_values
 from envlake.operators import acquisition, geography, routing, run_audit, serving
@@ -28,13 +29,75 @@ def test_running_values_cross_blocks(spark):
     assert {(r.k, r.i, r.near, r.far) for r in found.collect()} == expected
 
 
-def test_lookup_join_is_a_plain_join(spark):
+def test_lookup_join_keeps_one_copy_of_the_dimension(spark):
     facts = spark.range(200).withColumn("k", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 9))
     dim = spark.createDataFrame([(i, f"n{i}") for i in range(5)], "k bigint, n string")
     for how in ("left", "inner"):
-        ours = lookup_join(facts, dim, "k", ["id"], how).select("id", "k", "n")
+        ours = lookup_join(facts, dim, "k", how).select("id", "k", "n")
         plain = facts.join(dim, "k", how).select("id", "k", "n")
-        assert sorted(map(tuple, ours.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+        assert sorted(map(str, ours.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_large_dimensions_are_not_broadcast(spark):
+    """Three million locations are beyond the threshold; hot keys are left to the runtime's skew handling."""
+    locations = spark.range(3_000_000).selectExpr("id AS k", "concat('a rather long name of location ', id) AS n")
+    plan = lookup_join(spark.range(1000).withColumnRenamed("id", "k"), locations, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan and "Generate" not in plan
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+
+
+def test_retrievals_with_bad_page_numbers_have_an_outcome(spark):
+    pages = [("m", run, page, True, None, None, None, 1000 if page != 9 else 3, f"{run}-{page}") for run, numbers in {
+        1: [0], 2: [1001], 3: [None, 1], 4: [1, 2], 5: [1, 1001], 6: [9],
+    }.items() for page in numbers]
+    ddl = (
+        "resource string, run_id int, page bigint, results_ok boolean, meta_page string, meta_limit string, meta_found string,"
+        " returned bigint, content_hash string"
+    )
+    found = {r.run_id: (r.status, r.pages_fetched) for r in acquisition.audit_pages(spark.createDataFrame(pages, ddl)).collect()}
+    assert found == {
+        1: ("inconsistent_page_number", 0),
+        2: ("page_limit_exceeded", 0),
+        3: ("inconsistent_page_number", 0),
+        4: ("incomplete", 2),
+        5: ("page_limit_exceeded", 1),
+        6: ("inconsistent_page_number", 9),
+    }
+    short = {r.run_id: r.status for r in acquisition.audit_pages(spark.createDataFrame(pages, ddl), max_pages=2).collect()}
+    assert short[4] == "page_limit_exceeded" and len(short) == 6
+
+
+def test_registry_with_a_path_held_twice(spark):
+    incoming = spark.createDataFrame([("a", "1", 10), ("b", "2", 5)], "path string, content_hash string, returned bigint")
+    known = spark.createDataFrame([("a", "1"), ("a", "1"), ("b", "2"), ("b", "3")], "path string, content_hash string")
+    found = {r.path: (r.status, r.batches_reused, r.measurements) for r in acquisition.register_batches(incoming, known).collect()}
+    assert found["a"] == ("reused", 1, 10) and found["b"][0] == "conflict"
+
+
+def test_only_a_missing_path_reads_as_empty(spark, tmp_path):
+    assert read_registry(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(AnalysisException) as found:
+        spark.sql("SELECT * FROM no_such_table_here")
+    assert not is_missing_path(found.value)
+
+
+@pytest.mark.parametrize(
+    "spelled, expected",
+    [
+        ("20260901T000000Z", "2026-09-01 00:00:00"),
+        ("2026-09-01T07Z", "2026-09-01 07:00:00"),
+        ("2026-09-01T00:00:00,5Z", "2026-09-01 00:00:00.5"),
+        ("2026-09-01T0105Z", "2026-09-01 01:05:00"),
+        ("2026-09-01T01:02:03 UTC", "2026-09-01 01:02:03"),
+        ("20260901 010203+0200", "2026-08-31 23:02:03"),
+        ("2026-09-01T00:00:00", None),
+        ("2026-9-1T00:00:00Z", None),
+        ("20261301T000000Z", None),
+    ],
+)
+def test_iso_spellings(spark, spelled, expected):
+    instant = spark.createDataFrame([(spelled,)], "t string").select(instants.parse_instant(F.col("t")).cast("string")).first()[0]
+    assert instant == expected
 
 
 def brute_force_run(events):

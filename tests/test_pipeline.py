@@ -8,7 +8,7 @@ from fixtures import (
     measurement,
     weather_envelope,
     weather_response,
-    write_batch,
+    land_batch,
     write_config,
     write_weather,
 )
@@ -24,15 +24,15 @@ from envlake.sources import weather
 def inputs(tmp_path):
     """Six observations of two locations; five of them have a weather hour."""
     raw = tmp_path / "raw"
-    write_batch(raw, [hourly(0, value=12.4), hourly(1, value=13.0)], location_id=101, sensor_id=1)
-    write_batch(raw, [hourly(2, value=7.0)], location_id=101, sensor_id=1, start="2026-09-02")
+    land_batch(raw, [hourly(0, value=12.4), hourly(1, value=13.0)], location_id=101, sensor_id=1)
+    land_batch(raw, [hourly(2, value=7.0)], location_id=101, sensor_id=1, start="2025-04-11")
     pm10 = {"parameter__name": "pm10", "parameter__id": 1}
-    write_batch(raw, [hourly(0, value=-1.0, **pm10)], location_id=101, sensor_id=2, parameter="pm10")
-    write_batch(raw, [hourly(0, **pm10)], location_id=102, sensor_id=3, parameter="pm10")
+    land_batch(raw, [hourly(0, value=-1.0, **pm10)], location_id=101, sensor_id=2, parameter="pm10")
+    land_batch(raw, [hourly(0, **pm10)], location_id=102, sensor_id=3, parameter="pm10")
     late = measurement(
-        period__datetimeFrom__utc="2026-09-01T22:37:00Z", period__datetimeTo__utc="2026-09-01T23:37:00Z"
+        period__datetimeFrom__utc="2025-04-10T22:37:00Z", period__datetimeTo__utc="2025-04-10T23:37:00Z"
     )
-    write_batch(raw, [late], location_id=102, sensor_id=4)
+    land_batch(raw, [late], location_id=102, sensor_id=4)
     write_weather(tmp_path / "weather", 101, weather_response())
     # Location 102: hour 23 is missing, hour 1 has only a temperature.
     partial = weather_response(range(3))
@@ -65,7 +65,7 @@ def test_golden_build(spark, built, inputs):
     partial = built.enriched().filter("location_id = 102 AND sensor_id = 3").first()
     assert (partial.temperature_2m_c, partial.wind_speed_10m_kmh) == (5.0, None)
     unmatched = built.enriched().filter("sensor_id = 4").first()
-    assert unmatched.weather_source is None and str(unmatched.weather_hour_utc) == "2026-09-01 23:00:00"
+    assert unmatched.weather_source is None and str(unmatched.weather_hour_utc) == "2025-04-10 23:00:00"
     sites = {r.location_id: (r.latitude, r.longitude) for r in built.locations().collect()}
     assert sites == {101: (-26.0, 28.0), 102: (-33.0, 18.0)}
     # The same input again gives the same content under a new version.
@@ -85,7 +85,7 @@ def test_golden_build(spark, built, inputs):
 
 def test_failures_keep_the_snapshot(spark, built, inputs):
     version = built.store.current_version("processed")
-    write_batch(inputs / "raw", [hourly(0, value=99.0)], location_id=101, sensor_id=1, start="2026-09-02", end="2026-09-05")
+    land_batch(inputs / "raw", [hourly(0, value=99.0)], location_id=101, sensor_id=1, start="2025-04-11", end="2025-04-14")
     with pytest.raises(ConflictError):
         built.process(str(inputs / "raw"))
     assert built.store.current_version("processed") == version
@@ -112,9 +112,9 @@ WEATHER_FAULTS = [
     ({"hourly__precipitation": [0.0]}, "unequal_arrays"),
     ({"hourly_units__temperature_2m": "F"}, "wrong_units"),
     ({"hourly_units__time": "unixtime"}, "wrong_units"),
-    ({"hourly__time": ["2026-09-01T00:30", "2026-09-01T01:00"]}, "bad_hour"),
-    ({"hourly__time": ["2026-09-02T00:00", "2026-09-01T01:00"]}, "bad_hour"),
-    ({"hourly__time": ["2026-09-01T01:00", "2026-09-01T01:00Z"]}, "duplicate_hour"),
+    ({"hourly__time": ["2025-04-10T00:30", "2025-04-10T01:00"]}, "bad_hour"),
+    ({"hourly__time": ["2025-04-11T00:00", "2025-04-10T01:00"]}, "bad_hour"),
+    ({"hourly__time": ["2025-04-10T01:00", "2025-04-10T01:00Z"]}, "duplicate_hour"),
     ({"hourly__temperature_2m": ["warm", 1]}, "bad_temperature"),
     ({"hourly__temperature_2m": [True, 1]}, "bad_temperature"),
     ({"hourly__relative_humidity_2m": [101, 1]}, "bad_humidity"),

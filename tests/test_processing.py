@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from fixtures import batch_path, envelope, hourly, measurement, write_batch
+from fixtures import batch_path, envelope, hourly, measurement, land_batch
 
 from envlake.errors import ConflictError, InputError
 from envlake.operators import dedup
@@ -41,11 +41,11 @@ CASES = [
     ({"value": float("nan")}, "invalid_value"),
     ({"value": float("inf")}, "invalid_value"),
     ({"period__datetimeFrom__utc": "bad"}, "invalid_timestamp"),
-    ({"period__datetimeFrom__utc": "2026-09-01T00:00:00"}, "invalid_timestamp"),
+    ({"period__datetimeFrom__utc": "2025-04-10T00:00:00"}, "invalid_timestamp"),
     ({"period__datetimeFrom": "x"}, "invalid_timestamp"),
     ({"period__datetimeTo__local": 3}, "invalid_timestamp"),
-    ({"period__datetimeTo__utc": "2026-09-01T00:00:00Z"}, "invalid_period"),
-    ({"period__datetimeTo__utc": "2026-08-31T00:00:00Z"}, "invalid_period"),
+    ({"period__datetimeTo__utc": "2025-04-10T00:00:00Z"}, "invalid_period"),
+    ({"period__datetimeTo__utc": "2025-04-09T00:00:00Z"}, "invalid_period"),
     ({"period": None}, "missing_required_field"),
     ({"parameter": "pm25"}, "missing_required_field"),
     ({"coordinates": "here"}, "missing_required_field"),
@@ -87,9 +87,9 @@ def test_batch_identifiers(spark):
 
 
 def test_report_and_first_copy(spark, tmp_path):
-    first = write_batch(tmp_path, [measurement(value=-0.5), measurement(value=None), measurement(value=-0.5)])
-    write_batch(tmp_path, [measurement(value=-0.5)], start="2026-09-02")
-    write_batch(tmp_path, [], sensor_id=9)
+    first = land_batch(tmp_path, [measurement(value=-0.5), measurement(value=None), measurement(value=-0.5)])
+    land_batch(tmp_path, [measurement(value=-0.5)], start="2025-04-11")
+    land_batch(tmp_path, [], sensor_id=9)
     rows = collapsed(spark, tmp_path)
     dedup.require_publishable(rows)
     assert dedup.quality_report(rows).first().asDict() == {
@@ -107,15 +107,15 @@ def test_report_and_first_copy(spark, tmp_path):
     kept = dedup.processed_rows(rows).first()
     assert kept.source_file == first.relative_to(tmp_path).as_posix()
     assert (kept.location_id, kept.sensor_id, kept.parameter_id, kept.value) == (101, 1, 2, -0.5)
-    assert kept.datetime_from_local == "2026-09-01T02:00:00+02:00"
-    assert (kept.retrieval_datetime_from, kept.retrieval_datetime_to) == ("2026-09-01", "2026-09-03")
+    assert kept.datetime_from_local == "2025-04-10T01:00:00+01:00"
+    assert (kept.retrieval_datetime_from, kept.retrieval_datetime_to) == ("2025-04-10", "2025-04-12")
 
 
 SAME = [
-    {"value": 12.30},
+    {"value": 8.250},
     {"parameter__name": " PM25"},
-    {"period__datetimeFrom__utc": "2026-09-01T02:00:00+02:00"},
-    {"period__datetimeTo__utc": "2026-09-01T01:00:00.000000000Z"},
+    {"period__datetimeFrom__utc": "2025-04-10T02:00:00+02:00"},
+    {"period__datetimeTo__utc": "2025-04-10T01:00:00.000000000Z"},
 ]
 DIFFERENT = [
     {"value": 99},
@@ -131,7 +131,7 @@ def pairs(changes):
     """Per change, an original and a changed copy under one sensor."""
     for sensor, change in enumerate(changes, 1):
         yield envelope([measurement()], sensor_id=sensor)
-        yield envelope([measurement(**change)], sensor_id=sensor, start="2026-09-02")
+        yield envelope([measurement(**change)], sensor_id=sensor, start="2025-04-11")
 
 
 def test_equal_spellings_collapse(spark):
@@ -142,7 +142,7 @@ def test_equal_spellings_collapse(spark):
 
 def test_whole_numbers_compare_by_value(spark):
     values = [1, 1.0, 1e0]
-    bodies = [envelope([measurement(value=v)], start=f"2026-09-0{i + 1}", end="2026-09-09") for i, v in enumerate(values)]
+    bodies = [envelope([measurement(value=v)], start=f"2025-04-0{i + 1}", end="2025-04-19") for i, v in enumerate(values)]
     raw = [json.dumps(b).replace('"value": 1.0', f'"value": {t}') for b, t in zip(bodies, ["1", "1.0", "1e0"], strict=True)]
     files = spark.createDataFrame([(str(i), c) for i, c in enumerate(raw)], "path string, content string")
     rows = dedup.collapse(normalize(envelopes.split_records(envelopes.parse_envelopes(files))))
@@ -158,8 +158,8 @@ def test_changed_content_conflicts(spark):
 
 def test_nanoseconds_are_identity(spark):
     records = [
-        measurement(period__datetimeTo__utc="2026-09-01T01:00:00.000000001Z"),
-        measurement(period__datetimeTo__utc="2026-09-01T01:00:00.000000002Z"),
+        measurement(period__datetimeTo__utc="2025-04-10T01:00:00.000000001Z"),
+        measurement(period__datetimeTo__utc="2025-04-10T01:00:00.000000002Z"),
     ]
     rows = dedup.processed_rows(collapse_bodies(spark, [envelope(records)])).orderBy("datetime_to_ns")
     assert [r.datetime_to_ns for r in rows.collect()] == [1, 2]
@@ -174,8 +174,8 @@ BROKEN = {
 
 @pytest.mark.parametrize("content", BROKEN)
 def test_broken_file_is_named(spark, tmp_path, content):
-    write_batch(tmp_path, [measurement()])
-    path = write_batch(tmp_path, [measurement()], sensor_id=2)
+    land_batch(tmp_path, [measurement()])
+    path = land_batch(tmp_path, [measurement()], sensor_id=2)
     path.write_text(content)
     with pytest.raises(InputError, match=path.name) as error:
         dedup.require_publishable(collapsed(spark, tmp_path))
@@ -195,9 +195,9 @@ RETRIEVAL_FAULTS = [
     {"complete": False},
     {"complete": 1},
     {"parameter": " "},
-    {"datetime_from": "2026-09-03"},
-    {"datetime_to": "2026-09-03T00:00:00Z"},
-    {"datetime_from": "2026-09-01T00:00:00", "datetime_to": "2026-09-02T00:00:00"},
+    {"datetime_from": "2025-04-12"},
+    {"datetime_to": "2025-04-12T00:00:00Z"},
+    {"datetime_from": "2025-04-10T00:00:00", "datetime_to": "2025-04-11T00:00:00"},
     {"location_name": 5},
 ]
 
@@ -231,7 +231,7 @@ def test_csv_round_trip(spark, tmp_path):
         hourly(0, parameter__id=None),
         hourly(1, value=-1.5),
         hourly(2, period__label="NA"),
-        measurement(period__datetimeFrom__utc="2026-09-01T22:00:00.123456789Z", period__datetimeTo__utc="2026-09-02T00:30:00Z"),
+        measurement(period__datetimeFrom__utc="2025-04-10T22:00:00.123456789Z", period__datetimeTo__utc="2025-04-11T00:30:00Z"),
     ]
     processed = dedup.processed_rows(collapse_bodies(spark, [envelope(records)]))
     write_processed_csv(processed, str(tmp_path / "csv"))
@@ -240,4 +240,4 @@ def test_csv_round_trip(spark, tmp_path):
     names = [n for n in typed.columns if n != "measurement_date_utc"]
     assert curation.content_difference(processed.select(*names), typed.select(*names)).count() == 0
     assert {r.period_label for r in typed.collect()} == {"hour", "NA"}
-    assert {str(r.measurement_date_utc) for r in typed.collect()} == {"2026-09-01", "2026-09-02"}
+    assert {str(r.measurement_date_utc) for r in typed.collect()} == {"2025-04-10", "2025-04-11"}

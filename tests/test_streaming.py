@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from fixtures import hourly, write_batch
+from fixtures import hourly, land_batch
 from pyspark.errors import StreamingQueryException
 
 from envlake.operators import curation, dedup
@@ -24,10 +24,10 @@ def test_stream_equals_rebuild(spark, tmp_path):
     raw = tmp_path / "raw"
     places = spark.createDataFrame([(101, "A")], "location_id bigint, location_name string")
     build = IncrementalBuild(spark, str(tmp_path / "state"), places)
-    write_batch(raw, [hourly(0), hourly(1)], start="2026-09-02")
+    land_batch(raw, [hourly(0), hourly(1)], start="2025-04-11")
     run(build, raw)
     # An overlapping batch that comes first in path order takes over provenance.
-    write_batch(raw, [hourly(1), hourly(2)], start="2026-09-01")
+    land_batch(raw, [hourly(1), hourly(2)], start="2025-04-10")
     run(build, raw)
     full = rebuilt(spark, raw)
     incremental = build.processed().drop("measurement_date_utc").select(*full.columns)
@@ -38,7 +38,7 @@ def test_stream_equals_rebuild(spark, tmp_path):
     run(build, raw)
     assert build.daily_mart().collect() == mart
     # A changed record fails its micro-batch and leaves the state as it was.
-    write_batch(raw, [hourly(2, value=99)], start="2026-09-01", end="2026-09-04")
+    land_batch(raw, [hourly(2, value=99)], start="2025-04-10", end="2025-04-13")
     with pytest.raises(StreamingQueryException, match="Conflicting observation"):
         run(build, raw)
     assert build.daily_mart().collect() == mart
