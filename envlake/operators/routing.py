@@ -50,8 +50,12 @@ ANCHOR = 4
 
 
 def folded(value: Column) -> Column:
-    """Case-folded text: lower case with the sharp s written out."""
-    return F.replace(F.lower(value), F.lit("ß"), F.lit("ss"))
+    """Case-folded text: ligatures and the sharp s are written out by way of upper case.
+
+    Full case folding differs for few letters that share their upper case with another,
+    such as the dotless i, which becomes an i here.
+    """
+    return F.lower(F.upper(value))
 
 
 def mentions(question: Column, terms: tuple[str, ...]) -> Column:
@@ -78,10 +82,10 @@ def mentioned_locations(questions: DataFrame, locations: DataFrame) -> DataFrame
     """The first location, by name and id, whose name occurs in the question.
 
     Substring containment as two equi-joins instead of a pairwise test: question
-    positions whose next characters open some name survive a semi-join-like
-    lookup, then substrings of the lengths seen for that opening are matched
-    with whole names. Work per question grows with its length, not with the
-    number of locations.
+    positions whose next characters open some name survive a lookup by hash, then
+    substrings of the lengths seen for that opening are matched with whole names.
+    Positions travel as numbers; the text joins those that survive. Work per question
+    grows with its length, not with the number of locations.
     """
     names = (
         locations.filter(F.col("location_name") != "")
@@ -94,33 +98,22 @@ def mentioned_locations(questions: DataFrame, locations: DataFrame) -> DataFrame
         F.min(F.struct("location_name", "location_id")).alias("place")
     )
     # Distinct lengths of names with one opening; short names are their own opening.
-    openings = (
-        names.select("anchor", "length")
-        .distinct()
-        .groupBy("anchor")
-        .agg(F.collect_set("length").alias("lengths"))
-    )
-    # Only as much text as the longest name needs travels with each position, and
-    # only openings as long as some name has are looked up (at most ANCHOR sizes).
-    longest = names.agg(F.coalesce(F.max("length"), F.lit(0)).alias("n")).scalar()
+    openings = names.select(F.xxhash64("anchor").alias("opening"), "length").distinct()
+    # Only openings as long as some name has are looked up (at most ANCHOR sizes).
     sizes = names.agg(F.collect_set(F.length("anchor")).alias("n")).scalar()
     asked = questions.select("question_id", folded(F.col("text")).alias("_q")).filter("_q <> ''")
     starts = asked.select(
-        "question_id", "_q", F.explode(F.sequence(F.lit(1), F.length("_q"))).alias("at")
-    ).select(
-        "question_id",
-        F.substring(F.col("_q"), F.col("at"), longest).alias("ahead"),
-        sizes.alias("sizes"),
+        "question_id", "_q", sizes.alias("sizes"), F.explode(F.sequence(F.lit(1), F.length("_q"))).alias("at")
     )
-    pieces = starts.select("question_id", "ahead", F.explode("sizes").alias("size")).select(
-        "question_id", "ahead", F.substring(F.col("ahead"), F.lit(1), F.col("size")).alias("anchor")
+    pieces = starts.select("question_id", "_q", "at", F.explode("sizes").alias("size")).select(
+        "question_id", "at", F.xxhash64(F.substring("_q", F.col("at"), F.col("size"))).alias("opening")
     )
-    candidates = pieces.join(openings, "anchor").select(
-        "question_id", "ahead", F.explode("lengths").alias("length")
+    candidates = pieces.join(openings, "opening").select("question_id", "at", "length").distinct()
+    needles = (
+        candidates.join(asked, "question_id")
+        .select("question_id", F.substring("_q", F.col("at"), F.col("length")).alias("needle"))
+        .distinct()
     )
-    needles = candidates.select(
-        "question_id", F.substring(F.col("ahead"), F.lit(1), F.col("length")).alias("needle")
-    ).distinct()
     matched = needles.join(first_named, "needle")
     return (
         matched.groupBy("question_id")
