@@ -30,6 +30,8 @@ SEED = 42
 SEGMENT_BITS = 2
 # Shingles whose bits are unpacked at once; a long text is counted piece by piece.
 PIECE = 255 << 5
+# Ids that are broadcast to the texts: eight megabytes at most.
+BROADCAST_IDS = 1 << 20
 
 
 def _signed(value: int) -> int:
@@ -68,12 +70,16 @@ def text_fingerprint(text: str | None, width: int) -> int:
     return int(_majority(hashes[:, None])[0]) if len(hashes) else 0
 
 
-def text_signature(text: str | None, width: int, tables: int) -> np.ndarray:
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    """Hashes of the different shingles, in order."""
+    return np.unique(_shingle_hashes(text, width))
+
+
+def signature_of(shingles: np.ndarray, tables: int) -> np.ndarray:
     """One 64-bit fingerprint per table, each of hashes remixed for that table; zeros without words."""
-    hashes = _shingle_hashes(text, width)
-    if not len(hashes):
+    if not len(shingles):
         return np.zeros(tables, np.uint64)
-    mixed = hashes[:, None] + np.arange(1, tables + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = shingles[:, None] + np.arange(1, tables + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
     return _majority(mixed ^ (mixed >> np.uint64(31)))
@@ -91,21 +97,27 @@ def fingerprints(documents: DataFrame, width: int) -> DataFrame:
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
 
 
-def signatures(documents: DataFrame, width: int, tables: int) -> DataFrame:
-    """(doc_id, signature): one 64-bit fingerprint per table for every row."""
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    values = np.concatenate(arrays) if arrays else np.empty(0, np.uint64)
+    offsets = np.concatenate([[0], np.cumsum([len(one) for one in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(values.view(np.int64)))
+
+
+def signatures(documents: DataFrame, width: int, tables: int, with_shingles: bool = False) -> DataFrame:
+    """(doc_id, signature), and the hashes of the different shingles if asked for, of every row."""
     small_batches(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.concatenate([text_signature(text.as_py(), width, tables) for text in batch.column(1)] or [[]])
-            lists = pa.ListArray.from_arrays(
-                np.arange(0, tables * batch.num_rows + 1, tables, dtype=np.int32), pa.array(found.astype(np.uint64).view(np.int64))
+            sets = [shingle_set(text.as_py(), width) for text in batch.column(1)]
+            found = _lists([signature_of(one, tables) for one in sets])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), found, *([_lists(sets)] if with_shingles else [])],
+                ["doc_id", "signature", *(["shingles"] if with_shingles else [])],
             )
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "signature"])
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, signature array<bigint>"
-    )
+    schema = "doc_id bigint, signature array<bigint>" + ", shingles array<bigint>" * with_shingles
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
 def _lanes(segment_bits: int) -> list[int]:
@@ -176,49 +188,85 @@ def _short_words(fp: Column) -> Column:
     return F.array(fp, *(fp.bitwiseXOR(F.lit(1 << bit)) for bit in range(32)))
 
 
-def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8, tables: int = 12) -> DataFrame:
-    """(doc_id, component_id) per row: groups linked at ``similarity`` or more of their shingle sets.
+def candidate_pairs(nodes: DataFrame, tables: int) -> DataFrame:
+    """Pairs (node, hub) of nodes (node, signature) that meet in some table.
 
-    Texts of similarity 0.8 differ in about 10 of 64 bits, too far for one fingerprint
-    within 2 bits. So every row gets ``tables`` fingerprints; the low 32 bits of each are
-    joined within 2 bits in a grid whose segments are single bits, where a cell holds at
-    most 33 different fingerprints. Pairs found in any table are verified on the whole
-    signature: its share of differing bits estimates the angle between the shingle
-    vectors, hence the similarity. With 12 tables a pair of similarity 0.8 becomes a
-    candidate with probability 0.78, one of 0.85 with 0.93, one of 0.9 with 0.99. The
-    limit lies one standard error beyond ``similarity``.
+    The low 32 bits of a table's fingerprint are joined within 2 bits in a grid whose
+    segments are single bits. Nodes with one fingerprint are paired with the smallest of
+    them, and those smallest ones, of which a cell holds 33 at most, with the smallest in
+    each cell.
     """
-    rows = written(signatures(documents, width, tables), "simhash-signatures")
-    nodes = rows.groupBy("signature").agg(F.min("doc_id").alias("first_id"))
-    nodes = written(nodes.withColumn("node", F.xxhash64("signature")), "simhash-nodes")
     # Tables are told apart by the bits above the low 32.
-    short = [
-        F.element_at("signature", t + 1).bitwiseAND(F.lit(0xFFFFFFFF)) + F.lit(t << 32) for t in range(tables)
-    ]
+    short = [F.element_at("signature", t + 1).bitwiseAND(F.lit(0xFFFFFFFF)) + F.lit(t << 32) for t in range(tables)]
     keyed = nodes.select("node", F.explode(F.array(*short)).alias("fp"))
     reps = keyed.groupBy("fp").agg(F.min("node").alias("rep"))
     same = keyed.join(reps, "fp").filter("node <> rep").select("node", F.col("rep").alias("hub"))
     cells = reps.select(F.col("rep").alias("node"), F.explode(_short_words(F.col("fp"))).alias("cell"))
     hub = F.min("node").over(Window.partitionBy("cell"))
     near = cells.withColumn("hub", hub).filter("node <> hub").select("node", "hub")
-    pairs = same.unionByName(near).distinct()
-    cosine = 2 * similarity / (1 + similarity)
-    share = math.acos(cosine) / math.pi
-    limit = 64 * tables * (share + math.sqrt(share * (1 - share) / (64 * tables)))
+    return same.unionByName(near).distinct()
+
+
+def _of_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of documents with one of some ids; a list of bounded size goes to the texts, a longer one is shuffled with them."""
+    name = free_name("wanted_id", documents.columns)
+    wanted = ids.withColumnRenamed(ids.columns[0], name)
+    if ids.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    return documents.join(wanted, documents["doc_id"].cast("bigint").eqNullSafe(wanted[name]), "left_semi")
+
+
+def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8, tables: int = 16) -> DataFrame:
+    """(doc_id, component_id) per row: groups linked where shingle sets have ``similarity`` (Jaccard) or more.
+
+    Texts of similarity 0.8 differ in about 10 of 64 bits, too far for one fingerprint
+    within 2 bits. So every set of shingles gets ``tables`` fingerprints, and pairs that meet
+    in any table are candidates: with 16 tables a pair of similarity 0.8 does with
+    probability 0.86, one of 0.85 with 0.97, one of 0.9 with 0.999. The share of bits in
+    which whole signatures differ estimates the similarity: pairs three standard errors
+    above the limit are linked, pairs three below are none, and all between that are not
+    linked already are verified on the sets of shingles.
+    """
+    rows = written(signatures(documents, width, tables), "simhash-signatures")
+    # Numbers are fixed by writing them.
+    groups = rows.groupBy("signature").agg(F.min("doc_id").alias("first_id"))
+    nodes = written(groups.withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
     left = nodes.select("node", F.col("signature").alias("mine"))
     right = nodes.select(F.col("node").alias("hub"), F.col("signature").alias("other"))
     differing = F.aggregate(
         F.zip_with("mine", "other", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits
     )
-    verified = pairs.join(left, "node").join(right, "hub").filter(differing <= limit)
-    roots = components(verified.select(F.col("node").alias("u"), F.col("hub").alias("v")))
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    bits = 64 * tables
+    slack = 3 * math.sqrt(share * (1 - share) / bits)
+    measured = candidate_pairs(nodes, tables).join(left, "node").join(right, "hub").select("node", "hub", (differing / bits).alias("apart"))
+    measured = written(measured.filter(F.col("apart") <= share + slack), "simhash-pairs")
+    edge = (F.col("node").alias("u"), F.col("hub").alias("v"))
+    sure = measured.filter(F.col("apart") <= share - slack).select(*edge)
+    known = components(sure)
+    of = lambda side: known.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+    open_pairs = measured.filter(F.col("apart") > share - slack).join(of("node"), "node", "left").join(of("hub"), "hub", "left")
+    apart = ~F.coalesce(F.col("node_root"), F.col("node")).eqNullSafe(F.coalesce(F.col("hub_root"), F.col("hub")))
+    open_pairs = written(open_pairs.filter(apart).select("node", "hub"), "simhash-open-pairs")
+    ends = open_pairs.select("node").unionByName(open_pairs.select(F.col("hub").alias("node"))).distinct()
+    wanted = nodes.join(ends, "node", "left_semi")
+    sets = signatures(_of_ids(documents, wanted.select("first_id").distinct()), width, tables, with_shingles=True)
+    # A repeated id can stand for other texts; the signature tells which is meant.
+    sets = sets.select("signature", "shingles").dropDuplicates(["signature"]).join(wanted.select("signature", "node"), "signature")
+    sets = written(sets.select("node", "shingles"), "simhash-shingles")
+    both = open_pairs.join(sets.withColumnRenamed("shingles", "mine"), "node").join(
+        sets.select(F.col("node").alias("hub"), F.col("shingles").alias("other")), "hub"
+    )
+    common = F.size(F.array_intersect("mine", "other"))
+    verified = both.filter(common >= similarity * (F.size("mine") + F.size("other") - common)).select(*edge)
+    roots = components(sure.unionByName(verified))
     rooted = nodes.join(roots, "node", "left").select("signature", "first_id", F.coalesce("root", "node").alias("root"))
     firsts = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     membership = rooted.join(firsts, "root").select("signature", "component_id")
     return rows.join(membership, "signature").select("doc_id", "component_id")
 
 
-def drop_near_duplicates(documents: DataFrame, width: int = 5, similarity: float = 0.8, tables: int = 12) -> DataFrame:
+def drop_near_duplicates(documents: DataFrame, width: int = 5, similarity: float = 0.8, tables: int = 16) -> DataFrame:
     """Documents without near copies: of each group the row with the smallest doc_id stays.
 
     Of rows that repeat an id, one stays. Rows without id come last: they stay, as one,

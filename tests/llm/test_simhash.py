@@ -113,3 +113,28 @@ def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 200), (7, 7)]
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
     assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 160), 100), 200: 200, 201: 200}
+
+
+def test_similar_groups_link_what_is_similar(spark):
+    """No link below the similarity, and nine of ten pairs at or above it in one group."""
+    draw = random.Random(11)
+    words = [f"u{k}" for k in range(5000)]
+    table = []
+    for base in range(60):
+        original = draw.choices(words, k=300)
+        table.append((len(table), " ".join(original)))
+        for _ in range(4):
+            copy = list(original)
+            for _ in range(draw.randint(1, 9)):
+                copy[draw.randrange(300)] = draw.choice(words)
+            table.append((len(table), " ".join(copy)))
+    frame = spark.createDataFrame(table, "doc_id bigint, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in simhash.similar_groups(frame).collect()}
+    sets = {doc: set(zip(*(text.split()[k:] for k in range(5)), strict=False)) for doc, text in table}
+    pairs = [(a, b) for a in sets for b in sets if a < b and a // 5 == b // 5]
+    near = [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(near) > 150 and sum(found[a] == found[b] for a, b in near) >= 0.9 * len(near)
+    linked = {(a, b) for a, b in near}
+    for doc, group in found.items():
+        if doc != group or sum(g == group for g in found.values()) > 1:
+            assert any((min(doc, o), max(doc, o)) in linked for o in found if o != doc and found[o] == group)
