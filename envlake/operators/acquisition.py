@@ -270,25 +270,25 @@ def unsafe_reasons(runs: DataFrame, locations: DataFrame, sensors: DataFrame) ->
     runs: run_id; locations: run_id, location_id, missing_parameters,
     discovery_incomplete; sensors: run_id, sensor_id, incomplete.
     """
+    return _ordered_reasons(runs, locations, sensors).drop("place")
+
+
+def _ordered_reasons(runs: DataFrame, locations: DataFrame, sensors: DataFrame) -> DataFrame:
+    """Reasons with their place: locations by id, then sensors by id."""
     lacking = F.size("missing_parameters") > 0
     place = F.col("location_id").cast("string")
     unknown = F.coalesce(F.col("discovery_incomplete"), F.lit(True))
-    location_reasons = locations.select(
-        "run_id",
-        F.explode(
-            F.filter(
-                F.array(
-                    F.when(lacking, F.concat(F.lit("Location "), place, F.lit(" is missing required sensors."))),
-                    F.when(
-                        unknown,
-                        F.concat(
-                            F.lit("Location "), place, F.lit(" sensor discovery is incomplete or unknown.")
-                        ),
-                    ),
-                ),
-                lambda reason: reason.isNotNull(),
-            )
-        ).alias("reason"),
+    at = lambda kind, number, part: F.struct(
+        F.lit(kind).alias("kind"), F.col(number).cast("bigint").alias("id"), part.alias("part")
+    )
+    texts = F.array(
+        F.when(lacking, F.concat(F.lit("Location "), place, F.lit(" is missing required sensors."))),
+        F.when(unknown, F.concat(F.lit("Location "), place, F.lit(" sensor discovery is incomplete or unknown."))),
+    )
+    location_reasons = (
+        locations.select("run_id", "location_id", F.posexplode(texts).alias("part", "reason"))
+        .filter("reason IS NOT NULL")
+        .select("run_id", "reason", at(0, "location_id", F.col("part")).alias("place"))
     )
     sensor_reasons = sensors.filter(F.coalesce(F.col("incomplete"), F.lit(True))).select(
         "run_id",
@@ -297,9 +297,12 @@ def unsafe_reasons(runs: DataFrame, locations: DataFrame, sensors: DataFrame) ->
             F.col("sensor_id").cast("string"),
             F.lit(" measurement completeness is incomplete or unknown."),
         ).alias("reason"),
+        at(1, "sensor_id", F.lit(0)).alias("place"),
     )
     empty_runs = runs.join(locations.select("run_id").distinct(), "run_id", "left_anti").select(
-        "run_id", F.lit("No configured locations were processed.").alias("reason")
+        "run_id",
+        F.lit("No configured locations were processed.").alias("reason"),
+        F.struct(F.lit(-1).alias("kind"), F.lit(0).cast("bigint").alias("id"), F.lit(0).alias("part")).alias("place"),
     )
     return empty_runs.unionByName(location_reasons).unionByName(sensor_reasons)
 
@@ -311,9 +314,11 @@ def checkpoint_safety(runs: DataFrame, locations: DataFrame, sensors: DataFrame)
     Reasons are counted, not collected: a run may have very many of them.
     """
     reasons = (
-        unsafe_reasons(runs, locations, sensors)
+        _ordered_reasons(runs, locations, sensors)
         .groupBy("run_id")
-        .agg(F.count(F.lit(1)).alias("reason_count"), F.min("reason").alias("first_reason"))
+        .agg(F.count(F.lit(1)).alias("reason_count"), F.min(F.struct("place", "reason")).alias("first"))
+        .select("run_id", "reason_count", "first.reason")
+        .withColumnRenamed("reason", "first_reason")
     )
     scope = locations.groupBy("run_id").agg(F.count(F.lit(1)).alias("location_count"))
     safe = F.col("reason_count").isNull()

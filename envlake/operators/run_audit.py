@@ -51,6 +51,15 @@ def event_error() -> Column:
     )
 
 
+def newest_run_events(events: DataFrame, dag_id: str) -> DataFrame:
+    """Events of the run of a pipeline that was created last; the others need no folding."""
+    own = events.filter(F.col("dag_id") == dag_id)
+    starts = with_window(own.filter(F.col("kind") == "start")).filter(event_error().isNull())
+    created = starts.groupBy("run_id").agg(F.min_by("at", "seq").alias("started_at"))
+    newest = created.orderBy(F.desc_nulls_first("started_at"), F.desc("run_id")).limit(1)
+    return own.join(newest.select("run_id"), "run_id", "left_semi")
+
+
 def fold_runs(events: DataFrame) -> DataFrame:
     """Final state of every run that was started.
 

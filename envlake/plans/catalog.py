@@ -694,6 +694,11 @@ def question_plan(t: DriverTables) -> DataFrame:
     return rows.withColumns({name: F.col(name).cast("int") for name in flags})
 
 
+@query
+def station_catalogue(t: DriverTables) -> DataFrame:
+    return routing.station_catalogue(serving.locations_with_parameters(t.locations, t.by_location))
+
+
 @query
 def conversation_bounds(t: DriverTables) -> DataFrame:
     return routing.conversation_bounds(t.read("conversations"))
@@ -717,7 +722,8 @@ def run_audit_errors(t: DriverTables) -> DataFrame:
 
 @query
 def latest_run(t: DriverTables) -> DataFrame:
-    return serving.latest_run(run_audit.fold_runs(t.run_events()), "daily")
+    newest = run_audit.newest_run_events(t.run_events(), "daily")
+    return serving.latest_run(run_audit.fold_runs(newest), "daily")
 
 
 # -- whole build -------------------------------------------------------------------------------------------

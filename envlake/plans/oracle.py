@@ -302,6 +302,13 @@ SQL["locations_with_parameters"] = _with(
         FROM (SELECT DISTINCT location_id, parameter FROM byloc) GROUP BY location_id) p
     ON p.location_id = l.location_id""",
 )
+SQL["station_catalogue"] = _with(
+    "byloc",
+    """SELECT l.location_id, l.location_name, coalesce(p.parameters, '') AS parameters
+    FROM loc l LEFT JOIN (SELECT location_id, string_agg(parameter, ',' ORDER BY parameter) AS parameters
+        FROM (SELECT DISTINCT location_id, parameter FROM byloc) GROUP BY location_id) p
+    ON p.location_id = l.location_id""",
+)
 SQL["location_header"] = _with(
     "loc", "SELECT location_id, location_name, latitude, longitude FROM loc WHERE location_id = 7"
 )
@@ -736,18 +743,19 @@ SQL["window_bounds"] = """WITH r AS (SELECT o_orderkey AS key, o_orderdate AS d,
     CASE WHEN window_error IS NULL THEN t END AS window_to,
     CASE WHEN window_error IS NULL THEN replace(replace(f || '__' || t, '-', ''), ':', '') END AS window_label FROM j"""
 _REASONS = """WITH reasons AS (
-    SELECT o_custkey AS run_id, 'Location ' || o_orderkey || ' is missing required sensors.' AS reason
+    SELECT o_custkey AS run_id, 'Location ' || o_orderkey || ' is missing required sensors.' AS reason,
+        0 AS kind, o_orderkey AS id, 0 AS part
     FROM orders WHERE o_orderkey % 11 = 0
-    UNION ALL SELECT o_custkey, 'Location ' || o_orderkey || ' sensor discovery is incomplete or unknown.'
+    UNION ALL SELECT o_custkey, 'Location ' || o_orderkey || ' sensor discovery is incomplete or unknown.', 0, o_orderkey, 1
     FROM orders WHERE o_orderkey % 13 = 0 OR o_orderkey % 17 = 0
-    UNION ALL SELECT o_custkey, 'Sensor ' || o_orderkey * 10 || ' measurement completeness is incomplete or unknown.'
+    UNION ALL SELECT o_custkey, 'Sensor ' || o_orderkey * 10 || ' measurement completeness is incomplete or unknown.', 1, o_orderkey, 0
     FROM orders WHERE o_orderkey % 19 = 0 OR o_orderkey % 23 = 0
-    UNION ALL SELECT c_custkey, 'No configured locations were processed.' FROM customer
+    UNION ALL SELECT c_custkey, 'No configured locations were processed.', -1, 0, 0 FROM customer
     WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)) """
 SQL["checkpoint_reasons"] = _REASONS + "SELECT run_id, reason FROM reasons"
 SQL["checkpoint_safety"] = (
     _REASONS
-    + """, r AS (SELECT run_id, count(*) AS n, min(reason) AS first_reason FROM reasons GROUP BY run_id),
+    + """, r AS (SELECT run_id, count(*) AS n, arg_min(reason, (kind, id, part)) AS first_reason FROM reasons GROUP BY run_id),
     s AS (SELECT o_custkey AS run_id, count(*) AS n FROM orders GROUP BY o_custkey)
     SELECT c_custkey AS run_id, '2024-01-01T00:00:00Z' AS datetime_to,
     '2024-01-01T00:00:00Z' AS next_checkpoint_candidate, (r.n IS NULL)::BIGINT AS checkpoint_safe,
