@@ -269,13 +269,20 @@ def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8
 def drop_near_duplicates(documents: DataFrame, width: int = 5, similarity: float = 0.8, tables: int = 16) -> DataFrame:
     """Documents without near copies: of each group the row with the smallest doc_id stays.
 
-    Of rows that repeat an id, one stays. Rows without id come last: they stay, as one,
-    only where no row of their group has an id.
+    Of rows that repeat an id and its text, one stays. Rows without id go if every one of
+    them has a copy with an id, else they stay, equal texts once.
     """
     groups = similar_groups(documents, width, similarity, tables)
-    kept_id = free_name("kept_id", documents.columns)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(kept_id)).distinct()
-    return documents.join(kept, F.col("doc_id").eqNullSafe(F.col(kept_id)), "left_semi").dropDuplicates(["doc_id"])
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    per_id = written(groups.groupBy("doc_id").agg(F.max(stays).alias("stays"), F.count("*").alias("n")), "simhash-ids")
+    name = free_name("other_id", documents.columns)
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(name))
+    gone = per_id.filter(~F.col("stays")).select(F.col("doc_id").alias(name))
+    left = documents.join(gone, same, "left_anti")
+    # Ids are rarely repeated; only those rows are compared.
+    repeated = per_id.filter(F.col("stays") & (F.col("n") > 1)).select(F.col("doc_id").alias(name))
+    several = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(repeated, same, "left_anti").unionByName(several)
 
 
 def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
