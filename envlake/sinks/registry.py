@@ -15,9 +15,14 @@ from envlake.operators.acquisition import (
     register_batches,
     registration_summary,
 )
+from envlake.session import workspace
 from envlake.sources.envelopes import RESOURCE
 
 REGISTRY_DDL = "path string, content string, content_hash string, returned bigint, run_id string"
+PAGINATION_DDL = (
+    "struct<pages_fetched: bigint, requested_limit: bigint, found: string, "
+    "pages: array<struct<page: bigint, meta: string, returned: bigint>>>"
+)
 
 
 def prepare_batches(batches: DataFrame) -> DataFrame:
@@ -25,8 +30,12 @@ def prepare_batches(batches: DataFrame) -> DataFrame:
 
     batches: location_id, location_name, sensor_id, parameter, datetime_from,
     datetime_to, returned, found, incomplete, pagination_complete, source_meta,
-    measurements (both JSON text).
+    measurements (both JSON text); optionally pagination, null or a struct of
+    pages_fetched, requested_limit, found (JSON text) and pages, an array of structs of
+    page, meta (JSON text) and returned. Its facts then replace the batch's total.
     """
+    if "pagination" not in batches.columns:
+        batches = batches.withColumn("pagination", F.lit(None).cast(PAGINATION_DDL))
     counted = batches.withColumn(
         "records", F.size(F.from_json("measurements", "array<string>")).cast("bigint")
     )
@@ -34,25 +43,31 @@ def prepare_batches(batches: DataFrame) -> DataFrame:
     windowed = counted.withColumns(
         {name: normalized_boundary(F.col(name)) for name in ("datetime_from", "datetime_to")}
     )
-    retrieval = F.to_json(
-        F.struct(
-            "location_id",
-            "location_name",
-            "sensor_id",
-            "parameter",
-            "datetime_from",
-            "datetime_to",
-            "returned",
-            "found",
-            F.lit(True).alias("complete"),
+    paged = F.col("pagination").isNotNull()
+    members = ("location_id", "location_name", "sensor_id", "parameter", "datetime_from", "datetime_to", "returned")
+    complete = F.lit(True).alias("complete")
+    keep_nulls = {"ignoreNullFields": "false"}
+    retrieval = F.when(
+        paged,
+        F.to_json(
+            F.struct(
+                *members,
+                F.parse_json("pagination.found").alias("found"),
+                complete,
+                "pagination.pages_fetched",
+                F.col("pagination.requested_limit").alias("requested_page_size"),
+            ),
+            keep_nulls,
         ),
-        {"ignoreNullFields": "false"},
-    )
+    ).otherwise(F.to_json(F.struct(*members, "found", complete), keep_nulls))
+    page = lambda p: F.struct(p["page"].alias("page"), F.parse_json(p["meta"]).alias("meta"), p["returned"].alias("returned"))
+    pages = F.to_json(F.transform("pagination.pages", page), keep_nulls)
     content = F.concat(
         F.lit(f'{{"source":"{SOURCE}","resource":"{RESOURCE}","schema_version":{SCHEMA_VERSION},"retrieval":'),
         retrieval,
         F.lit(',"source_meta":'),
         F.coalesce("source_meta", F.lit("null")),
+        F.when(paged, F.concat(F.lit(',"source_pages":'), pages)).otherwise(""),
         F.lit(',"measurements":'),
         F.col("measurements"),
         F.lit("}"),
@@ -93,7 +108,10 @@ def persist_run(
     """
     if checkpoint_safe is False:
         raise InputError("The checkpoint of this run is unsafe; nothing was registered.")
-    prepared = prepare_batches(batches)
+    # Staged once: totals and rows to write are taken from the written batches.
+    staged = workspace(spark, "register")
+    prepare_batches(batches).write.parquet(staged)
+    prepared = spark.read.parquet(staged)
     registry = read_registry(spark, registry_path)
     registered = register_batches(prepared, registry)
     totals = registration_summary(registered).first()
@@ -104,7 +122,8 @@ def persist_run(
     one_copy = (
         prepared.join(fresh, "path", "left_semi")
         .groupBy("path", "content_hash")
-        .agg(F.min(F.struct("content", "returned")).alias("b"))
+        # Equal digests are equal content, however it is spelled.
+        .agg(F.first(F.struct("content", "returned")).alias("b"))
         .select("path", "b.content", "content_hash", "b.returned", F.lit(run_id).alias("run_id"))
     )
     one_copy.write.mode("append").option("compression", "zstd").parquet(registry_path)

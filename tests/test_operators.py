@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import random
 
 import pytest
@@ -302,3 +303,28 @@ def test_coordinate_rules(spark):
         4: (None, None, "coordinates out of bounds"),
         5: (None, None, "no confirmed coordinates"),
     }
+
+
+def test_envelopes_carry_their_pages(spark):
+    from envlake.sinks.registry import PAGINATION_DDL, prepare_batches
+    from envlake.sources import envelopes
+
+    columns = (
+        "location_id bigint, location_name string, sensor_id bigint, parameter string, datetime_from string, datetime_to string,"
+        " returned bigint, found bigint, incomplete boolean, pagination_complete boolean, source_meta string, measurements string,"
+        f" pagination {PAGINATION_DDL}"
+    )
+    paging = (2, 1000, '">1000"', [(1, '{"found":">1000","page":1}', 1), (2, None, 0)])
+    common = (101, "Site", 7, "pm25", "2025-04-10", "2025-04-11", 1, 1, False, True, None, "[1]")
+    rows = [(*common, paging), (102, *common[1:], None)]
+    found = {r.path: r.content for r in prepare_batches(spark.createDataFrame(rows, columns)).collect()}
+    with_pages, without = (json.loads(found[path]) for path in sorted(found))
+    assert with_pages["retrieval"]["pages_fetched"] == 2 and with_pages["retrieval"]["requested_page_size"] == 1000
+    assert with_pages["retrieval"]["found"] == ">1000"
+    assert with_pages["source_pages"] == [
+        {"page": 1, "meta": {"found": ">1000", "page": 1}, "returned": 1},
+        {"page": 2, "meta": None, "returned": 0},
+    ]
+    assert "source_pages" not in without and "pages_fetched" not in without["retrieval"] and without["retrieval"]["found"] == 1
+    files = spark.createDataFrame(list(found.items()), "path string, content string")
+    assert envelopes.parse_envelopes(files).filter("envelope_error IS NOT NULL").count() == 0
