@@ -40,15 +40,20 @@ LEAST_PAIRS = 2
 HOT_SHARE = 0.001
 # Words a task gathers before it sends their pairs on, and pairs per partition of the tables.
 FLUSH_WORDS = 1 << 21
-PARTITION_PAIRS = 1 << 19
-
-# Pairs of documents for one partition, sorted by document, as packed arrays: the distinct words u and w and the place of each
-# row's word among them, n; per document its key, its number of rows, and whether the model is fitted on it.
-PAIRS = "bucket int, u binary, u_at binary, w binary, w_at binary, n binary, keys binary, rows binary, fitted binary"
-ARROW_PAIRS = pa.schema([("bucket", pa.int32()), *((part.split()[0], pa.binary()) for part in PAIRS.split(", ")[1:])])
-# Words that the level of pairs passes on, and sums per document: of logarithms, words, and words that backed off.
-PASSED = "bucket int, w binary, n binary, keys binary, rows binary"
-SUMS = "key bigint, total double, words bigint, backed bigint"
+PARTITION_PAIRS = 1 << 20
+
+# Pairs of a batch of documents for one partition, sorted by document, as packed arrays: the distinct words u and w and the
+# place of each row's word among them, n; per document its number in the batch, its number of rows, and whether the model is
+# fitted on it. The keys of a batch's documents go once, under a bucket below zero.
+PAIRS = "bucket int, batch bigint, u binary, u_at binary, w binary, w_at binary, n binary, docs binary, rows binary, fitted binary"
+ARROW_PAIRS = pa.schema(
+    [("bucket", pa.int32()), ("batch", pa.int64()), *((part.split()[0], pa.binary()) for part in PAIRS.split(", ")[2:])]
+)
+# Words that the level of pairs passes on: per row its word and n, per document its rows; documents as the place of the batch
+# among the batches met, and the number in the batch.
+PASSED = "bucket int, w binary, n binary, batches binary, batch_at binary, docs binary, rows binary"
+# Sums per document: of logarithms, words, and words that backed off.
+SUMS = "batch bigint, doc int, total double, words bigint, backed bigint"
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -143,16 +148,21 @@ def _send_pairs(hot: np.ndarray, buckets: int):
         order = np.argsort(to, kind="stable")
         u, w, of, n = u[order], w[order], of[order], n[order]
         key, fit = np.array(keys, np.int64), np.array(fitted, np.uint8)
+        batch = int(np.uint64(xxhash.xxh64_intdigest(key.tobytes())).astype(np.int64))
+
+        def row(bucket: int, columns: list[np.ndarray]) -> pa.RecordBatch:
+            packed = [pa.array([_packed(column)], pa.binary()) for column in columns]
+            packed += [pa.nulls(1, pa.binary())] * (len(ARROW_PAIRS) - 2 - len(packed))
+            return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([batch], pa.int64()), *packed], schema=ARROW_PAIRS)
+
+        yield row(-1 - batch % buckets, [key])
         for bucket, a, b in _runs(to[order]):
             docs, rows = np.unique(of[a:b], return_counts=True)
             columns = []
             for words in (u[a:b], w[a:b]):
                 distinct, at = np.unique(words, return_inverse=True)
                 columns += [distinct, _numbers(at)]
-            columns += [_numbers(n[a:b]), key[docs], _numbers(rows), fit[docs]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([bucket], pa.int32()), *(pa.array([_packed(column)], pa.binary()) for column in columns)], schema=ARROW_PAIRS
-            )
+            yield row(bucket, [*columns, _numbers(n[a:b]), _numbers(np.diff(docs, prepend=0)), _numbers(rows), fit[docs]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place: dict[bytes, int] = {}
@@ -172,24 +182,24 @@ def _send_pairs(hot: np.ndarray, buckets: int):
     return run
 
 
-def _documents(rows: pd.DataFrame, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per row the number of its document and n; per document its key."""
-    keys = [_unpacked(one, np.int64) for one in rows["keys"]]
-    counts = [_unpacked_numbers(one, len(own)) for one, own in zip(rows["rows"], keys, strict=True)]
-    counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-    n = [_unpacked_numbers(one, size) for one, size in zip(rows["n"], sizes, strict=True)]
-    return np.repeat(np.arange(len(counts)), counts), np.concatenate(n) if n else counts, np.concatenate(keys) if keys else counts
+def _stacked(arrays: list[np.ndarray], kind: type = np.int64) -> np.ndarray:
+    return np.concatenate(arrays) if arrays else np.zeros(0, kind)
 
 
 def _pair_rows(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
-    """u, w, document and n of every pair; key and fitted of every document."""
-    sizes = [int(_unpacked_numbers(r, len(_unpacked(k, np.int64))).sum()) for r, k in zip(rows["rows"], rows["keys"], strict=True)]
-    words = []
-    for name in ("u", "w"):
-        found = [_unpacked(d, np.uint64)[_unpacked_numbers(at, n)] for d, at, n in zip(rows[name], rows[name + "_at"], sizes, strict=True)]
-        words.append(np.concatenate(found) if found else np.zeros(0, np.uint64))
+    """u, w, document and n of every pair; batch, number in it, and fitted of every document."""
     fitted = [_unpacked(one, np.uint8) for one in rows["fitted"]]
-    return (*words, *_documents(rows, sizes), np.concatenate(fitted) if fitted else np.zeros(0, np.uint8))
+    counts = [_unpacked_numbers(one, len(own)) for one, own in zip(rows["rows"], fitted, strict=True)]
+    docs = [np.cumsum(_unpacked_numbers(one, len(own))) for one, own in zip(rows["docs"], fitted, strict=True)]
+    sizes = [int(own.sum()) for own in counts]
+    words = [
+        _stacked([_unpacked(d, np.uint64)[_unpacked_numbers(at, n)] for d, at, n in zip(rows[name], rows[f"{name}_at"], sizes, strict=True)], np.uint64)
+        for name in ("u", "w")
+    ]
+    n = _stacked([_unpacked_numbers(one, size) for one, size in zip(rows["n"], sizes, strict=True)])
+    batch = np.repeat(rows["batch"].to_numpy(np.int64), [len(own) for own in fitted])
+    counts = _stacked(counts)
+    return (*words, np.repeat(np.arange(len(counts)), counts), n, batch, _stacked(docs), _stacked(fitted, np.uint8))
 
 
 def _looked_up(words: np.ndarray, counts: pd.DataFrame, hot: np.ndarray, hot_counts: np.ndarray) -> np.ndarray:
@@ -204,12 +214,12 @@ def _looked_up(words: np.ndarray, counts: pd.DataFrame, hot: np.ndarray, hot_cou
     return np.where(known[at] == words, n[at], 0)
 
 
-def _sums(keys: np.ndarray, doc: np.ndarray, logs: np.ndarray, n: np.ndarray, backed: bool) -> pd.DataFrame:
+def _sums(batch: np.ndarray, number: np.ndarray, doc: np.ndarray, logs: np.ndarray, n: np.ndarray, backed: bool) -> pd.DataFrame:
     """Sums per document."""
     named, at = np.unique(doc, return_inverse=True)
     words = np.bincount(at, n, len(named)).astype(np.int64)
     total = np.bincount(at, logs * n, len(named))
-    return pd.DataFrame({"key": keys[named], "total": total, "words": words, "backed": words if backed else 0 * words})
+    return pd.DataFrame({"batch": batch[named], "doc": number[named], "total": total, "words": words, "backed": words if backed else 0 * words})
 
 
 def _modelled(u: np.ndarray, w: np.ndarray, doc: np.ndarray, n: np.ndarray, fitted: np.ndarray) -> np.ndarray:
@@ -222,30 +232,32 @@ def _score_pairs(hot: np.ndarray, hot_counts: np.ndarray, least: int) -> Callabl
     """Level of pairs: sums over the pairs that the model has."""
 
     def run(_key: tuple, rows: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        u, w, doc, n, keys, fitted = _pair_rows(rows)
+        u, w, doc, n, batch, number, fitted = _pair_rows(rows)
         pair_count = _modelled(u, w, doc, n, fitted)
         has = pair_count >= max(least, 1)
         logs = np.log(pair_count[has] / np.maximum(_looked_up(u[has], counts, hot, hot_counts), 1))
-        return _sums(keys, doc[has], logs, n[has], False)
+        return _sums(batch, number, doc[has], logs, n[has], False)
 
     return run
 
 
 def _pass_words(buckets: int, least: int) -> Callable:
-    """The words after which the model has no pair, dealt by their hash, documents in the order of their keys."""
+    """The words that the model has no pair for, dealt by their hash."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        u, w, doc, n, keys, fitted = _pair_rows(rows)
+        u, w, doc, n, batch, number, fitted = _pair_rows(rows)
         missing = _modelled(u, w, doc, n, fitted) < max(least, 1)
-        w, key, n = w[missing], keys[doc[missing]], n[missing]
+        w, doc, n = w[missing], doc[missing], n[missing]
         to = (w % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((key, to))
-        w, key, n = w[order], key[order], n[order]
+        # Documents come in the order of their numbers, batch by batch.
+        order = np.lexsort((doc, to))
+        w, doc, n = w[order], doc[order], n[order]
         out = []
         for bucket, a, b in _runs(to[order]):
-            own, per_key = np.unique(key[a:b], return_counts=True)
-            out.append((bucket, *map(_packed, (w[a:b], _numbers(n[a:b]), np.diff(own, prepend=0), _numbers(per_key)))))
-        return pd.DataFrame(out, columns=["bucket", "w", "n", "keys", "rows"]).astype({"bucket": "int32"})
+            own, per_doc = np.unique(doc[a:b], return_counts=True)
+            batches, at = np.unique(batch[own], return_inverse=True)
+            out.append((bucket, *map(_packed, (w[a:b], _numbers(n[a:b]), batches, _numbers(at), _numbers(number[own]), per_doc.astype(np.uint32)))))
+        return pd.DataFrame(out, columns=["bucket", "w", "n", "batches", "batch_at", "docs", "rows"]).astype({"bucket": "int32"})
 
     return run
 
@@ -253,17 +265,33 @@ def _pass_words(buckets: int, least: int) -> Callable:
 def _score_words(hot: np.ndarray, hot_counts: np.ndarray, corpus: int) -> Callable:
     """Level of words: backed-off logarithms of their shares."""
 
-    def run(_key: tuple, rows: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        found = [_unpacked(one, np.uint64) for one in rows["w"]]
-        w = np.concatenate(found) if found else np.zeros(0, np.uint64)
-        rows = rows.assign(keys=[_packed(np.cumsum(_unpacked(one, np.int64))) for one in rows["keys"]])
-        doc, n, keys = _documents(rows, [len(one) for one in found])
-        share = np.maximum(_looked_up(w, counts, hot, hot_counts), 1) / max(corpus, 1)
-        return _sums(keys, doc, np.log(BACKOFF * share), n, True)
+    def run(_key: tuple, rows: pd.DataFrame, counts_of: pd.DataFrame) -> pd.DataFrame:
+        words = [_unpacked(one, np.uint64) for one in rows["w"]]
+        n = _stacked([_unpacked_numbers(one, len(own)) for one, own in zip(rows["n"], words, strict=True)])
+        batch, number, counts = [], [], []
+        for row in rows.itertuples(index=False):
+            batches = _unpacked(row.batches, np.int64)
+            per_doc = _unpacked(row.rows, np.uint32).astype(np.int64)
+            counts.append(per_doc)
+            batch.append(batches[_unpacked_numbers(row.batch_at, len(per_doc))])
+            number.append(_unpacked_numbers(row.docs, len(per_doc)))
+        counts = _stacked(counts)
+        w = _stacked(words, np.uint64)
+        share = np.maximum(_looked_up(w, counts_of, hot, hot_counts), 1) / max(corpus, 1)
+        doc = np.repeat(np.arange(len(counts)), counts)
+        return _sums(_stacked(batch), _stacked(number), doc, np.log(BACKOFF * share), n, True)
 
     return run
 
 
+def _batch_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Keys of the documents of batches, by their numbers."""
+    for rows in batches:
+        for row in rows.itertuples(index=False):
+            keys = _unpacked(row.u, np.int64)
+            yield pd.DataFrame({"batch": row.batch, "doc": np.arange(len(keys)), "key": keys})
+
+
 def backoff_scores(documents: DataFrame, fitted: str | None = None, least: int = LEAST_PAIRS) -> DataFrame:
     """Per row of documents: doc_id, n_words, n_backoff, log_score.
 
@@ -290,6 +318,9 @@ def backoff_scores(documents: DataFrame, fitted: str | None = None, least: int =
     table = counts.filter(F.col("n") <= corpus * HOT_SHARE).select(bucket.alias("bucket"), "word", "n")
     by_table = table.repartition(buckets, "bucket")
     sent = texts.select("key", "fit", "text").mapInArrow(_send_pairs(hot, buckets), PAIRS).repartition(buckets, "bucket")
+    # Equal batches of repeated rows share their number; their sums are added up before.
+    batches = sent.filter("bucket < 0").mapInPandas(_batch_keys, "batch bigint, doc int, key bigint").distinct()
+    sent = sent.filter("bucket >= 0")
     pairs = sent.groupBy("bucket").cogroup(by_table.groupBy("bucket"))
     scored = pairs.applyInPandas(_score_pairs(hot, hot_counts, least), SUMS)
     passed = sent.groupBy("bucket").applyInPandas(_pass_words(buckets, least), PASSED).repartition(buckets, "bucket")
@@ -301,7 +332,9 @@ def backoff_scores(documents: DataFrame, fitted: str | None = None, least: int =
     first = heads.join(counts, "word", "left").select(
         "key", log_share.alias("total"), F.lit(1).cast("bigint").alias("words"), F.lit(0).cast("bigint").alias("backed")
     )
-    per_key = scored.unionByName(rest).unionByName(first).groupBy("key").agg(*(F.sum(name).alias(name) for name in ("total", "words", "backed")))
+    per_doc = scored.unionByName(rest).groupBy("batch", "doc").agg(*(F.sum(name).alias(name) for name in ("total", "words", "backed")))
+    keyed = per_doc.join(batches, ["batch", "doc"]).select("key", "total", "words", "backed")
+    per_key = keyed.unionByName(first).groupBy("key").agg(*(F.sum(name).alias(name) for name in ("total", "words", "backed")))
     rows = texts.select("doc_id", "key")
     copies = rows.groupBy("key").agg(F.count("*").alias("copies"))
     scores = copies.join(per_key, "key", "left")
