@@ -24,7 +24,6 @@ import zlib
 from collections.abc import Iterator, Mapping
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
@@ -70,45 +69,54 @@ def token_table(documents: DataFrame, tokenizer_path: str) -> DataFrame:
 
 
 PIECE_SCHEMA = (
-    "doc_id bigint, queue string, place bigint, start bigint, length bigint, doc_tokens bigint,"
-    " slot bigint, crc bigint, ids binary"
+    "doc_id bigint, queue string, place bigint, start bigint, length bigint, doc_tokens bigint, "
+    "slot bigint, crc bigint, ids binary"
 )
+# Pieces gathered before they are handed on.
+PIECES = 1 << 16
 
 
 def _cut(slot_tokens: int):
-    """Cut documents at the ends of slots; ids go along for the slot that is not full."""
+    """Cut documents (doc_id, queue, place, n, total, width, ids) at the ends of slots; ids go along for a slot that is not full."""
+
+    def pieces(batch: pa.RecordBatch, at: list[int], found: list[tuple]) -> pa.RecordBatch:
+        """Pieces of the documents at some rows of a batch, from arrays per document."""
+        starts, stops, slots, crcs, tails = (list(column) for column in zip(*found, strict=True))
+        rows = np.repeat(at, [len(one) for one in starts])
+        start, slot = np.concatenate(starts), np.concatenate(slots)
+        place, n = (batch.column(name).to_numpy()[rows] for name in ("place", "n"))
+        ids = pa.nulls(len(rows), pa.binary())
+        if any(tails):
+            ids = pa.array([one for own, tail in zip(starts, tails, strict=True) for one in [None] * (len(own) - len(tail)) + tail], pa.binary())
+        columns = [
+            batch.column("doc_id").take(pa.array(rows)), batch.column("queue").take(pa.array(rows)), pa.array(place + start), pa.array(start),
+            pa.array(np.concatenate(stops) - start), pa.array(n), pa.array(slot), pa.array([c for own in crcs for c in own], pa.int64()), ids,
+        ]
+        return pa.RecordBatch.from_arrays(columns, [part.split()[0] for part in PIECE_SCHEMA.split(", ")])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                ids = np.frombuffer(row.ids, f"<u{row.width}").astype("<u4")
-                first, last = row.place // slot_tokens, (row.place + row.n - 1) // slot_tokens
-                starts = np.maximum(np.arange(first, last + 1) * slot_tokens - row.place, 0)
-                stops = np.append(starts[1:], row.n)
-                full = row.total // slot_tokens
-                data = memoryview(ids.tobytes())
-                for slot, start, stop in zip(range(first, last + 1), starts.tolist(), stops.tolist(), strict=True):
-                    piece = data[4 * start : 4 * stop]
-                    out.append(
-                        (row.doc_id, row.queue, row.place + start, start, stop - start, row.n, slot, zlib.crc32(piece),
-                         bytes(piece) if slot >= full else None)
-                    )
-                if len(out) >= 1 << 16:
-                    yield _pieces(out)
-                    out = []
-            yield _pieces(out)
+            at, found, gathered = [], [], 0
+            names = ("place", "n", "total", "width", "ids")
+            for row, (place, n, total, width, ids) in enumerate(zip(*(batch.column(name).to_pylist() for name in names), strict=True)):
+                slots = np.arange(place // slot_tokens, (place + n - 1) // slot_tokens + 1)
+                starts = np.maximum(slots * slot_tokens - place, 0)
+                stops = np.append(starts[1:], n)
+                data = memoryview(np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes())
+                parts = [data[4 * a : 4 * b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
+                full = total // slot_tokens
+                found.append((starts, stops, slots, map(zlib.crc32, parts), [bytes(parts[-1])] if slots[-1] >= full else []))
+                at.append(row)
+                gathered += len(parts)
+                if gathered >= PIECES:
+                    yield pieces(batch, at, found)
+                    at, found, gathered = [], [], 0
+            if at:
+                yield pieces(batch, at, found)
 
     return run
 
 
-def _pieces(rows: list[tuple]) -> pd.DataFrame:
-    columns = [part.strip().split()[0] for part in PIECE_SCHEMA.split(",")]
-    found = pd.DataFrame(rows, columns=columns)
-    # Null ids stay integers.
-    return found.astype({"doc_id": "Int64"})
-
-
 def pack(
     documents: DataFrame,
     tokenizer_path: str,
@@ -139,7 +147,7 @@ def pack(
         "doc_id", "queue", (F.col("place") + F.col("base")).alias("place"), "n", "total", "width", "ids"
     )
     # Pieces carry the queue's total implicitly: the last slot is known where they are cut.
-    pieces = written(placed.mapInPandas(_cut(slot_tokens), PIECE_SCHEMA), "packing-pieces")
+    pieces = written(placed.mapInArrow(_cut(slot_tokens), PIECE_SCHEMA), "packing-pieces")
     share = F.col("total") / F.lit(float(max(all_tokens, 1)))
     if shares:
         named = F.create_map(*(F.lit(part) for pair in shares.items() for part in pair))

@@ -56,13 +56,14 @@ class PartCache:
                 young[part] = None
         if missing:
             young.update(zip(missing, self.make([" " + part for part in missing]), strict=True))
-        for text, parts in zip(texts, split, strict=True):
-            head = parts[0]
-            found = list(map(young.__getitem__, parts[1:]))
-            if None in found or (found and (not head or head[-1].isspace())):
+        heads = self.make([parts[0] for parts in split])
+        for text, parts, head in zip(texts, split, heads, strict=True):
+            first = parts[0]
+            found = [head]
+            found.extend(map(young.__getitem__, parts[1:]))
+            if None in found or (len(found) > 1 and (not first or first[-1].isspace())):
                 yield list(self.make(cuts_of(text)))
             else:
-                found[:0] = self.make([head])
                 yield found
         if len(young) > self.limit:
             self.young, self.old = {}, young
