@@ -52,8 +52,9 @@ ARROW_PAIRS = pa.schema(
 # Words that the level of pairs passes on: per row its word and n, per document its rows; documents as the place of the batch
 # among the batches met, and the number in the batch.
 PASSED = "bucket int, w binary, n binary, batches binary, batch_at binary, docs binary, rows binary"
-# Sums per document: of logarithms, words, and words that backed off.
-SUMS = "batch bigint, doc int, total double, words bigint, backed bigint"
+# Sums of a batch's documents, as packed arrays: numbers in the batch, sums of logarithms, words; whether they backed off.
+SUMS = "batch bigint, docs binary, total binary, words binary, backed boolean"
+SCORES = "key bigint, total double, words bigint, backed bigint"
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -215,11 +216,32 @@ def _looked_up(words: np.ndarray, counts: pd.DataFrame, hot: np.ndarray, hot_cou
 
 
 def _sums(batch: np.ndarray, number: np.ndarray, doc: np.ndarray, logs: np.ndarray, n: np.ndarray, backed: bool) -> pd.DataFrame:
-    """Sums per document."""
+    """Sums per document, a row per batch."""
     named, at = np.unique(doc, return_inverse=True)
-    words = np.bincount(at, n, len(named)).astype(np.int64)
-    total = np.bincount(at, logs * n, len(named))
-    return pd.DataFrame({"batch": batch[named], "doc": number[named], "total": total, "words": words, "backed": words if backed else 0 * words})
+    total, words = np.bincount(at, logs * n, len(named)), np.bincount(at, n, len(named)).astype(np.int64)
+    batch, number = batch[named], number[named]
+    order = np.lexsort((number, batch))
+    batch, number, total, words = batch[order], number[order], total[order], words[order]
+    rows = [
+        (of, *map(_packed, (_numbers(np.diff(number[a:b], prepend=0)), total[a:b], _numbers(words[a:b]))), backed) for of, a, b in _runs(batch)
+    ]
+    return pd.DataFrame(rows, columns=["batch", "docs", "total", "words", "backed"]).astype({"batch": "int64"})
+
+
+def _fold_batch(_key: tuple, sums: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
+    """Sums of all partitions for the documents of a batch, by their keys."""
+    if not len(keys):
+        return pd.DataFrame({"key": [], "total": [], "words": [], "backed": []})
+    key = _unpacked(keys["keys"].iloc[0], np.int64)
+    total, words, backed = np.zeros(len(key)), np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+    for row in sums.itertuples(index=False):
+        logs = _unpacked(row.total, np.float64)
+        doc, n = np.cumsum(_unpacked_numbers(row.docs, len(logs))), _unpacked_numbers(row.words, len(logs))
+        np.add.at(total, doc, logs)
+        np.add.at(words, doc, n)
+        if row.backed:
+            np.add.at(backed, doc, n)
+    return pd.DataFrame({"key": key, "total": total, "words": words, "backed": backed})
 
 
 def _modelled(u: np.ndarray, w: np.ndarray, doc: np.ndarray, n: np.ndarray, fitted: np.ndarray) -> np.ndarray:
@@ -284,14 +306,6 @@ def _score_words(hot: np.ndarray, hot_counts: np.ndarray, corpus: int) -> Callab
     return run
 
 
-def _batch_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Keys of the documents of batches, by their numbers."""
-    for rows in batches:
-        for row in rows.itertuples(index=False):
-            keys = _unpacked(row.u, np.int64)
-            yield pd.DataFrame({"batch": row.batch, "doc": np.arange(len(keys)), "key": keys})
-
-
 def backoff_scores(documents: DataFrame, fitted: str | None = None, least: int = LEAST_PAIRS) -> DataFrame:
     """Per row of documents: doc_id, n_words, n_backoff, log_score.
 
@@ -318,8 +332,8 @@ def backoff_scores(documents: DataFrame, fitted: str | None = None, least: int =
     table = counts.filter(F.col("n") <= corpus * HOT_SHARE).select(bucket.alias("bucket"), "word", "n")
     by_table = table.repartition(buckets, "bucket")
     sent = texts.select("key", "fit", "text").mapInArrow(_send_pairs(hot, buckets), PAIRS).repartition(buckets, "bucket")
-    # Equal batches of repeated rows share their number; their sums are added up before.
-    batches = sent.filter("bucket < 0").mapInPandas(_batch_keys, "batch bigint, doc int, key bigint").distinct()
+    # Equal batches of repeated rows share their number; their sums are added up.
+    batches = sent.filter("bucket < 0").select("batch", F.col("u").alias("keys"))
     sent = sent.filter("bucket >= 0")
     pairs = sent.groupBy("bucket").cogroup(by_table.groupBy("bucket"))
     scored = pairs.applyInPandas(_score_pairs(hot, hot_counts, least), SUMS)
@@ -332,15 +346,14 @@ def backoff_scores(documents: DataFrame, fitted: str | None = None, least: int =
     first = heads.join(counts, "word", "left").select(
         "key", log_share.alias("total"), F.lit(1).cast("bigint").alias("words"), F.lit(0).cast("bigint").alias("backed")
     )
-    per_doc = scored.unionByName(rest).groupBy("batch", "doc").agg(*(F.sum(name).alias(name) for name in ("total", "words", "backed")))
-    keyed = per_doc.join(batches, ["batch", "doc"]).select("key", "total", "words", "backed")
-    per_key = keyed.unionByName(first).groupBy("key").agg(*(F.sum(name).alias(name) for name in ("total", "words", "backed")))
+    folded = scored.unionByName(rest).groupBy("batch").cogroup(batches.groupBy("batch")).applyInPandas(_fold_batch, SCORES)
+    per_key = folded.unionByName(first).groupBy("key").agg(*(F.sum(name).alias(name) for name in ("total", "words", "backed")))
     rows = texts.select("doc_id", "key")
     copies = rows.groupBy("key").agg(F.count("*").alias("copies"))
     scores = copies.join(per_key, "key", "left")
     share = lambda name: F.coalesce(F.col(name) / F.col("copies"), F.lit(0)).cast("bigint")
     return rows.join(
-        scores.select("key", share("words").alias("n_words"), share("backed").alias("n_backoff"), (F.col("total") / F.col("words")).alias("log_score")),
+        scores.select("key", share("words").alias("n_words"), share("backed").alias("n_backoff"), F.try_divide("total", "words").alias("log_score")),
         "key",
     ).drop("key")
 
