@@ -207,12 +207,15 @@ def candidate_pairs(nodes: DataFrame, tables: int) -> DataFrame:
     return same.unionByName(near).distinct()
 
 
+def _small_or_shuffled(ids: DataFrame) -> DataFrame:
+    """A list of ids of bounded size goes to the texts; a longer one is shuffled with them."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def _of_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of documents with one of some ids; a list of bounded size goes to the texts, a longer one is shuffled with them."""
+    """Rows of documents with one of some ids."""
     name = free_name("wanted_id", documents.columns)
-    wanted = ids.withColumnRenamed(ids.columns[0], name)
-    if ids.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
+    wanted = _small_or_shuffled(ids.withColumnRenamed(ids.columns[0], name))
     return documents.join(wanted, documents["doc_id"].cast("bigint").eqNullSafe(wanted[name]), "left_semi")
 
 
@@ -277,10 +280,10 @@ def drop_near_duplicates(documents: DataFrame, width: int = 5, similarity: float
     per_id = written(groups.groupBy("doc_id").agg(F.max(stays).alias("stays"), F.count("*").alias("n")), "simhash-ids")
     name = free_name("other_id", documents.columns)
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(name))
-    gone = per_id.filter(~F.col("stays")).select(F.col("doc_id").alias(name))
+    gone = _small_or_shuffled(per_id.filter(~F.col("stays")).select(F.col("doc_id").alias(name)))
     left = documents.join(gone, same, "left_anti")
     # Ids are rarely repeated; only those rows are compared.
-    repeated = per_id.filter(F.col("stays") & (F.col("n") > 1)).select(F.col("doc_id").alias(name))
+    repeated = _small_or_shuffled(per_id.filter(F.col("stays") & (F.col("n") > 1)).select(F.col("doc_id").alias(name)))
     several = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return left.join(repeated, same, "left_anti").unionByName(several)
 
