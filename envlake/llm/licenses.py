@@ -5,7 +5,8 @@ Texts are looked at line by line and, as notices may be wrapped, paragraph by pa
 template are lower-cased, every run of characters other than a to z, 0 to 9 and the full
 stop inside a number becomes a space, and their sets of word bigrams A and B are compared:
 2 |A and B| / (|A| + |B|). A coefficient of t needs |A| between |B| t/(2-t) and
-|B| (2-t)/t, so most units meet no template at all.
+|B| (2-t)/t, so most units meet no template at all. It also needs one of a few telling
+words, so that most texts are not taken apart.
 
 The result has a row per unit that reaches ``min_dice`` for a template: the best one, ties
 to the template first in binary order. Null texts count as empty; units of fewer than two
@@ -15,6 +16,7 @@ returned once. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -66,6 +68,27 @@ def _bigrams(words: Column) -> Column:
     return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
 
 
+def telling_words(templates: dict[str, str], min_dice: float) -> list[str]:
+    """Words of which a text that matches any template holds one at least.
+
+    A match shares t/(2-t) of a template's bigrams, so it lacks no more than the rest.
+    Words that together touch more bigrams than that cannot all be missing; the longest
+    are taken, as they are rarest elsewhere.
+    """
+    chosen = set()
+    for notice in templates.values():
+        words = re.sub(r"[^a-z0-9.]+|\.(?![0-9])", " ", notice.lower()).split()
+        bigrams = set(zip(words, words[1:], strict=False))
+        may_lack = len(bigrams) * (2 - 2 * min_dice) / (2 - min_dice) + 1e-6
+        own: set[str] = set()
+        for word in sorted(set(words), key=lambda w: (w not in chosen, -len(w), w)):
+            if sum(not own.isdisjoint(pair) for pair in bigrams) > may_lack:
+                break
+            own.add(word)
+        chosen |= own
+    return sorted(chosen)
+
+
 def units(documents: DataFrame) -> DataFrame:
     """(doc_id, kind, unit, unit_text): lines, and paragraphs of several lines."""
     text = F.coalesce("text", F.lit(""))
@@ -92,7 +115,9 @@ def scan(documents: DataFrame, templates: dict[str, str] | None = None, min_dice
     # The templates are a fixed list of the caller, of some hundred bigrams.
     table = F.broadcast(template_bigrams(documents.sparkSession, templates))
     longest = max((len(re.findall("[a-z0-9]+", notice.lower())) for notice in templates.values()), default=0)
-    found = units(documents).withColumn("words", _words(F.col("unit_text")))
+    text = F.lower(F.coalesce("text", F.lit("")))
+    telling = functools.reduce(lambda a, b: a | b, (F.contains(text, F.lit(word)) for word in telling_words(templates, min_dice)), F.lit(False))
+    found = units(documents.filter(telling)).withColumn("words", _words(F.col("unit_text")))
     # No template has more bigrams than words.
     sets = found.select("doc_id", "kind", "unit", F.xxhash64("unit_text").alias("unit_hash"), _bigrams(F.col("words")).alias("set"))
     sized = sets.withColumn("size", F.size("set")).filter(F.col("size").between(1, int(longest * high) + 1))
