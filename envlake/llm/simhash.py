@@ -10,6 +10,9 @@ share a word are linked to the smallest, so a group of n copies makes n links.
 
 Null and empty texts have fingerprint zero and are linked like any other; repeated rows
 and equal texts share a fingerprint. An empty table gives an empty result.
+
+Near copies of the pipeline (``similar_groups``) are wider than two bits can reach; they are
+found by exact comparison of shingle sets that share one of their rarest shingles.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from envlake.llm.components import components
 from envlake.llm.tables import free_name, read_table, small_batches, written
@@ -32,6 +35,12 @@ SEGMENT_BITS = 2
 PIECE = 255 << 5
 # Ids that are broadcast to the texts: eight megabytes at most.
 BROADCAST_IDS = 1 << 20
+# Near copies: texts whose recurring shingles are kept from being keys, and how many such shingles at most.
+SAMPLE_ROWS = 4096
+COMMON_SHINGLES = 1 << 16
+# Comparisons per key row that need no further hubs first, and turns of hubs at most; the last turn compares all that is left.
+MUCH = 4
+MAX_TURNS = 6
 
 
 def _signed(value: int) -> int:
@@ -75,16 +84,6 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(_shingle_hashes(text, width))
 
 
-def signature_of(shingles: np.ndarray, tables: int) -> np.ndarray:
-    """One 64-bit fingerprint per table, each of hashes remixed for that table; zeros without words."""
-    if not len(shingles):
-        return np.zeros(tables, np.uint64)
-    mixed = shingles[:, None] + np.arange(1, tables + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
-    return _majority(mixed ^ (mixed >> np.uint64(31)))
-
-
 def fingerprints(documents: DataFrame, width: int) -> DataFrame:
     """(doc_id, fp): the fingerprint of every row as a signed 64-bit integer."""
     small_batches(documents.sparkSession)
@@ -103,23 +102,6 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, pa.array(values.view(np.int64)))
 
 
-def signatures(documents: DataFrame, width: int, tables: int, with_shingles: bool = False) -> DataFrame:
-    """(doc_id, signature), and the hashes of the different shingles if asked for, of every row."""
-    small_batches(documents.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(text.as_py(), width) for text in batch.column(1)]
-            found = _lists([signature_of(one, tables) for one in sets])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), found, *([_lists(sets)] if with_shingles else [])],
-                ["doc_id", "signature", *(["shingles"] if with_shingles else [])],
-            )
-
-    schema = "doc_id bigint, signature array<bigint>" + ", shingles array<bigint>" * with_shingles
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
-
-
 def _lanes(segment_bits: int) -> list[int]:
     return list(range(0, 64, segment_bits))
 
@@ -183,30 +165,6 @@ def near_duplicates(documents: DataFrame, width: int = 3, segment_bits: int = SE
     )
 
 
-def _short_words(fp: Column) -> Column:
-    """A 32-bit fingerprint and its 32 neighbours: cells of the grid with a segment per bit."""
-    return F.array(fp, *(fp.bitwiseXOR(F.lit(1 << bit)) for bit in range(32)))
-
-
-def candidate_pairs(nodes: DataFrame, tables: int) -> DataFrame:
-    """Pairs (node, hub) of nodes (node, signature) that meet in some table.
-
-    The low 32 bits of a table's fingerprint are joined within 2 bits in a grid whose
-    segments are single bits. Nodes with one fingerprint are paired with the smallest of
-    them, and those smallest ones, of which a cell holds 33 at most, with the smallest in
-    each cell.
-    """
-    # Tables are told apart by the bits above the low 32.
-    short = [F.element_at("signature", t + 1).bitwiseAND(F.lit(0xFFFFFFFF)) + F.lit(t << 32) for t in range(tables)]
-    keyed = nodes.select("node", F.explode(F.array(*short)).alias("fp"))
-    reps = keyed.groupBy("fp").agg(F.min("node").alias("rep"))
-    same = keyed.join(reps, "fp").filter("node <> rep").select("node", F.col("rep").alias("hub"))
-    cells = reps.select(F.col("rep").alias("node"), F.explode(_short_words(F.col("fp"))).alias("cell"))
-    hub = F.min("node").over(Window.partitionBy("cell"))
-    near = cells.withColumn("hub", hub).filter("node <> hub").select("node", "hub")
-    return same.unionByName(near).distinct()
-
-
 def _small_or_shuffled(ids: DataFrame) -> DataFrame:
     """A list of ids of bounded size goes to the texts; a longer one is shuffled with them."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
@@ -219,63 +177,162 @@ def _of_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
     return documents.join(wanted, documents["doc_id"].cast("bigint").eqNullSafe(wanted[name]), "left_semi")
 
 
-def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8, tables: int = 16) -> DataFrame:
-    """(doc_id, component_id) per row: groups linked where shingle sets have ``similarity`` (Jaccard) or more.
+def common_shingles(documents: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that recur in a sample of texts, sorted, and their places from the rarest on.
 
-    Texts of similarity 0.8 differ in about 10 of 64 bits, too far for one fingerprint
-    within 2 bits. So every set of shingles gets ``tables`` fingerprints, and pairs that meet
-    in any table are candidates: with 16 tables a pair of similarity 0.8 does with
-    probability 0.86, one of 0.85 with 0.97, one of 0.9 with 0.999. The share of bits in
-    which whole signatures differ estimates the similarity: pairs three standard errors
-    above the limit are linked, pairs three below are none, and all between that are not
-    linked already are verified on the sets of shingles.
+    They only set the order in which shingles become keys; any list gives the same groups.
     """
-    rows = written(signatures(documents, width, tables), "simhash-signatures")
-    # Numbers are fixed by writing them.
-    groups = rows.groupBy("signature").agg(F.min("doc_id").alias("first_id"))
-    nodes = written(groups.withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
-    left = nodes.select("node", F.col("signature").alias("mine"))
-    right = nodes.select(F.col("node").alias("hub"), F.col("signature").alias("other"))
-    differing = F.aggregate(
-        F.zip_with("mine", "other", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits
-    )
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    bits = 64 * tables
-    slack = 3 * math.sqrt(share * (1 - share) / bits)
-    measured = candidate_pairs(nodes, tables).join(left, "node").join(right, "hub").select("node", "hub", (differing / bits).alias("apart"))
-    measured = written(measured.filter(F.col("apart") <= share + slack), "simhash-pairs")
-    edge = (F.col("node").alias("u"), F.col("hub").alias("v"))
-    sure = measured.filter(F.col("apart") <= share - slack).select(*edge)
-    known = components(sure)
-    of = lambda side: known.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
-    open_pairs = measured.filter(F.col("apart") > share - slack).join(of("node"), "node", "left").join(of("hub"), "hub", "left")
-    apart = ~F.coalesce(F.col("node_root"), F.col("node")).eqNullSafe(F.coalesce(F.col("hub_root"), F.col("hub")))
-    open_pairs = written(open_pairs.filter(apart).select("node", "hub"), "simhash-open-pairs")
-    ends = open_pairs.select("node").unionByName(open_pairs.select(F.col("hub").alias("node"))).distinct()
-    wanted = nodes.join(ends, "node", "left_semi")
-    sets = signatures(_of_ids(documents, wanted.select("first_id").distinct()), width, tables, with_shingles=True)
-    # A repeated id can stand for other texts; the signature tells which is meant.
-    sets = sets.select("signature", "shingles").dropDuplicates(["signature"]).join(wanted.select("signature", "node"), "signature")
-    sets = written(sets.select("node", "shingles"), "simhash-shingles")
-    both = open_pairs.join(sets.withColumnRenamed("shingles", "mine"), "node").join(
-        sets.select(F.col("node").alias("hub"), F.col("shingles").alias("other")), "hub"
+    every = max(1, documents.count() // SAMPLE_ROWS)
+    sample = documents.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select("text")
+    small_batches(documents.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text.as_py(), width).view(np.int64))], ["shingle"])
+
+    counted = sample.mapInArrow(run, "shingle bigint").groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > 2)
+    found = counted.orderBy(F.col("n").desc(), "shingle").limit(COMMON_SHINGLES).toPandas()
+    shingles = found["shingle"].to_numpy(np.int64)[::-1].copy().view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], order
+
+
+def prefix_length(size: int, similarity: float) -> int:
+    """Shingles of a set, in an order common to all sets, of which a similar set holds one at least among its own first."""
+    return size - math.ceil(similarity * size - 1e-9) + 1 if size else 0
+
+
+def prefixes(documents: DataFrame, width: int, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(doc_id, node, size, keys) of every row: hash and size of its set of shingles, and the set's first shingles, common ones last."""
+    small_batches(documents.sparkSession)
+    shingles, places = common
+
+    def first(own: np.ndarray) -> np.ndarray:
+        if len(shingles):
+            at = np.minimum(np.searchsorted(shingles, own), len(shingles) - 1)
+            own = own[np.argsort(np.where(shingles[at] == own, places[at], -1), kind="stable")]
+        return own[: prefix_length(len(own), similarity)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(text.as_py(), width) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), _nodes(sets), pa.array([len(own) for own in sets], pa.int32()), _lists([first(own) for own in sets])],
+                ["doc_id", "node", "size", "keys"],
+            )
+
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id bigint, node bigint, size int, keys array<bigint>"
     )
-    common = F.size(F.array_intersect("mine", "other"))
-    verified = both.filter(common >= similarity * (F.size("mine") + F.size("other") - common)).select(*edge)
-    roots = components(sure.unionByName(verified))
-    rooted = nodes.join(roots, "node", "left").select("signature", "first_id", F.coalesce("root", "node").alias("root"))
-    firsts = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    membership = rooted.join(firsts, "root").select("signature", "component_id")
-    return rows.join(membership, "signature").select("doc_id", "component_id")
 
 
-def drop_near_duplicates(documents: DataFrame, width: int = 5, similarity: float = 0.8, tables: int = 16) -> DataFrame:
+def _nodes(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array([_signed(xxhash.xxh64_intdigest(own.tobytes(), SEED)) for own in sets], pa.int64())
+
+
+def shingle_sets(documents: DataFrame, width: int) -> DataFrame:
+    """(node, shingles) of every row."""
+    small_batches(documents.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(text.as_py(), width) for text in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([_nodes(sets), _lists(sets)], ["node", "shingles"])
+
+    return documents.select("text").mapInArrow(run, "node bigint, shingles array<bigint>")
+
+
+def _may_be_similar(similarity: float) -> Column:
+    """Whether sizes and places of a shared shingle allow the similarity of a and b."""
+    shared = 1 + F.least("a_at", "b_at") + F.least(F.col("a_size") - F.col("a_at"), F.col("b_size") - F.col("b_at")) - 1
+    return shared >= similarity / (1 + similarity) * (F.col("a_size") + F.col("b_size")) - 1e-9
+
+
+def _side(rows: DataFrame, side: str, *more: str) -> DataFrame:
+    return rows.select("key", *(F.col(name).alias(f"{side}_{name}") for name in ("node", "size", "at", *more)))
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+
+
+def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, component_id) per row: groups linked where shingle sets have ``similarity`` (Jaccard) or more.
+
+    Sets are compared exactly, and no pair is left out: in an order common to all sets, two
+    sets of the similarity share a shingle among the first ``prefix_length`` of each, so these
+    are their keys. Sets with a key in common are first compared with the smallest of them.
+    Where that does not join all sets of a key, those outside its largest group are compared
+    with every set of another group; as long as that would be much and hubs still find
+    links, with another hub first. Keys are the rarest shingles of a set, so passages that many
+    texts share are keys of few.
+    """
+    rows = written(prefixes(documents, width, similarity, common_shingles(documents, width)), "near-prefixes")
+    keyed = rows.select("node", "size", F.posexplode("keys").alias("at", "key"))
+    spread = keyed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least <> most")
+    shared = _small_or_shuffled(written(spread.select("key"), "near-keys"))
+    members = written(keyed.join(shared, "key").select("key", "node", "size", "at").distinct(), "near-members")
+    n_members = members.count()
+    firsts = rows.groupBy("node").agg(F.min("doc_id").alias("first_id"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        ends = written(ends, "near-ends")
+        wanted = firsts.join(ends, "node", "left_semi").select("first_id").distinct()
+        sets = shingle_sets(_of_ids(documents, wanted), width)
+        # A repeated id can stand for other texts.
+        sets = sets.join(_small_or_shuffled(ends), "node", "left_semi").dropDuplicates(["node"])
+        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("mine")), "a").join(
+            sets.select(F.col("node").alias("b"), F.col("shingles").alias("other")), "b"
+        )
+        common = F.size(F.array_intersect("mine", "other"))
+        enough = common >= similarity * (F.size("mine") + F.size("other") - common) - 1e-9
+        return written(both.filter(enough).select(F.col("a").alias("u"), F.col("b").alias("v")), "near-links")
+
+    hubs = _side(members.join(members.groupBy("key").agg(F.min("node").alias("node")), ["key", "node"]), "b")
+    near = _side(members, "a").join(hubs, "key").filter(F.col("a_node") != F.col("b_node")).filter(_may_be_similar(similarity))
+    compared = written(_pairs(near), "near-pairs")
+    found, fresh = verified(compared), True
+    for turn in range(MAX_TURNS):
+        roots = written(components(found), "near-roots")
+        grouped = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        per_group = grouped.groupBy("key", "root").agg(F.count("*").alias("n"))
+        per_key = per_group.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("groups"))
+        open_keys = written(per_key.filter("groups > 1").select("key", "all", F.col("main.n").alias("n"), F.col("main.root").alias("main")), "near-open")
+        work = open_keys.agg(F.sum((F.col("all") - F.col("n")) * F.col("all"))).first()[0] or 0
+        if not work:
+            return _rooted(rows, firsts, roots)
+        inside = written(grouped.join(open_keys.select("key", "main"), "key"), "near-inside")
+        outside = inside.filter("root <> main")
+        last = work <= MUCH * n_members or not fresh or turn == MAX_TURNS - 1
+        if not last:
+            drawn = outside.groupBy("key").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("node"))
+            outside = outside.join(drawn, ["key", "node"])
+        near = _side(inside, "a", "root").join(_side(outside, "b", "root"), "key").filter("a_root <> b_root").filter(_may_be_similar(similarity))
+        new = written(_pairs(near).join(compared, ["a", "b"], "left_anti"), "near-pairs")
+        links_found = verified(new)
+        fresh = bool(links_found.head(1))
+        compared, found = compared.unionByName(new), found.unionByName(links_found)
+        if last:
+            break
+    return _rooted(rows, firsts, components(found))
+
+
+def _rooted(rows: DataFrame, firsts: DataFrame, roots: DataFrame) -> DataFrame:
+    """(doc_id, component_id) of every row."""
+    rooted = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return rows.select("doc_id", "node").join(rooted.join(least, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
+
+
+def drop_near_duplicates(documents: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """Documents without near copies: of each group the row with the smallest doc_id stays.
 
     Of rows that repeat an id and its text, one stays. Rows without id go if every one of
     them has a copy with an id, else they stay, equal texts once.
     """
-    groups = similar_groups(documents, width, similarity, tables)
+    groups = similar_groups(documents, width, similarity)
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
     per_id = written(groups.groupBy("doc_id").agg(F.max(stays).alias("stays"), F.count("*").alias("n")), "simhash-ids")
     name = free_name("other_id", documents.columns)

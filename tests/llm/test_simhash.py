@@ -138,3 +138,34 @@ def test_similar_groups_link_what_is_similar(spark):
     for doc, group in found.items():
         if doc != group or sum(g == group for g in found.values()) > 1:
             assert any((min(doc, o), max(doc, o)) in linked for o in found if o != doc and found[o] == group)
+
+
+def jaccard_groups(table, width=5, similarity=0.8):
+    """Smallest doc_id reachable per doc by links of exact Jaccard similarity."""
+    sets = {doc: {" ".join(text.split()[k : k + width]) for k in range(max(1, len(text.split()) - width + 1))} for doc, text in table}
+    group = {doc: doc for doc in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and group[a] != group[b] and 5 * len(sets[a] & sets[b]) >= round(5 * similarity) * len(sets[a] | sets[b]):
+                low, high = sorted((group[a], group[b]))
+                group = {doc: low if g == high else g for doc, g in group.items()}
+    return group
+
+
+@pytest.mark.parametrize("much", [0, 4])
+def test_near_copies_inside_a_family_of_similar_texts(spark, monkeypatch, much):
+    """Texts at about 0.7 to each other, some of them with a copy at 0.8 or more."""
+    monkeypatch.setattr(simhash, "MUCH", much)
+    draw = random.Random(17)
+    words = [f"f{k}" for k in range(5000)]
+    shared, table = draw.choices(words, k=330), []
+    for k in range(120):
+        text = shared + draw.choices(words, k=70)
+        table.append((len(table), " ".join(text)))
+        if k % 3 == 0:
+            table.append((len(table), " ".join([*text[: 400 - draw.randint(20, 60)], *draw.choices(words, k=12)])))
+    frame = spark.createDataFrame(table, "doc_id bigint, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in simhash.similar_groups(frame).collect()}
+    want = jaccard_groups(table)
+    assert len(set(want.values())) < len(want) and len(set(want.values())) > 60
+    assert found == want
