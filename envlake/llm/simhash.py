@@ -38,8 +38,10 @@ BROADCAST_IDS = 1 << 20
 # Near copies: texts whose recurring shingles are kept from being keys, and how many such shingles at most.
 SAMPLE_ROWS = 4096
 COMMON_SHINGLES = 1 << 16
+# Bits of a set's parities.
+PARITIES = 2048
 # Comparisons per key row that need no further hubs first, and turns of hubs at most; the last turn compares all that is left.
-MUCH = 4
+MUCH = 64
 MAX_TURNS = 6
 
 
@@ -204,7 +206,7 @@ def prefix_length(size: int, similarity: float) -> int:
 
 
 def prefixes(documents: DataFrame, width: int, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(doc_id, node, size, keys) of every row: hash and size of its set of shingles, and the set's first shingles, common ones last."""
+    """(doc_id, node, size, odd, keys) of every row: hash, size and parities of its set of shingles, and its first ones, common ones last."""
     small_batches(documents.sparkSession)
     shingles, places = common
 
@@ -218,15 +220,21 @@ def prefixes(documents: DataFrame, width: int, similarity: float, common: tuple[
         for batch in batches:
             sets = [shingle_set(text.as_py(), width) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), _nodes(sets), pa.array([len(own) for own in sets], pa.int32()), _lists([first(own) for own in sets])],
-                ["doc_id", "node", "size", "keys"],
+                [batch.column(0), _nodes(sets), pa.array([len(own) for own in sets], pa.int32()), _lists([_parities(own) for own in sets]), _lists([first(own) for own in sets])],
+                ["doc_id", "node", "size", "odd", "keys"],
             )
 
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, node bigint, size int, keys array<bigint>"
+        run, "doc_id bigint, node bigint, size int, odd array<bigint>, keys array<bigint>"
     )
 
 
+def _parities(own: np.ndarray) -> np.ndarray:
+    """A bit per class of hashes, set if the set has an odd number of the class: sets differ in as many shingles as bits, or more."""
+    odd = np.bincount((own >> np.uint64(20)).astype(np.int64) % PARITIES, minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
 def _nodes(sets: list[np.ndarray]) -> pa.Array:
     return pa.array([_signed(xxhash.xxh64_intdigest(own.tobytes(), SEED)) for own in sets], pa.int64())
 
@@ -265,7 +273,8 @@ def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8
     are their keys. Sets with a key in common are first compared with the smallest of them.
     Where that does not join all sets of a key, those outside its largest group are compared
     with every set of another group; as long as that would be much and hubs still find
-    links, with another hub first. Keys are the rarest shingles of a set, so passages that many
+    links, with another hub first. Pairs whose parities differ in more bits than similar sets
+    can in shingles need no look at the sets. Keys are the rarest shingles of a set, so passages that many
     texts share are keys of few.
     """
     rows = written(prefixes(documents, width, similarity, common_shingles(documents, width)), "near-prefixes")
@@ -276,7 +285,15 @@ def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8
     n_members = members.count()
     firsts = rows.groupBy("node").agg(F.min("doc_id").alias("first_id"))
 
+    used = _small_or_shuffled(members.select("node").distinct())
+    odds = written(rows.select("node", "size", "odd").join(used, "node", "left_semi").dropDuplicates(["node"]), "near-parities")
+    differing = F.aggregate(F.zip_with("a_odd", "b_odd", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits)
+    may_differ = (1 - similarity) / (1 + similarity) * (F.col("a_size") + F.col("b_size")) + 1e-9
+
     def verified(pairs: DataFrame) -> DataFrame:
+        for side in ("a", "b"):
+            pairs = pairs.join(odds.select(F.col("node").alias(side), F.col("size").alias(f"{side}_size"), F.col("odd").alias(f"{side}_odd")), side)
+        pairs = written(pairs.filter(differing <= may_differ).select("a", "b"), "near-open-pairs")
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         ends = written(ends, "near-ends")
         wanted = firsts.join(ends, "node", "left_semi").select("first_id").distinct()
@@ -292,7 +309,9 @@ def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8
 
     hubs = _side(members.join(members.groupBy("key").agg(F.min("node").alias("node")), ["key", "node"]), "b")
     near = _side(members, "a").join(hubs, "key").filter(F.col("a_node") != F.col("b_node")).filter(_may_be_similar(similarity))
-    compared = written(_pairs(near), "near-pairs")
+    # Of several hubs the one that shares most keys; the others are left to the turns.
+    best = near.groupBy("a_node", "b_node").agg(F.count("*").alias("n")).groupBy("a_node").agg(F.max_by("b_node", F.struct("n", "b_node")).alias("b_node"))
+    compared = written(_pairs(best), "near-pairs")
     found, fresh = verified(compared), True
     for turn in range(MAX_TURNS):
         roots = written(components(found), "near-roots")

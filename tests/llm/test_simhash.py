@@ -169,3 +169,17 @@ def test_near_copies_inside_a_family_of_similar_texts(spark, monkeypatch, much):
     want = jaccard_groups(table)
     assert len(set(want.values())) < len(want) and len(set(want.values())) > 60
     assert found == want
+
+
+def test_pairs_at_the_limit_are_linked_whatever_their_size(spark):
+    """Eight words and the same with a ninth share four of five shingles; longer texts lie between 0.8 and 0.85."""
+    draw = random.Random(23)
+    words = [f"e{k}" for k in range(5000)]
+    table = []
+    for k in range(150):
+        text = draw.choices(words, k=8 if k < 75 else 200)
+        more = 1 if k < 75 else draw.randint(35, 49)
+        table += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(text + draw.choices(words, k=more)))]
+    frame = spark.createDataFrame(table, "doc_id bigint, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in simhash.similar_groups(frame).collect()}
+    assert found == jaccard_groups(table) == {doc: doc // 2 * 2 for doc, _ in table}
