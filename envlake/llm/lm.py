@@ -11,8 +11,9 @@ Tables are partitioned by the hash of the leading word. Tasks send the distinct
 their documents to the partition of u, in arrays; there pairs of fitted documents add up to
 the count table, which is joined to all pairs and to the word counts. Pairs it lacks go on
 to the partition of w for the word counts alone. Words that make up a ``HOT_SHARE`` of the
-corpus are at most 1/HOT_SHARE: their counts are known everywhere, and their pairs are
-dealt by both words. Sums per document follow. Words and pairs are told apart by 64-bit
+corpus are at most 1/HOT_SHARE: their counts are known everywhere, their pairs are dealt by
+both words, and pairs that lack a model are scored there if their second word is hot. Pairs
+that make up a HOT_SHARE are counted before and dealt by the document too. Sums per document follow. Words and pairs are told apart by 64-bit
 hashes.
 
 Null and empty texts have no words and a null score. Repeated rows count repeatedly in the
@@ -121,12 +122,44 @@ def _mixed(u: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(32))
 
 
-def _dealt(u: np.ndarray, w: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
-    """Partition of each pair: by u, or by both words where u is hot."""
-    by = np.where(np.isin(u, hot), _mixed(u, w), u)
+def _dealt(u: np.ndarray, w: np.ndarray, of: np.ndarray, hot: np.ndarray, hot_pairs: np.ndarray, buckets: int) -> np.ndarray:
+    """Partition of each pair: by u, by both words where u is hot, by the document's number too where the pair is hot."""
+    mixed = _mixed(u, w)
+    by = np.where(np.isin(u, hot), mixed, u)
+    by = np.where(np.isin(mixed, hot_pairs), _mixed(mixed, of.astype(np.uint64)), by)
     return (by % np.uint64(buckets)).astype(np.int64)
 
 
+def hot_pair_counts(documents: DataFrame, hot: np.ndarray, corpus: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that make up a HOT_SHARE of the corpus, as sorted hashes, and their counts; both words of such a pair are hot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place: dict[bytes, int] = {}
+        is_hot: list[bool] = []
+        known = set(hot.tolist())
+        for batch in batches:
+            met = []
+            for text in batch.column(0):
+                codes = [place.setdefault(word, len(place)) for word in _words(text.as_py())]
+                if len(place) > len(is_hot):
+                    is_hot += [int(h) in known for h in _hash(list(place)[len(is_hot) :])]
+                met.append(np.array([code if is_hot[code] else -1 for code in codes] + [-1], np.int64))
+            codes = np.concatenate(met) if met else np.zeros(0, np.int64)
+            hashes = _hash(list(place))
+            both = (codes[:-1] >= 0) & (codes[1:] >= 0)
+            pairs, n = np.unique(_mixed(hashes[codes[:-1][both]], hashes[codes[1:][both]]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(n, pa.int64())], ["pair", "n"])
+            if len(place) >= FLUSH_WORDS:
+                place, is_hot = {}, []
+
+    counted = documents.select("text").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    # Fewer than 1/HOT_SHARE pairs.
+    frequent = counted.filter(F.col("n") > corpus * HOT_SHARE).toPandas()
+    pairs, n = frequent["pair"].to_numpy(np.int64).view(np.uint64), frequent["n"].to_numpy(np.int64)
+    order = np.argsort(pairs)
+    return pairs[order], n[order]
+
+
 def _runs(sorted_values: np.ndarray) -> list[tuple[int, int, int]]:
     """(value, begin, end) of each run."""
     if not len(sorted_values):
@@ -135,7 +168,7 @@ def _runs(sorted_values: np.ndarray) -> list[tuple[int, int, int]]:
     return list(zip(sorted_values[begins].tolist(), begins.tolist(), [*begins[1:].tolist(), len(sorted_values)], strict=True))
 
 
-def _send_pairs(hot: np.ndarray, buckets: int):
+def _send_pairs(hot: np.ndarray, hot_pairs: np.ndarray, buckets: int):
     """Distinct pairs of documents (key, fitted, text), per partition of the tables."""
 
     def flush(place: dict[bytes, int], texts: list[np.ndarray], keys: list[int], fitted: list[bool]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +178,7 @@ def _send_pairs(hot: np.ndarray, buckets: int):
         pairs = ((doc[:-1] * size + codes[:-1]) * size + codes[1:])[doc[1:] == doc[:-1]]
         pairs, n = np.unique(pairs, return_counts=True)
         u, w, of = hashes[pairs // size % size], hashes[pairs % size], pairs // size // size
-        to = _dealt(u, w, hot, buckets)
+        to = _dealt(u, w, of, hot, hot_pairs, buckets)
         order = np.argsort(to, kind="stable")
         u, w, of, n = u[order], w[order], of[order], n[order]
         key, fit = np.array(keys, np.int64), np.array(fitted, np.uint8)
@@ -244,31 +277,43 @@ def _fold_batch(_key: tuple, sums: pd.DataFrame, keys: pd.DataFrame) -> pd.DataF
     return pd.DataFrame({"key": key, "total": total, "words": words, "backed": backed})
 
 
-def _modelled(u: np.ndarray, w: np.ndarray, doc: np.ndarray, n: np.ndarray, fitted: np.ndarray) -> np.ndarray:
-    """Occurrences of each pair in the documents fitted on."""
-    _, same = np.unique(_mixed(u, w), return_inverse=True)
-    return np.bincount(same, n * fitted[doc])[same] if len(same) else np.zeros(0)
+def _modelled(
+    u: np.ndarray, w: np.ndarray, doc: np.ndarray, n: np.ndarray, fitted: np.ndarray, hot_pairs: np.ndarray, hot_pair_counts: np.ndarray
+) -> np.ndarray:
+    """Occurrences of each pair in the documents fitted on; those of hot pairs, which are dealt to all partitions, are given."""
+    if not len(u):
+        return np.zeros(0)
+    mixed, same = np.unique(_mixed(u, w), return_inverse=True)
+    found = np.bincount(same, n * fitted[doc])
+    if len(hot_pairs):
+        at = np.minimum(np.searchsorted(hot_pairs, mixed), len(hot_pairs) - 1)
+        found = np.where(hot_pairs[at] == mixed, hot_pair_counts[at], found)
+    return found[same]
 
 
-def _score_pairs(hot: np.ndarray, hot_counts: np.ndarray, least: int) -> Callable:
-    """Level of pairs: sums over the pairs that the model has."""
+def _score_pairs(hot: np.ndarray, hot_counts: np.ndarray, least: int, corpus: int, hot_pairs: np.ndarray, hot_pair_counts: np.ndarray) -> Callable:
+    """Level of pairs: sums over the pairs that the model has, and over those it lacks if their second word is hot."""
 
     def run(_key: tuple, rows: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
         u, w, doc, n, batch, number, fitted = _pair_rows(rows)
-        pair_count = _modelled(u, w, doc, n, fitted)
+        pair_count = _modelled(u, w, doc, n, fitted, hot_pairs, hot_pair_counts)
         has = pair_count >= max(least, 1)
         logs = np.log(pair_count[has] / np.maximum(_looked_up(u[has], counts, hot, hot_counts), 1))
-        return _sums(batch, number, doc[has], logs, n[has], False)
+        # Counts of hot words are here; dealt by w, all their pairs would meet in one partition.
+        backs = ~has & np.isin(w, hot)
+        share = np.maximum(_looked_up(w[backs], counts.head(0), hot, hot_counts), 1) / max(corpus, 1)
+        backed = _sums(batch, number, doc[backs], np.log(BACKOFF * share), n[backs], True)
+        return pd.concat([_sums(batch, number, doc[has], logs, n[has], False), backed], ignore_index=True)
 
     return run
 
 
-def _pass_words(buckets: int, least: int) -> Callable:
-    """The words that the model has no pair for, dealt by their hash."""
+def _pass_words(hot: np.ndarray, buckets: int, least: int, hot_pairs: np.ndarray, hot_pair_counts: np.ndarray) -> Callable:
+    """The words that the model has no pair for, but for hot ones, dealt by their hash."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         u, w, doc, n, batch, number, fitted = _pair_rows(rows)
-        missing = _modelled(u, w, doc, n, fitted) < max(least, 1)
+        missing = (_modelled(u, w, doc, n, fitted, hot_pairs, hot_pair_counts) < max(least, 1)) & ~np.isin(w, hot)
         w, doc, n = w[missing], doc[missing], n[missing]
         to = (w % np.uint64(buckets)).astype(np.int64)
         # Documents come in the order of their numbers, batch by batch.
@@ -323,6 +368,7 @@ def backoff_scores(documents: DataFrame, fitted: str | None = None, least: int =
     hot, hot_counts = frequent["word"].to_numpy(np.int64).view(np.uint64), frequent["n"].to_numpy(np.int64)
     order = np.argsort(hot)
     hot, hot_counts = hot[order], hot_counts[order]
+    pairs_known = hot_pair_counts(texts.filter("fit"), hot, corpus) if len(hot) else (hot, hot_counts)
     all_rows, fit_rows = (texts.agg(F.count("*"), F.count(F.when(F.col("fit"), 1)))).first()
     buckets = max(1, int(corpus * all_rows / max(fit_rows, 1)) // PARTITION_PAIRS + 1)
     # Unsigned remainder of the hash, as in the arrays.
@@ -331,13 +377,13 @@ def backoff_scores(documents: DataFrame, fitted: str | None = None, least: int =
     bucket = F.pmod(F.pmod(high, modulus) * F.lit((1 << 32) % buckets) + F.pmod(low, modulus), modulus).cast("int")
     table = counts.filter(F.col("n") <= corpus * HOT_SHARE).select(bucket.alias("bucket"), "word", "n")
     by_table = table.repartition(buckets, "bucket")
-    sent = texts.select("key", "fit", "text").mapInArrow(_send_pairs(hot, buckets), PAIRS).repartition(buckets, "bucket")
+    sent = texts.select("key", "fit", "text").mapInArrow(_send_pairs(hot, pairs_known[0], buckets), PAIRS).repartition(buckets, "bucket")
     # Equal batches of repeated rows share their number; their sums are added up.
     batches = sent.filter("bucket < 0").select("batch", F.col("u").alias("keys"))
     sent = sent.filter("bucket >= 0")
     pairs = sent.groupBy("bucket").cogroup(by_table.groupBy("bucket"))
-    scored = pairs.applyInPandas(_score_pairs(hot, hot_counts, least), SUMS)
-    passed = sent.groupBy("bucket").applyInPandas(_pass_words(buckets, least), PASSED).repartition(buckets, "bucket")
+    scored = pairs.applyInPandas(_score_pairs(hot, hot_counts, least, corpus, *pairs_known), SUMS)
+    passed = sent.groupBy("bucket").applyInPandas(_pass_words(hot, buckets, least, *pairs_known), PASSED).repartition(buckets, "bucket")
     words = passed.groupBy("bucket").cogroup(by_table.groupBy("bucket"))
     rest = words.applyInPandas(_score_words(hot, hot_counts, corpus), SUMS)
     # First words have no pair.

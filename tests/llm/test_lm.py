@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 from edge import SCHEMA, rows
 
@@ -63,3 +64,25 @@ def test_empty_tables(spark):
     assert lm.backoff_scores(empty).collect() == []
     frame = spark.createDataFrame([(1, "a b", False)], "doc_id bigint, text string, mine boolean")
     assert scores(frame, "mine") == [(1, 2, 1, round((math.log(1) + math.log(0.4)) / 2, 6))]
+
+
+def test_hot_words_and_pairs_meet_in_no_single_partition(spark, monkeypatch):
+    """One word follows a third of all words, and one pair stands in every document."""
+    monkeypatch.setattr(lm, "PARTITION_PAIRS", 1000)
+    monkeypatch.setattr(lm, "FLUSH_WORDS", 3000)
+    text = lambda k: "so it " + " ".join(f"x{k}_{j} hot y{(k * j) % 50}" for j in range(10)) + " so it"
+    table = [(k, text(k), True) for k in range(600)]
+    corpus, hashes = sum(len(words(t)) for _, t, _ in table), lm._hash([b"hot", b"so", b"it"])
+    frame = spark.createDataFrame([row[:2] for row in table], "doc_id bigint, text string").repartition(4)
+    assert scores(frame, None, 2) == brute(table, 2)
+    # Dealt as they are sent: no partition gets most of a hot pair, and hot words are passed to none.
+    pairs, counts = lm.hot_pair_counts(frame.select("text"), hashes, corpus)
+    at = lm._mixed(hashes[1:2], hashes[2:3])[0]
+    assert counts[list(pairs).index(at)] == 1200
+    of = np.arange(600)
+    dealt = lm._dealt(np.repeat(hashes[1:2], 600), np.repeat(hashes[2:3], 600), of, hashes, pairs, 8)
+    assert np.bincount(dealt, minlength=8).max() < 150
+    monkeypatch.setattr(lm, "_pair_rows", lambda rows: rows)
+    u = lm._hash([f"x{k}".encode() for k in range(100)])
+    rows = (u, np.repeat(hashes[:1], 100), np.arange(100), np.ones(100, np.int64), np.zeros(100, np.int64), np.arange(100), np.ones(100, np.uint8))
+    assert lm._pass_words(hashes, 8, 2, pairs, counts)(rows).empty
