@@ -26,6 +26,7 @@ from __future__ import annotations
 import string
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -135,22 +136,20 @@ def hot_pair_counts(documents: DataFrame, hot: np.ndarray, corpus: int) -> tuple
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place: dict[bytes, int] = {}
-        is_hot: list[bool] = []
-        known = set(hot.tolist())
+        hashes = np.zeros(0, np.uint64)
         for batch in batches:
             met = []
             for text in batch.column(0):
-                codes = [place.setdefault(word, len(place)) for word in _words(text.as_py())]
-                if len(place) > len(is_hot):
-                    is_hot += [int(h) in known for h in _hash(list(place)[len(is_hot) :])]
-                met.append(np.array([code if is_hot[code] else -1 for code in codes] + [-1], np.int64))
-            codes = np.concatenate(met) if met else np.zeros(0, np.int64)
-            hashes = _hash(list(place))
-            both = (codes[:-1] >= 0) & (codes[1:] >= 0)
+                met += [*(place.setdefault(word, len(place)) for word in _words(text.as_py())), -1]
+            hashes = np.concatenate([hashes, _hash(list(islice(place, len(hashes), None)))])
+            codes = np.array(met, np.int64)
+            # Places of no word, between texts, are not hot.
+            is_hot = np.append(np.isin(hashes, hot), False)[codes]
+            both = is_hot[:-1] & is_hot[1:]
             pairs, n = np.unique(_mixed(hashes[codes[:-1][both]], hashes[codes[1:][both]]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(n, pa.int64())], ["pair", "n"])
             if len(place) >= FLUSH_WORDS:
-                place, is_hot = {}, []
+                place, hashes = {}, np.zeros(0, np.uint64)
 
     counted = documents.select("text").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
     # Fewer than 1/HOT_SHARE pairs.
