@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from envlake.llm import ann, bpe, exact_dedup, language, licenses, line_dedup, lm, packing, quality, simhash
+from envlake.llm import ann, bpe, codes, exact_dedup, language, licenses, line_dedup, lm, overlap, packing, quality, ranking, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_bpe": bpe.op8_byte_bpe,
         "op9_stupid_backoff": lm.op9_stupid_backoff,
         "op10_collision_counting": ann.op10_collision_counting,
+        "op11_divide_skip": overlap.op11_divide_skip,
+        "op12_dual_tree": ranking.op12_dual_tree,
+        "op13_slice_masks": codes.op13_slice_masks,
     }
 
 
@@ -32,4 +35,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_site_line_dedup": line_dedup.OP4_SQL,
         "op5_license_scan": licenses.OP5_SQL,
         "op9_stupid_backoff": lm.OP9_SQL,
+        "op11_divide_skip": overlap.OP11_SQL,
+        "op12_dual_tree": ranking.OP12_SQL,
+        "op13_slice_masks": codes.OP13_SQL,
     }
