@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import sys
+
 from pyspark.sql import Column, functions as F
 
 # Every character counted as white space when text is stripped.
@@ -27,6 +30,34 @@ def canonical_name(text: Column) -> Column:
     return F.lower(strip(text))
 
 
+@functools.cache
+def _foldings() -> tuple[str, str, dict[str, str]]:
+    """Characters that fold to one other, those others, and foldings to several, by the Unicode rules that Python ships."""
+    single, several = {}, {}
+    for point in range(sys.maxunicode + 1):
+        one = chr(point)
+        folded = one.casefold()
+        if len(folded) > 1:
+            several[one] = folded
+        elif folded != one:
+            single[one] = folded
+    return "".join(single), "".join(single.values()), several
+
+
+def casefolded(text: Column) -> Column:
+    """Full case folding: sharp s and ligatures are written out, every sigma is the same.
+
+    An explicit map, because lower case of upper case is simplified to lower case by the
+    optimizer. Texts without a letter that folds to several are only translated.
+    """
+    before, after, several = _foldings()
+    folded = F.translate(text, before, after)
+    written_out = folded
+    for one, letters in several.items():
+        written_out = F.replace(written_out, F.lit(one), F.lit(letters))
+    return F.when(F.rlike(folded, F.lit(f"[{''.join(several)}]")), written_out).otherwise(folded)
+
+
 def path_parts(path: Column) -> Column:
     """Sort key that orders paths component by component."""
     return F.split(path, "/", -1)

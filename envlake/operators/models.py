@@ -68,6 +68,20 @@ def daily_mart(observations: DataFrame, locations: DataFrame) -> DataFrame:
     return _named(mart, locations, DAILY_GRAIN)
 
 
+def daily_mart_of_partials(partials: DataFrame, locations: DataFrame) -> DataFrame:
+    """The daily mart from counts, sums and extremes per grain (n, total, least, greatest, with_weather)."""
+    mart = partials.select(
+        *DAILY_GRAIN,
+        F.col("n").alias("observation_count"),
+        (F.col("total") / F.col("n")).alias("average_value"),
+        F.col("least").alias("minimum_value"),
+        F.col("greatest").alias("maximum_value"),
+        F.col("with_weather").alias("weather_context_count"),
+        (F.lit(100.0) * F.col("with_weather") / F.col("n")).alias("weather_context_percentage"),
+    )
+    return _named(mart, locations, DAILY_GRAIN)
+
+
 def location_mart(observations: DataFrame, locations: DataFrame) -> DataFrame:
     """Per location, parameter and unit, with the observed span."""
     mart = observations.groupBy(*LOCATION_GRAIN).agg(

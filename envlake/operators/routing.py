@@ -49,15 +49,6 @@ INTENTS = {
 ANCHOR = 4
 
 
-def folded(value: Column) -> Column:
-    """Case-folded text: ligatures and the sharp s are written out by way of upper case.
-
-    Full case folding differs for few letters that share their upper case with another,
-    such as the dotless i, which becomes an i here.
-    """
-    return F.lower(F.upper(value))
-
-
 def mentions(question: Column, terms: tuple[str, ...]) -> Column:
     """True when any term occurs anywhere in the folded question."""
     found = F.lit(False)
@@ -68,7 +59,7 @@ def mentions(question: Column, terms: tuple[str, ...]) -> Column:
 
 def question_intents(questions: DataFrame) -> DataFrame:
     """Intent flags and mentioned parameters per question (question_id, text)."""
-    asked = questions.withColumn("_q", folded(F.col("text")))
+    asked = questions.withColumn("_q", text.casefolded(F.col("text")))
     squeezed = text.compact(F.col("_q"))
     named = F.array(*(F.when(F.contains(squeezed, F.lit(p)), F.lit(p)) for p in PARAMETERS))
     return asked.select(
@@ -89,7 +80,7 @@ def mentioned_locations(questions: DataFrame, locations: DataFrame) -> DataFrame
     """
     names = (
         locations.filter(F.col("location_name") != "")
-        .select("location_id", "location_name", folded(F.col("location_name")).alias("needle"))
+        .select("location_id", "location_name", text.casefolded(F.col("location_name")).alias("needle"))
         .withColumn("anchor", F.substring("needle", 1, ANCHOR))
         .withColumn("length", F.length("needle"))
     )
@@ -101,7 +92,7 @@ def mentioned_locations(questions: DataFrame, locations: DataFrame) -> DataFrame
     openings = names.select(F.xxhash64("anchor").alias("opening"), "length").distinct()
     # Only openings as long as some name has are looked up (at most ANCHOR sizes).
     sizes = names.agg(F.collect_set(F.length("anchor")).alias("n")).scalar()
-    asked = questions.select("question_id", folded(F.col("text")).alias("_q")).filter("_q <> ''")
+    asked = questions.select("question_id", text.casefolded(F.col("text")).alias("_q")).filter("_q <> ''")
     starts = asked.select(
         "question_id", "_q", sizes.alias("sizes"), F.explode(F.sequence(F.lit(1), F.length("_q"))).alias("at")
     )

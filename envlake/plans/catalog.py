@@ -684,12 +684,12 @@ def question_intents(t: DriverTables) -> DataFrame:
 
 @query
 def question_locations(t: DriverTables) -> DataFrame:
-    return routing.mentioned_locations(t.questions(), t.locations)
+    return routing.mentioned_locations(t.questions(), t.places())
 
 
 @query
 def question_plan(t: DriverTables) -> DataFrame:
-    rows = routing.question_plan(t.questions(), t.locations)
+    rows = routing.question_plan(t.questions(), t.places())
     flags = ("uses_data_health", "uses_summary", "uses_catalogue")
     return rows.withColumns({name: F.col(name).cast("int") for name in flags})
 

@@ -620,7 +620,8 @@ class DriverTables:
         """User messages with a planted request and location name."""
         pick = ((F.col("conv_id") * 3 + F.col("turn")) % len(REQUESTS)).cast("int")
         request = F.element_at(F.array(*map(F.lit, REQUESTS)), pick + 1)
-        place = F.concat(F.lit(" at Nation_"), (F.col("conv_id") % 40).cast("string"))
+        street = F.when(F.col("conv_id") % 2 == 0, " STRASSE").when(F.col("conv_id") % 5 == 0, " AFFIX").otherwise("")
+        place = F.concat(F.lit(" at Nation_"), (F.col("conv_id") % 40).cast("string"), street)
         return (
             self.read("conversations")
             .filter("role = 'user'")
@@ -632,6 +633,12 @@ class DriverTables:
             )
         )
 
+    def places(self) -> DataFrame:
+        """Locations, some with a sharp s or a ligature in their names."""
+        number, name = F.col("location_id") % 3, F.col("location_name")
+        spelled = F.when(number == 0, F.concat(name, F.lit(" Straße"))).when(number == 1, F.concat(name, F.lit(" Aﬃx")))
+        return self.locations.withColumn("location_name", F.coalesce(spelled, name))
+
     def run_events(self) -> DataFrame:
         """Run events, one run per user."""
         kinds = {"signup": "start", "view": "stage", "click": "count", "purchase": "succeed", "error": "fail"}

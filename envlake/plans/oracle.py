@@ -844,11 +844,14 @@ SQL["batch_violations"] = _rule_counts(
 _REQUEST_LIST = ", ".join("'" + text.replace("'", "''") + "'" for text in REQUESTS)
 _QUESTIONS = f"""raw AS (SELECT conv_id * 1000 + turn AS question_id, text || ' '
         || [{_REQUEST_LIST}][(conv_id * 3 + turn) % {len(REQUESTS)} + 1]
-        || CASE WHEN conv_id % 3 <> 0 THEN ' at Nation_' || (conv_id % 40) ELSE '' END AS asked
+        || CASE WHEN conv_id % 3 <> 0 THEN ' at Nation_' || (conv_id % 40)
+            || CASE WHEN conv_id % 2 = 0 THEN ' STRASSE' WHEN conv_id % 5 = 0 THEN ' AFFIX' ELSE '' END ELSE '' END AS asked
         FROM conversations WHERE role = 'user'),
     q AS (SELECT question_id, replace(lower(asked), 'ß', 'ss') AS asked FROM raw),
+    places AS (SELECT location_id, location_name
+        || CASE location_id % 3 WHEN 0 THEN ' Straße' WHEN 1 THEN ' Aﬃx' ELSE '' END AS location_name FROM loc),
     named AS (SELECT question_id, min({{'location_name': location_name, 'location_id': location_id}}) AS p
-        FROM q JOIN loc ON contains(asked, lower(location_name)) GROUP BY question_id)"""
+        FROM q JOIN places ON contains(asked, replace(replace(lower(location_name), 'ß', 'ss'), 'ﬃ', 'ffi')) GROUP BY question_id)"""
 
 
 def _intents() -> str:

@@ -1,9 +1,14 @@
 """Micro-batch build of processed observations and the daily mart.
 
-Late and overlapping batches are never dropped, so there is no watermark. The
-processed set is a log: every micro-batch appends the rows it contributes, and a
-read keeps, per identity, the copy that is first in path order. The result equals
-a full rebuild whatever order the batches arrive in.
+Late and overlapping batches are never dropped, so there is no watermark. The processed
+set is a table of leveled runs: every micro-batch adds the rows it contributes, and a read
+keeps, per identity, the copy that is first in path order. Copies agree in content, so a
+batch changes the mart by its new identities alone: their counts, sums and extremes are
+added as a run of partial aggregates, and the mart of the touched days is merged of those.
+The result equals a full rebuild whatever order the batches arrive in.
+
+A batch reads, of earlier rows, identity, signature and order of the touched days and
+hash buckets, and the partial aggregates of the touched days; full levels are merged.
 """
 
 from __future__ import annotations
@@ -11,17 +16,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from envlake.domain import IDENTITY, NANO_COLUMNS, OBSERVATION_COLUMNS, WEATHER_COLUMNS, column_type
-from envlake.errors import ConflictError, is_missing_path
+from envlake.domain import IDENTITY, NANO_COLUMNS, OBSERVATION_COLUMNS, column_type
+from envlake.errors import ConflictError
 from envlake.operators import dedup, enrichment, models
 from envlake.operators.normalize import normalize
 from envlake.session import configure
 from envlake.sinks.registry import REGISTRY_DDL
 from envlake.sources import envelopes
+from envlake.streaming.runs import DAY, FAN_OUT, Commits, LeveledTable, Run
 
 LOG_COLUMNS = (*OBSERVATION_COLUMNS, *NANO_COLUMNS, "signature", "source_order")
 
@@ -52,6 +57,38 @@ def read_registered(spark: SparkSession, registry_path: str, files_per_batch: in
     return stream.select("path", "content")
 
 
+# Hash buckets of identities, in whose order rows lie in a run.
+BUCKETS = 64
+ORDER_DDL = "struct<col1: array<string>, col2: int>"
+LOG_DDL = (
+    ", ".join(f"{name} {column_type(name)}" for name in (*OBSERVATION_COLUMNS, *NANO_COLUMNS))
+    + f", signature string, source_order {ORDER_DDL}, bucket int"
+)
+PARTIAL_GRAIN = tuple(name for name in models.DAILY_GRAIN if name != DAY)
+PARTIAL_DDL = (
+    ", ".join(f"{name} {column_type(name)}" for name in PARTIAL_GRAIN)
+    + ", n bigint, total double, least double, greatest double, with_weather bigint"
+)
+
+
+def best_copies(log: DataFrame) -> DataFrame:
+    """Per identity, the copy that is first in path order."""
+    rest = [name for name in log.columns if name not in IDENTITY]
+    kept = F.min_by(F.struct(*rest), "source_order")
+    return log.groupBy(*IDENTITY).agg(kept.alias("kept")).select(*IDENTITY, "kept.*")
+
+
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """Partial aggregates added up per day and grain."""
+    return partials.groupBy(DAY, *PARTIAL_GRAIN).agg(
+        F.sum("n").alias("n"),
+        F.sum("total").alias("total"),
+        F.min("least").alias("least"),
+        F.max("greatest").alias("greatest"),
+        F.sum("with_weather").alias("with_weather"),
+    )
+
+
 @dataclass
 class IncrementalBuild:
     """State of an incremental build below one folder."""
@@ -60,6 +97,12 @@ class IncrementalBuild:
     folder: str
     locations: DataFrame
     hours: DataFrame | None = None
+    fan_out: int = FAN_OUT
+
+    def __post_init__(self) -> None:
+        self.log = LeveledTable(self.spark, f"{self.folder}/log", LOG_DDL, best_copies, ("bucket",), self.fan_out)
+        self.partials = LeveledTable(self.spark, f"{self.folder}/partials", PARTIAL_DDL, merged_partials, (), self.fan_out)
+        self.commits = Commits(self.spark, f"{self.folder}/commits")
 
     def start(self, landed: DataFrame) -> StreamingQuery:
         """Process everything that has landed, then stop; restartable."""
@@ -75,94 +118,91 @@ class IncrementalBuild:
         """Contribute one micro-batch. Running it again has no further effect."""
         staged = self._stage(files, batch_id)
         dedup.require_publishable(staged)
+        state = self.commits.before(batch_id)
         valid = self._dated(staged.filter("reject_reason IS NULL").select(*LOG_COLUMNS))
-        # One entry per UTC day: bounded by the calendar, not by the data.
-        days = [row[0] for row in valid.select("measurement_date_utc").distinct().collect()]
-        if not days:
-            return
-        self._append(valid, days, batch_id)
-        self._refresh(days, batch_id)
-
-    def processed(self, days: list[date] | None = None, batch_id: int | None = None) -> DataFrame:
-        """Observations of the log; with ``days``, of those partitions only."""
-        best = self._best(self._log(days, None if batch_id is None else batch_id + 1))
-        return best.select(*OBSERVATION_COLUMNS, *NANO_COLUMNS, "measurement_date_utc")
+        # One entry per UTC day and per bucket: bounded by the calendar, not by the data.
+        touched = valid.agg(F.collect_set(DAY).alias("days"), F.collect_set("bucket").alias("buckets")).first()
+        if touched.days:
+            compared = self._compared(valid, state.get("log", []), touched.days, touched.buckets, batch_id)
+            state = {
+                "log": self.log.add(state.get("log", []), compared.filter("earlier").drop("new", "earlier"), batch_id),
+                "partials": self.partials.add(state.get("partials", []), self._partials_of(compared.filter("new")), batch_id),
+            }
+        self.commits.write(batch_id, state)
+        if touched.days:
+            self._refresh(state["partials"], touched.days)
+
+    def processed(self, days: list[date] | None = None) -> DataFrame:
+        """Observations so far; with ``days``, of those partitions only."""
+        best = best_copies(self.log.read(self.commits.newest().get("log", []), days))
+        return best.select(*OBSERVATION_COLUMNS, *NANO_COLUMNS, DAY)
 
     def daily_mart(self) -> DataFrame:
         rows = self.spark.read.parquet(f"{self.folder}/daily")
-        return rows.withColumn("measurement_date_utc", F.col("measurement_date_utc").cast("date"))
+        return rows.withColumn(DAY, F.col(DAY).cast("date"))
 
     # -- steps of a micro-batch ---------------------------------------------------
 
     def _stage(self, files: DataFrame, batch_id: int) -> DataFrame:
         """Parse and collapse once; everything later reads this table."""
-        path = f"{self.folder}/staged/batch-{batch_id}"
         parsed = envelopes.parse_envelopes(files)
         collapsed = dedup.collapse(normalize(envelopes.split_records(parsed)))
-        collapsed.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(collapsed.schema).parquet(path)
-
-    def _append(self, valid: DataFrame, days: list[date], batch_id: int) -> None:
-        known = self._best(self._log(days, batch_id)).select(
-            *IDENTITY,
-            F.col("signature").alias("known_signature"),
-            F.col("source_order").alias("known_order"),
+        return self._written(collapsed, f"staged/batch-{batch_id}")
+
+    def _compared(self, valid: DataFrame, runs: list[Run], days: list[date], buckets: list[int], batch_id: int) -> DataFrame:
+        """Rows of a batch beside what is known: ``new`` identities, and copies ``earlier`` than the known ones."""
+        known = self.log.read(runs, days)
+        if len(buckets) < BUCKETS:
+            known = known.filter(F.col("bucket").isin(buckets))
+        known = known.groupBy(*IDENTITY).agg(
+            F.min("signature").alias("known_signature"), F.min("source_order").alias("known_order")
         )
         joined = valid.join(known, list(IDENTITY), "left")
-        clash = joined.filter("known_signature <> signature").select(*IDENTITY).first()
+        flags = joined.select(
+            *valid.columns,
+            F.col("known_order").isNull().alias("new"),
+            (F.col("known_order").isNull() | (F.col("source_order") < F.col("known_order"))).alias("earlier"),
+            (F.col("known_signature") != F.col("signature")).alias("clash"),
+        )
+        compared = self._written(flags, f"compared/batch-{batch_id}")
+        clash = compared.filter("clash").select(*IDENTITY).first()
         if clash is not None:
             raise ConflictError(f"Conflicting observation: {clash.asDict()}")
-        # A copy that comes earlier in path order replaces the provenance.
-        fresh = joined.filter("known_order IS NULL OR source_order < known_order")
-        self._write_days(fresh.select(*valid.columns), f"{self.folder}/log/batch_id={batch_id}", "static")
+        return compared.drop("clash")
 
-    def _refresh(self, days: list[date], batch_id: int) -> None:
-        rows = self.processed(days, batch_id)
+    def _partials_of(self, rows: DataFrame) -> DataFrame:
+        """Partial aggregates of observations."""
         if self.hours is not None:
             rows = enrichment.join_weather(rows, self.hours)
         else:
-            rows = rows.withColumns(
-                {name: F.lit(None).cast(column_type(name)) for name in WEATHER_COLUMNS}
-            )
-        mart = models.daily_mart(rows, self.locations)
-        self._write_days(mart, f"{self.folder}/daily", "dynamic")
-
-    # -- storage --------------------------------------------------------------------
+            rows = rows.withColumn("weather_source", F.lit(None).cast("string"))
+        return rows.groupBy(DAY, *PARTIAL_GRAIN).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("value").alias("total"),
+            F.min("value").alias("least"),
+            F.max("value").alias("greatest"),
+            F.count("weather_source").alias("with_weather"),
+        )
 
-    def _log(self, days: list[date] | None, before: int | None) -> DataFrame:
-        schema = ", ".join(
-            f"{name} {column_type(name)}" for name in (*OBSERVATION_COLUMNS, *NANO_COLUMNS)
+    def _refresh(self, runs: list[Run], days: list[date]) -> None:
+        """Write the mart of the touched days, merged of partial aggregates."""
+        mart = models.daily_mart_of_partials(merged_partials(self.partials.read(runs, days)), self.locations)
+        (
+            mart.hint("rebalance", DAY)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(DAY)
+            .parquet(f"{self.folder}/daily")
         )
-        order = "struct<col1: array<string>, col2: int>"
-        ddl = f"{schema}, signature string, source_order {order}, measurement_date_utc date, batch_id bigint"
-        try:
-            rows = self.spark.read.schema(ddl).parquet(f"{self.folder}/log")
-        except AnalysisException as error:
-            if not is_missing_path(error):
-                raise
-            rows = self.spark.createDataFrame([], ddl)
-        if before is not None:
-            rows = rows.filter(F.col("batch_id") < before)
-        if days is not None:
-            rows = rows.filter(F.col("measurement_date_utc").isin(days))
-        return rows.drop("batch_id")
 
-    @staticmethod
-    def _best(log: DataFrame) -> DataFrame:
-        rest = [name for name in log.columns if name not in IDENTITY]
-        kept = F.min_by(F.struct(*rest), "source_order")
-        return log.groupBy(*IDENTITY).agg(kept.alias("kept")).select(*IDENTITY, "kept.*")
+    # -- storage --------------------------------------------------------------------
 
-    @staticmethod
-    def _dated(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("measurement_date_utc", F.to_date("datetime_to_utc"))
+    def _written(self, rows: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     @staticmethod
-    def _write_days(rows: DataFrame, path: str, mode: str) -> None:
-        (
-            rows.hint("rebalance", "measurement_date_utc")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", mode)
-            .partitionBy("measurement_date_utc")
-            .parquet(path)
-        )
+    def _dated(rows: DataFrame) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(*IDENTITY), F.lit(BUCKETS)).cast("int")
+        return rows.withColumns({DAY: F.to_date("datetime_to_utc"), "bucket": bucket})

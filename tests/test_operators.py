@@ -266,10 +266,14 @@ def test_text(spark):
 
 
 def test_mentioned_locations_equal_brute_force(spark):
-    names = [(1, "Table View"), (2, "Table"), (3, "Straße"), (4, "X"), (5, None), (6, ""), (7, "Table View")]
+    names = [
+        (1, "Table View"), (2, "Table"), (3, "Straße"), (4, "X"), (5, None), (6, ""), (7, "Table View"),
+        (8, "Ofﬁce Aﬄuent"), (9, "ΟΔΥΣΣΕΥΣ"), (10, "ẞtadt"), (11, "İzmir"), (12, "ŉandi"), (13, "Ꭰ ſtation"),
+    ]
     questions = [
         (1, "trend at table view please"), (2, "STRASSE?"), (3, "nothing"), (4, "the stable view"),
-        (5, "max at X"), (6, ""), (7, "tableview"),
+        (5, "max at X"), (6, ""), (7, "tableview"), (8, "office affluent"), (9, "οδυσσευς now"), (10, "οδυσσευσ"),
+        (11, "SSTADT and straße"), (12, "i̇zmir"), (13, "izmir"), (14, "ʼnandi"), (15, "Ꭰ Station"), (16, "ﬆraSSe"),
     ]
     places = spark.createDataFrame(names, "location_id bigint, location_name string")
     asked = spark.createDataFrame(questions, "question_id bigint, text string")
@@ -283,6 +287,14 @@ def test_mentioned_locations_equal_brute_force(spark):
     assert found == expected
 
 
+def test_case_folding_equals_full_folding(spark):
+    points = [chr(p) for p in range(0x250, 0x11000, 7) if not 0xD800 <= p < 0xE000] + [chr(p) for p in range(0x250)]
+    words = [f"A{one}B ß" for one in points] + ["ﬀ ﬁ ﬂ ﬃ ﬄ ﬅ ﬆ", "ΣΑΣ ς", "ǰ ΐ ΰ ᾳ ῃ ῳ", "𐐀𐐨", ""]
+    frame = spark.createDataFrame([(w,) for w in words], "s string").select("s", text.casefolded(F.col("s")).alias("folded"))
+    wrong = [(r.s, r.folded) for r in frame.collect() if r.folded != r.s.casefold()]
+    assert not wrong
+
+
 def test_coordinate_rules(spark):
     rows = [
         (1, -26.0, 28.0), (1, -26.000005, 28.0), (1, None, 28.0),
