@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from envlake.llm.components import components
+from envlake.llm.components import contracted_components
 from envlake.llm.tables import free_name, read_table, small_batches, written
 from envlake.llm.tokens import per_process
 
@@ -46,7 +46,7 @@ WIDTH = 5
 PART, WHOLE = 80, 100
 SEED = 42
 # Shingles that a task counts at once, how often one must stand there, and how many are put last.
-COUNTED, OFTEN, ORDERED = 1 << 21, 4, 1 << 18
+COUNTED, OFTEN, ORDERED = 1 << 20, 4, 1 << 18
 # A list expected to be longer is dealt over several partitions.
 LIST_ROWS = 4096
 # Members compared at once in a pair of blocks, and pairs whose parities are unpacked at once.
@@ -54,8 +54,8 @@ BLOCK, PAIRS = 2048, 1 << 15
 # Sets of up to this many shingles need one list in common; each further such number needs one more.
 PER_LIST = 128
 PARITIES = 2048
-# Comparisons per member that need no further hub first, and hubs per list at most.
-MUCH, HUBS = 32, 4
+# Members of a list, and comparisons per member, that need no further hubs first; turns of hubs at most, and hubs per list in each.
+MUCH, TURNS, HUBS = 16, 2, 4
 # Occurrences merged at once.
 MERGED = 1 << 20
 BROADCAST_IDS = 1 << 20
@@ -67,7 +67,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         found = xxhash.xxh64_intdigest(word, SEED)
         if len(word) <= 64:
-            if len(self) >= 1 << 20:
+            if len(self) >= 1 << 17:
                 self.clear()
             self[word] = found
         return found
@@ -325,8 +325,8 @@ def _with_hubs(members: DataFrame, hubs: DataFrame) -> DataFrame:
     return near.select("node", "other", F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), "n")
 
 
-def _hub(order: Column) -> Column:
-    return F.min_by(F.struct("node", "size", "at"), F.struct(order, F.col("node"))).alias("hub")
+def _hub(order: Column, name: str = "hub") -> Column:
+    return F.min_by(F.struct("node", "size", "at"), F.struct(order, F.col("node"))).alias(name)
 
 
 def block_rows(members: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -475,23 +475,29 @@ def joined(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     compared = written(best.select("pair.a", "pair.b").distinct(), "overlap-pairs")
     found = verified(compared, sets)
     fresh = True
-    for turn in range(1, HUBS + 1):
-        roots = written(components(found), "overlap-roots")
+    for turn in range(1, TURNS + 2):
+        roots = written(contracted_components(found), "overlap-roots")
         grouped = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         per_root = grouped.groupBy("shingle", "root").agg(F.count("*").alias("n"))
         per_list = per_root.groupBy("shingle").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("roots"))
         open_lists = written(per_list.filter("roots > 1").select("shingle", "n", "main"), "overlap-open")
-        work = open_lists.agg(F.sum((F.col("n") - F.col("main.n")) * F.col("n"))).first()[0] or 0
-        if not work:
+        if not open_lists.head(1):
             break
-        inside = written(grouped.join(open_lists.select("shingle", F.col("main.root").alias("main")), "shingle"), "overlap-inside")
-        if work <= MUCH * n_members or not fresh or turn == HUBS:
+        # Short lists are compared whole; further hubs are for long ones.
+        long = open_lists.filter(F.col("n") > MUCH)
+        work = long.agg(F.sum((F.col("n") - F.col("main.n")) * F.col("n"))).first()[0] or 0
+        last = work <= MUCH * n_members or not fresh or turn > TURNS
+        inside = (open_lists if last else long).select("shingle", F.col("main.root").alias("main"))
+        inside = written(grouped.join(inside, "shingle"), "overlap-inside")
+        if last:
             rest = occurring(block_rows(inside.drop("main"), open_lists, sets))
             found = found.unionByName(verified(rest.join(compared, ["a", "b"], "left_anti"), sets))
-            roots = components(found)
+            roots = contracted_components(found)
             break
         outside = inside.filter("root <> main")
-        hubs = outside.groupBy("shingle").agg(_hub(F.xxhash64("node", F.lit(turn))))
+        seeds = range(HUBS * turn, HUBS * (turn + 1))
+        hubs = outside.groupBy("shingle").agg(*(_hub(F.xxhash64("node", F.lit(seed)), f"hub_{seed}") for seed in seeds))
+        hubs = hubs.select("shingle", F.explode(F.array_distinct(F.array(*(f"hub_{seed}" for seed in seeds)))).alias("hub"))
         new = written(_with_hubs(inside, hubs).select("a", "b").distinct().join(compared, ["a", "b"], "left_anti"), "overlap-pairs")
         links = verified(new, sets)
         fresh = bool(links.head(1))
@@ -513,7 +519,8 @@ OP11_SQL = r"""
 WITH RECURSIVE split AS MATERIALIZED (
   SELECT row_number() OVER () AS r, doc_id,
          list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                        '[ 	-]+'), lambda w: w <> '') AS w
+                                        '[ 	-
+]+'), lambda w: w <> '') AS w
   FROM documents),
 sets AS MATERIALIZED (
   SELECT r, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
