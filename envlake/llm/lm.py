@@ -167,6 +167,18 @@ def _runs(sorted_values: np.ndarray) -> list[tuple[int, int, int]]:
     return list(zip(sorted_values[begins].tolist(), begins.tolist(), [*begins[1:].tolist(), len(sorted_values)], strict=True))
 
 
+def distinct_pairs(doc: np.ndarray, pair: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different (document, pair) in order and how often each stands there; pairs are numbers below ``size``, documents in order."""
+    if not len(doc) or int(doc[-1] + 1) * size < 1 << 62:
+        both, n = np.unique(doc * size + pair, return_counts=True)
+        return both // size, both % size, n
+    # Both in one number would leave 64 bits.
+    order = np.lexsort((pair, doc))
+    doc, pair = doc[order], pair[order]
+    first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])])
+    return doc[first], pair[first], np.diff(np.r_[first, len(doc)])
+
+
 def _send_pairs(hot: np.ndarray, hot_pairs: np.ndarray, buckets: int):
     """Distinct pairs of documents (key, fitted, text), per partition of the tables."""
 
@@ -174,9 +186,9 @@ def _send_pairs(hot: np.ndarray, hot_pairs: np.ndarray, buckets: int):
         hashes, size = _hash(list(place)), max(len(place), 1)
         codes = np.concatenate(texts)
         doc = np.repeat(np.arange(len(texts)), [len(words) for words in texts])
-        pairs = ((doc[:-1] * size + codes[:-1]) * size + codes[1:])[doc[1:] == doc[:-1]]
-        pairs, n = np.unique(pairs, return_counts=True)
-        u, w, of = hashes[pairs // size % size], hashes[pairs % size], pairs // size // size
+        inside = doc[1:] == doc[:-1]
+        of, pairs, n = distinct_pairs(doc[1:][inside], (codes[:-1] * size + codes[1:])[inside], size * size)
+        u, w = hashes[pairs // size], hashes[pairs % size]
         to = _dealt(u, w, of, hot, hot_pairs, buckets)
         order = np.argsort(to, kind="stable")
         u, w, of, n = u[order], w[order], of[order], n[order]

@@ -86,3 +86,16 @@ def test_hot_words_and_pairs_meet_in_no_single_partition(spark, monkeypatch):
     u = lm._hash([f"x{k}".encode() for k in range(100)])
     rows = (u, np.repeat(hashes[:1], 100), np.arange(100), np.ones(100, np.int64), np.zeros(100, np.int64), np.arange(100), np.ones(100, np.uint8))
     assert lm._pass_words(hashes, 8, 2, pairs, counts)(rows).empty
+
+
+def test_pairs_of_many_documents_and_words_stay_apart():
+    """Beyond the numbers that documents and pairs fit in together, and below them."""
+    draw = np.random.default_rng(3)
+    for doc_step, size in ((1, 1 << 20), (1 << 30, 1 << 44)):
+        doc = np.sort(draw.integers(0, 5, 400)) * doc_step
+        pair = draw.integers(0, 6, 400) * (size // 8)
+        of, pairs, n = lm.distinct_pairs(doc, pair, size)
+        want = Counter(zip(doc.tolist(), pair.tolist(), strict=True))
+        assert list(zip(of.tolist(), pairs.tolist(), strict=True)) == sorted(want)
+        assert n.tolist() == [want[key] for key in sorted(want)]
+    assert len(lm.distinct_pairs(np.zeros(0, np.int64), np.zeros(0, np.int64), 4)[0]) == 0
