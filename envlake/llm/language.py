@@ -11,7 +11,8 @@ before it becomes a probability, and counts as that of ``EVIDENCE`` n-grams at m
 
 The language is ``und`` with score 0 if a text is null or has no letter. Ties go to the
 language first in binary order. Repeated rows are scored each, an empty table gives an
-empty result, and fitting without any language raises ValueError.
+empty result. Where no text has a language to learn, every language is ``und`` with score
+0, and no row is dropped.
 """
 
 from __future__ import annotations
@@ -78,6 +79,8 @@ class LanguageModel:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text."""
+        if not self.languages:
+            return [UNKNOWN] * len(texts), np.zeros(len(texts))
         grams = [text_grams(text) for text in texts]
         sizes = np.array([len(one) for one in grams], np.int64)
         total = np.zeros((len(texts), len(self.languages)))
@@ -121,7 +124,7 @@ def fit_language(documents: DataFrame, fit_rows: int = FIT_ROWS) -> LanguageMode
     found = entries.limit(MAX_LANGUAGES * BUCKETS + 1).toPandas()
     languages = sorted(found["lang"].unique(), key=lambda name: name.encode())
     if not languages:
-        raise ValueError("No text with a language to learn from.")
+        return LanguageModel([], np.zeros((BUCKETS, 0), np.float32))
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"More than {MAX_LANGUAGES} languages.")
     counts = np.zeros((BUCKETS, len(languages)))
@@ -153,6 +156,8 @@ def predict_documents(documents: DataFrame, model: LanguageModel) -> DataFrame:
 def drop_unknown_language(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """Rows of documents with a language predicted at ``min_score`` or more, all columns as they were."""
     model = fit_language(documents)
+    if not model.languages:
+        return documents
     small_batches(documents.sparkSession, 512)
     return documents.filter(language_of(model, documents.sparkSession, F.col("text")).getField("score") >= min_score)
 

@@ -9,8 +9,8 @@ The model is learned from a sample of labelled rows of about ``FIT_ROWS`` rows a
 chosen by a hash of the id; sums of products of the statistics are all that leaves the
 tasks. Null and empty texts have the statistics of no words and are scored like others.
 Labels other than 0 and 1 are passed over, repeated labels count repeatedly. Without
-labelled rows of both classes fitting raises ValueError. Scoring an empty table gives an
-empty result.
+two labelled rows of each class nothing is learned: every score is ``NOTHING_LEARNED``, and
+no row is dropped. Scoring an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from envlake.llm.tables import held_out, read_table, small_batches
 
 THRESHOLD = 0.7
+NOTHING_LEARNED = 0.5
 # Bound of the rows learned from, in expectation.
 FIT_ROWS = 40_000
 TO_POOLED, TO_IDENTITY = 0.5, 0.05
@@ -104,8 +105,6 @@ class QualityModel:
 
 def quality_model(counts: np.ndarray, sums: np.ndarray, products: np.ndarray) -> QualityModel:
     """Model from counts, sums and sums of products per class."""
-    if (counts < 2).any():
-        raise ValueError("Labelled rows of both classes are needed.")
     d = sums.shape[1]
     means = sums / counts[:, None]
     own = products / counts[:, None, None] - np.einsum("ki,kj->kij", means, means)
@@ -136,8 +135,8 @@ def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def fit_quality(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> QualityModel:
-    """Learn from labelled documents outside the held-out fold."""
+def fit_quality(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> QualityModel | None:
+    """Learn from labelled documents outside the held-out fold; None without two of each class."""
     small_batches(documents.sparkSession)
     usable = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     rows = usable.count()
@@ -152,6 +151,8 @@ def fit_quality(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROW
     total = np.zeros((2, 1 + d + d * d))
     for row in found:
         total[row.label, row.entry] = row.value
+    if (total[:, 0] < 2).any():
+        return None
     return quality_model(total[:, 0], total[:, 1 : 1 + d], total[:, 1 + d :].reshape(2, d, d))
 
 
@@ -165,16 +166,19 @@ def quality_score(model: QualityModel, text: Column) -> Column:
     return score(text)
 
 
-def score_documents(documents: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
+def score_documents(documents: DataFrame, model: QualityModel | None, threshold: float = THRESHOLD) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted."""
     small_batches(documents.sparkSession)
-    scored = documents.select("doc_id", quality_score(model, F.col("text")).alias("score"))
+    score = F.lit(NOTHING_LEARNED) if model is None else quality_score(model, F.col("text"))
+    scored = documents.select("doc_id", score.alias("score"))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def drop_low_quality(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of documents whose score reaches the threshold, all columns as they were."""
     model = fit_quality(documents, labels)
+    if model is None:
+        return documents
     small_batches(documents.sparkSession)
     return documents.filter(quality_score(model, F.col("text")) >= threshold)
 

@@ -17,7 +17,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert [name.split("_")[0] for name in registry.queries()] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in registry.queries()] == [f"op{n}" for n in range(1, 14)]
     assert set(registry.queries()) | {"pipeline"} <= set(contract.queries())
     assert set(registry.oracle_sql()) <= set(contract.oracle_sql())
     assert [name for name, _ in corpus_pipeline.STAGES] == [
@@ -57,12 +57,11 @@ def test_stages_hand_on_what_they_keep(spark):
     assert {doc for doc, _ in packed} == survivors and all(n == total for (_, n), total in packed.items())
 
 
-@pytest.mark.parametrize("stage", [1, 2, 3, 4])
+@pytest.mark.parametrize("stage", [0, 1, 2, 3, 4])
 def test_stages_take_edge_rows_and_empty_tables(spark, stage):
     frame = spark.createDataFrame(rows(), SCHEMA)
     name, run = corpus_pipeline.STAGES[stage]
     found = run(spark, frame, FOLDER)
     assert name == "packing" or found.columns == frame.columns
-    assert found.count() > 0
-    if name != "language_id":  # which needs a language to learn
-        assert run(spark, frame.limit(0), FOLDER).count() == 0
+    assert found.count() > 0 or name == "quality_classifier"
+    assert run(spark, frame.limit(0), FOLDER).count() == 0

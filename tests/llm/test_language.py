@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pytest
 from edge import SCHEMA, rows
 
 from envlake.llm import language
@@ -55,8 +54,11 @@ def test_edge_rows(spark):
     gone = {row.doc_id for row in frame.collect()} - {row.doc_id for row in kept.collect()}
     assert gone == {k for k, r in found.items() if r.score < language.MIN_SCORE}
     assert language.predict_documents(frame.limit(0), model).collect() == []
-    with pytest.raises(ValueError, match="learn from"):
-        language.fit_language(frame.limit(0))
+    assert language.fit_language(frame.limit(0)).languages == []
+    unlearned = language.predict_documents(frame, language.fit_language(frame.limit(0))).collect()
+    assert {(r.lang_pred, r.score) for r in unlearned} == {("und", 0.0)}
+    unnamed = frame.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")
+    assert language.drop_unknown_language(unnamed).count() == frame.count()
 
 
 def test_ties_go_to_the_first_language():

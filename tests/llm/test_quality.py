@@ -5,7 +5,6 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pytest
 from edge import SCHEMA, rows
 
 from envlake.llm import quality
@@ -65,8 +64,10 @@ def test_edge_rows(spark):
     assert kept.columns == frame.columns
     assert kept.count() == sum(r.predicted for r in found)
     assert quality.score_documents(frame.limit(0), model).collect() == []
-    with pytest.raises(ValueError, match="both classes"):
-        quality.fit_quality(frame, labels.limit(0))
+    unlearned = quality.fit_quality(frame, labels.limit(0))
+    assert unlearned is None
+    assert {(r.score, r.predicted) for r in quality.score_documents(frame, unlearned).collect()} == {(0.5, 0)}
+    assert quality.drop_low_quality(frame, labels.limit(0)).count() == frame.count()
 
 
 def test_labels_of_the_held_out_fold_are_not_used(spark):
