@@ -11,13 +11,12 @@ share a word are linked to the smallest, so a group of n copies makes n links.
 Null and empty texts have fingerprint zero and are linked like any other; repeated rows
 and equal texts share a fingerprint. An empty table gives an empty result.
 
-Near copies of the pipeline (``similar_groups``) are wider than two bits can reach; they are
-found by exact comparison of shingle sets that share one of their rarest shingles.
+Near copies of the pipeline (``similar_groups``) are wider than two bits can reach; their
+shingle sets are joined exactly.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from envlake.llm import overlap
 from envlake.llm.components import components
 from envlake.llm.tables import free_name, read_table, small_batches, written
 
@@ -35,14 +35,6 @@ SEGMENT_BITS = 2
 PIECE = 255 << 5
 # Ids that are broadcast to the texts: eight megabytes at most.
 BROADCAST_IDS = 1 << 20
-# Near copies: texts whose recurring shingles are kept from being keys, and how many such shingles at most.
-SAMPLE_ROWS = 4096
-COMMON_SHINGLES = 1 << 16
-# Bits of a set's parities.
-PARITIES = 2048
-# Comparisons per key row that need no further hubs first, and turns of hubs at most; the last turn compares all that is left.
-MUCH = 64
-MAX_TURNS = 6
 
 
 def _signed(value: int) -> int:
@@ -81,11 +73,6 @@ def text_fingerprint(text: str | None, width: int) -> int:
     return int(_majority(hashes[:, None])[0]) if len(hashes) else 0
 
 
-def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """Hashes of the different shingles, in order."""
-    return np.unique(_shingle_hashes(text, width))
-
-
 def fingerprints(documents: DataFrame, width: int) -> DataFrame:
     """(doc_id, fp): the fingerprint of every row as a signed 64-bit integer."""
     small_batches(documents.sparkSession)
@@ -98,12 +85,6 @@ def fingerprints(documents: DataFrame, width: int) -> DataFrame:
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
-    values = np.concatenate(arrays) if arrays else np.empty(0, np.uint64)
-    offsets = np.concatenate([[0], np.cumsum([len(one) for one in arrays])]).astype(np.int32)
-    return pa.ListArray.from_arrays(offsets, pa.array(values.view(np.int64)))
-
-
 def _lanes(segment_bits: int) -> list[int]:
     return list(range(0, 64, segment_bits))
 
@@ -172,186 +153,26 @@ def _small_or_shuffled(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _of_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of documents with one of some ids."""
-    name = free_name("wanted_id", documents.columns)
-    wanted = _small_or_shuffled(ids.withColumnRenamed(ids.columns[0], name))
-    return documents.join(wanted, documents["doc_id"].cast("bigint").eqNullSafe(wanted[name]), "left_semi")
-
+def similar_groups(documents: DataFrame, width: int = 5) -> DataFrame:
+    """(doc_id, component_id) per row: groups linked at a similarity of 0.8 of the sets of shingles.
 
-def common_shingles(documents: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that recur in a sample of texts, sorted, and their places from the rarest on.
-
-    They only set the order in which shingles become keys; any list gives the same groups.
+    Two differing bits lie far below that similarity, so the links are those of the exact
+    join of sets. Rows without words are one group.
     """
-    every = max(1, documents.count() // SAMPLE_ROWS)
-    sample = documents.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select("text")
-    small_batches(documents.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text.as_py(), width).view(np.int64))], ["shingle"])
-
-    counted = sample.mapInArrow(run, "shingle bigint").groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > 2)
-    found = counted.orderBy(F.col("n").desc(), "shingle").limit(COMMON_SHINGLES).toPandas()
-    shingles = found["shingle"].to_numpy(np.int64)[::-1].copy().view(np.uint64)
-    order = np.argsort(shingles)
-    return shingles[order], order
-
-
-def prefix_length(size: int, similarity: float) -> int:
-    """Shingles of a set, in an order common to all sets, of which a similar set holds one at least among its own first."""
-    return size - math.ceil(similarity * size - 1e-9) + 1 if size else 0
-
-
-def prefixes(documents: DataFrame, width: int, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(doc_id, node, size, odd, keys) of every row: hash, size and parities of its set of shingles, and its first ones, common ones last."""
-    small_batches(documents.sparkSession)
-    shingles, places = common
-
-    def first(own: np.ndarray) -> np.ndarray:
-        if len(shingles):
-            at = np.minimum(np.searchsorted(shingles, own), len(shingles) - 1)
-            own = own[np.argsort(np.where(shingles[at] == own, places[at], -1), kind="stable")]
-        return own[: prefix_length(len(own), similarity)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(text.as_py(), width) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), _nodes(sets), pa.array([len(own) for own in sets], pa.int32()), _lists([_parities(own) for own in sets]), _lists([first(own) for own in sets])],
-                ["doc_id", "node", "size", "odd", "keys"],
-            )
-
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, node bigint, size int, odd array<bigint>, keys array<bigint>"
+    groups = written(overlap.joined(documents, width), "simhash-similar")
+    wordless = groups.filter("n_shingles = 0").agg(F.min("doc_id")).first()[0]
+    return groups.select(
+        "doc_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.lit(wordless).cast("bigint")).alias("component_id")
     )
 
 
-def _parities(own: np.ndarray) -> np.ndarray:
-    """A bit per class of hashes, set if the set has an odd number of the class: sets differ in as many shingles as bits, or more."""
-    odd = np.bincount((own >> np.uint64(20)).astype(np.int64) % PARITIES, minlength=PARITIES) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
-
-
-def _nodes(sets: list[np.ndarray]) -> pa.Array:
-    return pa.array([_signed(xxhash.xxh64_intdigest(own.tobytes(), SEED)) for own in sets], pa.int64())
-
-
-def shingle_sets(documents: DataFrame, width: int) -> DataFrame:
-    """(node, shingles) of every row."""
-    small_batches(documents.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(text.as_py(), width) for text in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([_nodes(sets), _lists(sets)], ["node", "shingles"])
-
-    return documents.select("text").mapInArrow(run, "node bigint, shingles array<bigint>")
-
-
-def _may_be_similar(similarity: float) -> Column:
-    """Whether sizes and places of a shared shingle allow the similarity of a and b."""
-    shared = 1 + F.least("a_at", "b_at") + F.least(F.col("a_size") - F.col("a_at"), F.col("b_size") - F.col("b_at")) - 1
-    return shared >= similarity / (1 + similarity) * (F.col("a_size") + F.col("b_size")) - 1e-9
-
-
-def _side(rows: DataFrame, side: str, *more: str) -> DataFrame:
-    return rows.select("key", *(F.col(name).alias(f"{side}_{name}") for name in ("node", "size", "at", *more)))
-
-
-def _pairs(rows: DataFrame) -> DataFrame:
-    return rows.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
-
-
-def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, component_id) per row: groups linked where shingle sets have ``similarity`` (Jaccard) or more.
-
-    Sets are compared exactly, and no pair is left out: in an order common to all sets, two
-    sets of the similarity share a shingle among the first ``prefix_length`` of each, so these
-    are their keys. Sets with a key in common are first compared with the smallest of them.
-    Where that does not join all sets of a key, those outside its largest group are compared
-    with every set of another group; as long as that would be much and hubs still find
-    links, with another hub first. Pairs whose parities differ in more bits than similar sets
-    can in shingles need no look at the sets. Keys are the rarest shingles of a set, so passages that many
-    texts share are keys of few.
-    """
-    rows = written(prefixes(documents, width, similarity, common_shingles(documents, width)), "near-prefixes")
-    keyed = rows.select("node", "size", F.posexplode("keys").alias("at", "key"))
-    spread = keyed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least <> most")
-    shared = _small_or_shuffled(written(spread.select("key"), "near-keys"))
-    members = written(keyed.join(shared, "key").select("key", "node", "size", "at").distinct(), "near-members")
-    n_members = members.count()
-    firsts = rows.groupBy("node").agg(F.min("doc_id").alias("first_id"))
-
-    used = _small_or_shuffled(members.select("node").distinct())
-    odds = written(rows.select("node", "size", "odd").join(used, "node", "left_semi").dropDuplicates(["node"]), "near-parities")
-    differing = F.aggregate(F.zip_with("a_odd", "b_odd", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits)
-    may_differ = (1 - similarity) / (1 + similarity) * (F.col("a_size") + F.col("b_size")) + 1e-9
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        for side in ("a", "b"):
-            pairs = pairs.join(odds.select(F.col("node").alias(side), F.col("size").alias(f"{side}_size"), F.col("odd").alias(f"{side}_odd")), side)
-        pairs = written(pairs.filter(differing <= may_differ).select("a", "b"), "near-open-pairs")
-        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        ends = written(ends, "near-ends")
-        wanted = firsts.join(ends, "node", "left_semi").select("first_id").distinct()
-        sets = shingle_sets(_of_ids(documents, wanted), width)
-        # A repeated id can stand for other texts.
-        sets = sets.join(_small_or_shuffled(ends), "node", "left_semi").dropDuplicates(["node"])
-        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("mine")), "a").join(
-            sets.select(F.col("node").alias("b"), F.col("shingles").alias("other")), "b"
-        )
-        common = F.size(F.array_intersect("mine", "other"))
-        enough = common >= similarity * (F.size("mine") + F.size("other") - common) - 1e-9
-        return written(both.filter(enough).select(F.col("a").alias("u"), F.col("b").alias("v")), "near-links")
-
-    hubs = _side(members.join(members.groupBy("key").agg(F.min("node").alias("node")), ["key", "node"]), "b")
-    near = _side(members, "a").join(hubs, "key").filter(F.col("a_node") != F.col("b_node")).filter(_may_be_similar(similarity))
-    # Of several hubs the one that shares most keys; the others are left to the turns.
-    best = near.groupBy("a_node", "b_node").agg(F.count("*").alias("n")).groupBy("a_node").agg(F.max_by("b_node", F.struct("n", "b_node")).alias("b_node"))
-    compared = written(_pairs(best), "near-pairs")
-    found, fresh = verified(compared), True
-    for turn in range(MAX_TURNS):
-        roots = written(components(found), "near-roots")
-        grouped = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        per_group = grouped.groupBy("key", "root").agg(F.count("*").alias("n"))
-        per_key = per_group.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("groups"))
-        open_keys = written(per_key.filter("groups > 1").select("key", "all", F.col("main.n").alias("n"), F.col("main.root").alias("main")), "near-open")
-        work = open_keys.agg(F.sum((F.col("all") - F.col("n")) * F.col("all"))).first()[0] or 0
-        if not work:
-            return _rooted(rows, firsts, roots)
-        inside = written(grouped.join(open_keys.select("key", "main"), "key"), "near-inside")
-        outside = inside.filter("root <> main")
-        last = work <= MUCH * n_members or not fresh or turn == MAX_TURNS - 1
-        if not last:
-            drawn = outside.groupBy("key").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("node"))
-            outside = outside.join(drawn, ["key", "node"])
-        near = _side(inside, "a", "root").join(_side(outside, "b", "root"), "key").filter("a_root <> b_root").filter(_may_be_similar(similarity))
-        new = written(_pairs(near).join(compared, ["a", "b"], "left_anti"), "near-pairs")
-        links_found = verified(new)
-        fresh = bool(links_found.head(1))
-        compared, found = compared.unionByName(new), found.unionByName(links_found)
-        if last:
-            break
-    return _rooted(rows, firsts, components(found))
-
-
-def _rooted(rows: DataFrame, firsts: DataFrame, roots: DataFrame) -> DataFrame:
-    """(doc_id, component_id) of every row."""
-    rooted = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rows.select("doc_id", "node").join(rooted.join(least, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
-
-
-def drop_near_duplicates(documents: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+def drop_near_duplicates(documents: DataFrame, width: int = 5) -> DataFrame:
     """Documents without near copies: of each group the row with the smallest doc_id stays.
 
     Of rows that repeat an id and its text, one stays. Rows without id go if every one of
     them has a copy with an id, else they stay, equal texts once.
     """
-    groups = similar_groups(documents, width, similarity)
+    groups = similar_groups(documents, width)
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
     per_id = written(groups.groupBy("doc_id").agg(F.max(stays).alias("stays"), F.count("*").alias("n")), "simhash-ids")
     name = free_name("other_id", documents.columns)

@@ -7,7 +7,7 @@ import random
 import pytest
 import xxhash
 
-from envlake.llm import simhash
+from envlake.llm import overlap, simhash
 from envlake.llm.components import components
 
 DOCS = "doc_id bigint, text string, source string"
@@ -155,7 +155,7 @@ def jaccard_groups(table, width=5, similarity=0.8):
 @pytest.mark.parametrize("much", [0, 4])
 def test_near_copies_inside_a_family_of_similar_texts(spark, monkeypatch, much):
     """Texts at about 0.7 to each other, some of them with a copy at 0.8 or more."""
-    monkeypatch.setattr(simhash, "MUCH", much)
+    monkeypatch.setattr(overlap, "MUCH", much)
     draw = random.Random(17)
     words = [f"f{k}" for k in range(5000)]
     shared, table = draw.choices(words, k=330), []
