@@ -1,12 +1,15 @@
-"""Token ids of whole texts, with parts of texts looked up in a bounded cache.
+"""Token ids of whole texts.
 
-A single space between two characters that are not white space always begins a new
+A byte-level vocabulary whose ids are the order of its merges is read into a rank table,
+which encodes whole texts at once and gives the ids of the tokenizer in the file. With any
+other tokenizer, parts of texts are looked up in a bounded cache: a single space between two characters that are not white space always begins a new
 token: the splitting pattern of the vocabulary attaches it to what follows. So a text
 is cut there, and the ids of the parts, one after another, are the ids of the text.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -69,9 +72,58 @@ class PartCache:
             self.young, self.old = {}, young
 
 
-def tokenizer_cache(path: str) -> tuple[PartCache, np.dtype]:
-    """Cache of ids, as little-endian bytes of the returned type, by the tokenizer in a file; no special tokens."""
-    return per_process(("tokenizer", path), lambda: _tokenizer_cache(path))
+def byte_symbols() -> dict[str, int]:
+    """The characters that stand for bytes in byte-level vocabularies: printable ones for themselves, others from 256 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    others = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
+def rank_table(path: str) -> dict[bytes, int] | None:
+    """Ids by bytes, if the tokenizer in a file is plain byte-level BPE whose merges are in the order of ids."""
+    with open(path, encoding="utf-8") as file:
+        whole = json.load(file)
+    model, before = whole["model"], whole["pre_tokenizer"] or {}
+    plain = not (whole["normalizer"] or whole["post_processor"] or model.get("ignore_merges"))
+    plain &= model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))
+    plain &= before.get("type") == "ByteLevel" and before.get("use_regex") is True and not before.get("add_prefix_space")
+    symbols = byte_symbols()
+    added = {one["id"] for one in whole["added_tokens"]}
+    words = {word: number for word, number in model["vocab"].items() if number not in added}
+    if not plain or any(c not in symbols for word in words for c in word):
+        return None
+    merged = [words.get("".join(pair if isinstance(pair, list) else pair.split(" "))) for pair in model["merges"]]
+    if None in merged or merged != sorted(merged) or len(words) != 256 + len(merged):
+        return None
+    return {bytes(map(symbols.__getitem__, word)): number for word, number in words.items()}
+
+
+class RankEncoder:
+    """Ids of whole texts by a rank table."""
+
+    def __init__(self, ranks: dict[bytes, int], kind: np.dtype) -> None:
+        import public_tokenizers
+        import tiktoken
+
+        self.kind = kind
+        self.encode = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def of(self, texts: list[str]) -> Iterator[list[bytes]]:
+        """Per text, its ids in one part."""
+        return ([np.array(self.encode(text), self.kind).tobytes()] for text in texts)
+
+
+def tokenizer_cache(path: str) -> tuple[PartCache | RankEncoder, np.dtype]:
+    """Encoder of texts to ids, as little-endian bytes of the returned type, by the tokenizer in a file; no special tokens."""
+
+    def make() -> tuple[PartCache | RankEncoder, np.dtype]:
+        ranks = rank_table(path)
+        if ranks is None:
+            return _tokenizer_cache(path)
+        kind = np.dtype("<u2" if max(ranks.values()) < 1 << 16 else "<u4")
+        return RankEncoder(ranks, kind), kind
+
+    return per_process(("tokenizer", path), make)
 
 
 def _tokenizer_cache(path: str) -> tuple[PartCache, np.dtype]:
