@@ -32,6 +32,7 @@ BUCKETS = 1 << 15
 SMOOTHING = 0.5
 FIT_ROWS = 40_000
 EVIDENCE = 300
+GATHERED = 1 << 18
 # The matrix takes BUCKETS times this many numbers at most.
 MAX_LANGUAGES = 1000
 UNKNOWN = "und"
@@ -84,11 +85,17 @@ class LanguageModel:
         grams = [text_grams(text) for text in texts]
         sizes = np.array([len(one) for one in grams], np.int64)
         total = np.zeros((len(texts), len(self.languages)))
-        if sizes.any():
-            # Sparse rows: n-grams of all texts, and where each text begins.
-            begins = np.concatenate([[0], np.cumsum(sizes[sizes > 0])[:-1]])
-            gathered = self.weights[np.concatenate(grams)]
-            total[sizes > 0] = np.add.reduceat(gathered, begins, axis=0, dtype=np.float64)
+        ends = np.cumsum(sizes)
+        begin = 0
+        while begin < len(texts):
+            # Rows of the matrix are gathered for a bounded number of n-grams, or one text, at a time.
+            end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + GATHERED, "right")))
+            own = np.flatnonzero(sizes[begin:end]) + begin
+            if len(own):
+                # Sparse rows: n-grams of the texts, and where each text begins.
+                starts = np.concatenate([[0], np.cumsum(sizes[own])[:-1]])
+                total[own] = np.add.reduceat(self.weights[np.concatenate([grams[k] for k in own])], starts, axis=0, dtype=np.float64)
+            begin = end
         evidence = total * (np.minimum(sizes, EVIDENCE) / np.maximum(sizes, 1) / len(ORDERS))[:, None]
         chance = np.exp(evidence - evidence.max(axis=1, keepdims=True, initial=-np.inf))
         chance /= np.maximum(chance.sum(axis=1, keepdims=True), 1e-300)

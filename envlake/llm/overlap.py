@@ -134,8 +134,8 @@ def parities(own: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def _texts(documents: DataFrame) -> DataFrame:
-    small_batches(documents.sparkSession)
+def _texts(documents: DataFrame, batch: int = 256) -> DataFrame:
+    small_batches(documents.sparkSession, batch)
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
 
 
@@ -204,7 +204,7 @@ def postings(documents: DataFrame, width: int, common: tuple[np.ndarray, np.ndar
             if columns[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in columns], ["shingle", "salt", "node", "place"])
 
-    return _texts(documents).mapInArrow(run, "shingle bigint, salt bigint, node bigint, place bigint")
+    return _texts(documents, 1024).mapInArrow(run, "shingle bigint, salt bigint, node bigint, place bigint")
 
 
 def lists(rows: DataFrame) -> DataFrame:
