@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from envlake.domain import SCHEMA_VERSION, SOURCE
 from envlake.errors import InputError, is_missing_path
 from envlake.functions import instants, text, variants
+from envlake.functions.rules import failed
 
 # Place and kind of the landed batches.
 RAW_SUBDIR = "openaq/measurements"
@@ -21,11 +24,14 @@ REQUIRED_RETRIEVAL = (
     "returned",
     "complete",
 )
+BATCH = ("batch_location_id", "batch_location_name", "batch_sensor_id", "batch_parameter")
 UNREADABLE = "unreadable or invalid JSON"
 BROKEN_CONTRACT = "invalid raw envelope/provenance"
 
 ENVELOPE_STRUCT = (
-    "source: variant, resource: variant, schema_version: variant, retrieval: variant, "
+    "source: variant, resource: variant, schema_version: variant, "
+    "retrieval: struct<location_id: variant, location_name: variant, sensor_id: variant, parameter: variant, "
+    "datetime_from: variant, datetime_to: variant, returned: variant, complete: variant>, "
     "source_meta: variant, source_pages: variant, measurements: array<string>"
 )
 
@@ -70,80 +76,68 @@ def parse_envelopes(files: DataFrame) -> DataFrame:
     documents = F.when(stripped.startswith("{") & stripped.endswith("}"), F.from_json(inside, f"array<struct<{ENVELOPE_STRUCT}>>"))
     split = files.select("path", documents.alias("d"))
     whole = (F.size("d") == 2) & F.col("d")[1].isNull()
-    parsed = split.select("path", F.when(whole, F.col("d")[0]).alias("e")).select(
-        "path", F.col("e").isNull().alias("_unreadable"), "e.*"
-    )
-    start = variants.text_of(variants.member(F.col("retrieval"), "$.datetime_from"))
-    end = variants.text_of(variants.member(F.col("retrieval"), "$.datetime_to"))
-    contract = _contract(start, end)
-    error = F.when(F.col("_unreadable"), UNREADABLE).when(~contract, BROKEN_CONTRACT)
-    return parsed.select(
-        "path",
-        error.alias("envelope_error"),
-        *(column.alias(name) for name, column in _batch_columns().items()),
-        start.alias("retrieval_datetime_from"),
-        end.alias("retrieval_datetime_to"),
-        "measurements",
+    parsed = split.select("path", F.when(whole, F.col("d")[0]).alias("e"))
+    # Each leaf is looked at once; the contract then combines plain columns only.
+    read = parsed.select("path", *(column.alias(name) for name, column in _leaves().items()))
+    checked = read.withColumns({"window_ok": window_holds(F.col("retrieval_datetime_from"), F.col("retrieval_datetime_to"))})
+    error = F.when(~F.col("readable"), UNREADABLE).when(failed(_contract()), BROKEN_CONTRACT)
+    return checked.select(
+        "path", error.alias("envelope_error"), *BATCH, "retrieval_datetime_from", "retrieval_datetime_to", "measurements"
     )
 
 
-def _batch_columns() -> dict[str, Column]:
-    """Provenance that every record of the batch shares, read once per envelope."""
+def _leaves() -> dict[str, Column]:
+    """Members of the envelope as plain columns, and the provenance that every record of the batch shares."""
 
     def part(name: str) -> Column:
-        return variants.member(F.col("retrieval"), f"$.{name}")
+        return F.col(f"e.retrieval.{name}")
 
     def identifier(name: str) -> Column:
         return F.when(variants.is_identifier(part(name)), variants.integer_of(part(name)))
 
+    present = [part(name).isNotNull() for name in REQUIRED_RETRIEVAL]
+    pages, meta, name = F.col("e.source_pages"), F.col("e.source_meta"), part("location_name")
+    page_list = F.try_variant_get(pages, "$", "array<variant>")
     return {
+        "readable": F.col("e").isNotNull(),
+        "source_text": variants.text_of(F.col("e.source")),
+        "resource_text": variants.text_of(F.col("e.resource")),
+        "version": variants.integer_of(F.col("e.schema_version")),
+        "complete": part("complete").isNotNull()
+        & (variants.kind(part("complete")) == "BOOLEAN")
+        & F.try_variant_get(part("complete"), "$", "boolean"),
+        "returned": variants.integer_of(part("returned")),
+        "parameter_text": variants.text_of(part("parameter")),
+        "parts_present": functools.reduce(lambda one, other: one & other, present),
+        "meta_ok": meta.isNotNull() & (variants.is_missing(meta) | variants.is_object(meta)),
+        "pages_ok": pages.isNull() | (variants.is_array(pages) & F.forall(page_list, variants.is_object)),
+        "location_name_ok": variants.is_missing(name) | variants.is_text(name),
         "batch_location_id": identifier("location_id"),
-        "batch_location_name": variants.text_of(part("location_name")),
+        "batch_location_name": variants.text_of(name),
         "batch_sensor_id": identifier("sensor_id"),
         "batch_parameter": text.canonical_name(variants.text_of(part("parameter"))),
+        "retrieval_datetime_from": variants.text_of(part("datetime_from")),
+        "retrieval_datetime_to": variants.text_of(part("datetime_to")),
+        "measurements": F.col("e.measurements"),
     }
 
 
-def _contract(start: Column, end: Column) -> Column:
-    retrieval = F.col("retrieval")
-
-    def part(name: str) -> Column:
-        return variants.member(retrieval, f"$.{name}")
-
-    def integer_equals(value: Column, expected: Column) -> Column:
-        return F.coalesce(variants.integer_of(value) == expected, F.lit(False))
-
-    def text_equals(value: Column, expected: str) -> Column:
-        return F.coalesce(variants.text_of(value) == expected, F.lit(False))
-
-    present = [variants.kind(part(name)).isNotNull() for name in REQUIRED_RETRIEVAL]
-    pages = F.col("source_pages")
-    page_list = F.try_variant_get(pages, "$", "array<variant>")
-    checks = [
-        text_equals(F.col("source"), SOURCE),
-        text_equals(F.col("resource"), RESOURCE),
-        integer_equals(F.col("schema_version"), F.lit(SCHEMA_VERSION)),
-        variants.is_object(retrieval),
-        *present,
-        F.col("measurements").isNotNull(),
-        integer_equals(part("returned"), F.size("measurements").cast("bigint")),
-        F.coalesce(
-            (variants.kind(part("complete")) == "BOOLEAN")
-            & F.try_variant_get(part("complete"), "$", "boolean"),
-            F.lit(False),
-        ),
-        F.col("source_meta").isNotNull(),
-        variants.is_object(F.col("source_meta")) | variants.is_missing(F.col("source_meta")),
-        pages.isNull()
-        | (variants.is_array(pages) & F.forall(page_list, variants.is_object)),
-        ~text.is_blank(variants.text_of(part("parameter"))),
-        variants.is_missing(part("location_name")) | variants.is_text(part("location_name")),
-        window_holds(start, end),
-    ]
-    holds = F.lit(True)
-    for check in checks:
-        holds = holds & F.coalesce(check, F.lit(False))
-    return holds
+def _contract() -> Column:
+    col = F.col
+    return (
+        (col("source_text") == SOURCE)
+        & (col("resource_text") == RESOURCE)
+        & (col("version") == SCHEMA_VERSION)
+        & col("parts_present")
+        & col("measurements").isNotNull()
+        & (col("returned") == F.size("measurements"))
+        & col("complete")
+        & col("meta_ok")
+        & col("pages_ok")
+        & ~text.is_blank(col("parameter_text"))
+        & col("location_name_ok")
+        & col("window_ok")
+    )
 
 
 def window_holds(start: Column, end: Column) -> Column:
@@ -164,7 +158,7 @@ def split_records(envelopes: DataFrame) -> DataFrame:
     return envelopes.select(
         F.col("path").alias("source_file"),
         "envelope_error",
-        *_batch_columns(),
+        *BATCH,
         "retrieval_datetime_from",
         "retrieval_datetime_to",
         F.posexplode_outer(usable).alias("position", "record_text"),

@@ -189,6 +189,8 @@ BODY_FAULTS = [
     {"source_meta": []},
     {"source_pages": [1]},
     {"measurements": {}},
+    {"retrieval": []},
+    {"retrieval": "x"},
 ]
 RETRIEVAL_FAULTS = [
     {"returned": 2},
