@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from envlake.domain import KEY, OBSERVATION_COLUMNS, PARAMETERS
+from envlake.domain import KEY, NANO_COLUMNS, OBSERVATION_COLUMNS, PARAMETERS, PARTITIONS
 from envlake.errors import InputError
 from envlake.functions import instants, rules
 from envlake.operators import (
@@ -27,7 +27,9 @@ from envlake.operators.normalize import MARKERS, normalize
 from envlake.plans import oracle
 from envlake.plans.driver_tables import DriverTables, divides
 from envlake.plans.present import present
-from envlake.sources import envelopes, locations as location_sources, weather as weather_sources
+from envlake.session import workspace
+from envlake.sinks import exports
+from envlake.sources import envelopes, locations as location_sources, tables, weather as weather_sources
 
 Plan = Callable[[DriverTables], DataFrame]
 _PLANS: dict[str, Plan] = {}
@@ -405,6 +407,33 @@ def warehouse_violations(t: DriverTables) -> DataFrame:
     return warehouse.violations(t.faulty_enriched()).select("event_id", "violation")
 
 
+@query
+def scan_by_name(t: DriverTables) -> DataFrame:
+    """Enriched files with absent columns and other stored types, read as one table."""
+    folder = workspace(t.spark, "scan")
+    for name, parts in t.drifted_enriched().items():
+        for rows in parts:
+            # Only the folder with model types is partitioned by day.
+            by = PARTITIONS if name == "named" else PARTITIONS[:1]
+            rows.repartition(*by).write.mode("append").partitionBy(*by).parquet(f"{folder}/{name}")
+    rows = tables.read_enriched(t.spark, f"{folder}/named", f"{folder}/other", extra=("event_id",))
+    return rows.select(
+        "event_id", "cast_error", "location_id", "sensor_id", "parameter", "parameter_id", "unit", "value",
+        "period_label", "datetime_to_utc", "measurement_date_utc", "latitude", "weather_hour_utc", "temperature_2m_c",
+    )
+
+
+@query
+def export_order(t: DriverTables) -> DataFrame:
+    """Rows of the text export in the order of its files."""
+    folder = f"{workspace(t.spark, 'export')}/csv"
+    nanos = {name: F.lit(0).cast("smallint") for name in NANO_COLUMNS}
+    exports.write_processed_csv(t.observations.withColumns(nanos), folder)
+    typed = {name: F.col(name).cast("bigint") for name in ("location_id", "sensor_id")} | {"value": F.col("value").cast("double")}
+    rows = exports.read_in_order(t.spark, folder).withColumns(typed)
+    return rows.select("place", *KEY, "unit", "value", "source_file")
+
+
 @query
 def warehouse_checks(t: DriverTables) -> DataFrame:
     """Load checks over rows with repeats and of unknown locations."""

@@ -433,6 +433,27 @@ class DriverTables:
             }
         )
 
+    def drifted_enriched(self) -> dict[str, list[DataFrame]]:
+        """Enriched files per folder: some lack columns, one folder stores other types."""
+        rows = enrichment.join_weather(self.observations_with_event, self.hours).drop("k", "event_type", "block")
+        third = F.col("event_id") % 3
+        whole, drifted, slim = (rows.filter(third == n) for n in (2, 1, 0))
+        stored = {
+            "location_id": F.when(divides(61), F.col("location_id").cast("double")),
+            "sensor_id": F.col("sensor_id").cast("int"),
+            "parameter_id": F.when(divides(47), "2"),
+            "unit": F.when(divides(43), F.length("unit")),
+            "datetime_to_utc": F.when(divides(71), F.date_format("datetime_to_utc", "yyyy-MM-dd HH:mm:ss")),
+            "measurement_date_utc": F.when(divides(41), "31 December").otherwise(F.date_format("measurement_date_utc", "yyyy-MM-dd")),
+            "latitude": F.when(divides(67), F.lit(True)),
+            "weather_hour_utc": F.when(divides(59), F.unix_micros("datetime_from_utc")),
+            "temperature_2m_c": F.when(divides(53), "warm"),
+        }
+        return {
+            "named": [whole, slim.drop("parameter_id", "period_label", "period_interval")],
+            "other": [drifted.withColumns(stored)],
+        }
+
     # -- acquisition tables ----------------------------------------------------------
 
     def sensors(self) -> DataFrame:

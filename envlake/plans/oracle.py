@@ -590,6 +590,32 @@ SQL["warehouse_violations"] = _with(
         WHEN event_id % 79 = 0 THEN 'latitude' END AS violation FROM enr)
     SELECT event_id, violation FROM f WHERE violation IS NOT NULL""",
 )
+_DRIFT = {
+    "location_id": 61, "parameter_id": 47, "unit": 43, "datetime_to_utc": 71, "measurement_date_utc": 41,
+    "latitude": 67, "weather_hour_utc": 59, "temperature_2m_c": 53,
+}
+_DRIFT_ERROR = " ".join(f"WHEN event_id % {divisor} = 0 THEN '{name}'" for name, divisor in _DRIFT.items())
+SQL["scan_by_name"] = _with(
+    "enr",
+    f""", f AS (SELECT *, event_id % 3 AS third FROM enr)
+    SELECT event_id, CASE WHEN third = 1 THEN CASE {_DRIFT_ERROR} END END AS cast_error,
+        CASE WHEN third <> 1 THEN location_id END AS location_id, sensor_id, parameter,
+        CASE WHEN third = 2 THEN parameter_id END AS parameter_id, CASE WHEN third <> 1 THEN unit END AS unit, value,
+        CASE WHEN third <> 0 THEN period_label END AS period_label,
+        CASE WHEN third <> 1 THEN strftime(datetime_to_utc, {TS}) END AS datetime_to_utc,
+        CASE WHEN third <> 1 OR event_id % 41 <> 0 THEN strftime(measurement_date_utc, {DAY}) END AS measurement_date_utc,
+        CASE WHEN third <> 1 THEN latitude END AS latitude,
+        CASE WHEN third <> 1 THEN strftime(weather_hour_utc, {TS}) END AS weather_hour_utc,
+        CASE WHEN third <> 1 THEN temperature_2m_c END AS temperature_2m_c
+    FROM f""",
+)
+_EXPORTED = "strftime({0}, '%Y-%m-%d %H:%M:%S') || CASE WHEN strftime({0}, '%f') <> '000000' THEN '.' || strftime({0}, '%f') ELSE '' END || '+00:00' AS {0}"
+SQL["export_order"] = _with(
+    "obs",
+    f"""SELECT row_number() OVER (ORDER BY obs.datetime_from_utc, obs.datetime_to_utc, location_id, sensor_id, parameter) - 1 AS place,
+        location_id, sensor_id, parameter, unit, value, source_file,
+        {_EXPORTED.format("datetime_from_utc")}, {_EXPORTED.format("datetime_to_utc")} FROM obs""",
+)
 SQL["warehouse_checks"] = _with(
     "obs loc",
     """, r AS (SELECT * FROM obs UNION ALL SELECT * FROM obs WHERE event_id % 97 = 0)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,7 +16,7 @@ from envlake.session import configure
 from envlake.sinks.snapshots import SnapshotStore, Table
 from envlake.sources import envelopes, weather as weather_sources
 from envlake.sources.locations import read_location_config
-from envlake.sources.tables import with_warehouse_columns
+from envlake.sources.tables import read_enriched, read_observations, require_typed
 
 
 @dataclass
@@ -75,8 +76,9 @@ class Pipeline:
         return self.curated()
 
     def curated(self) -> DataFrame:
-        rows = self.store.read("curated", "air_quality")
-        return rows.withColumn("measurement_date_utc", F.col("measurement_date_utc").cast("date"))
+        # One build wrote the files, so they hold the same columns.
+        rows = read_observations(self.spark, self.store.path("curated", "air_quality"), merge=False)
+        return require_typed(rows, "curated input")
 
     def enrich(self, weather_dir: str) -> DataFrame:
         observations = self.curated()
@@ -94,7 +96,7 @@ class Pipeline:
         before = self.store.manifest("curated")
 
         def gate(staged: dict[str, DataFrame], counts: dict[str, int]) -> None:
-            if before is None or f'"row_count":{counts["air_quality_weather"]},' not in before:
+            if before is None or json.loads(before)["row_count"] != counts["air_quality_weather"]:
                 raise InputError("enrichment changed the number of observations")
             rules.require_unique(staged["air_quality_weather"], IDENTITY, "enriched output")
 
@@ -111,9 +113,8 @@ class Pipeline:
         return self.enriched()
 
     def enriched(self) -> DataFrame:
-        rows = self.store.read("enriched", "air_quality_weather")
-        typed = rows.withColumn("measurement_date_utc", F.col("measurement_date_utc").cast("date"))
-        return with_warehouse_columns(typed)
+        rows = read_enriched(self.spark, self.store.path("enriched", "air_quality_weather"), merge=False)
+        return require_typed(rows, "enriched input")
 
     def load(self) -> DataFrame:
         """Full refresh of both tables as one snapshot; returns the summary."""

@@ -75,12 +75,16 @@ class SnapshotStore:
             return None
         return records.agg(F.max_by("version", F.struct("published_at", "version"))).first()[0]
 
-    def read(self, name: str, table: str) -> DataFrame:
-        """A table of the current snapshot."""
+    def path(self, name: str, table: str) -> str:
+        """Folder of a table of the current snapshot."""
         version = self.current_version(name)
         if version is None:
             raise InputError(f"No published snapshot of {name}.")
-        return self.spark.read.parquet(f"{self.root}/{name}/versions/{version}/{table}")
+        return f"{self.root}/{name}/versions/{version}/{table}"
+
+    def read(self, name: str, table: str) -> DataFrame:
+        """A table of the current snapshot."""
+        return self.spark.read.parquet(self.path(name, table))
 
     def manifest(self, name: str) -> str | None:
         records = self.spark.read.schema(PUBLISHED_DDL).json(f"{self.root}/{name}/published")
