@@ -28,7 +28,7 @@ from envlake.plans import oracle
 from envlake.plans.driver_tables import DriverTables, divides
 from envlake.plans.present import present
 from envlake.session import workspace
-from envlake.sinks import exports
+from envlake.sinks import exports, registry
 from envlake.sources import envelopes, locations as location_sources, tables, weather as weather_sources
 
 Plan = Callable[[DriverTables], DataFrame]
@@ -684,6 +684,21 @@ def registry_summary(t: DriverTables) -> DataFrame:
     return acquisition.registration_summary(acquisition.register_batches(*t.registry_input()))
 
 
+@query
+def registry_runs(t: DriverTables) -> DataFrame:
+    """What two runs leave in a registry, and the totals of each; a run with an unsafe checkpoint leaves nothing."""
+    place = f"{workspace(t.spark, 'registry')}/batches"
+    totals = [registry.persist_run(t.spark, t.raw_batches(run), place, f"run-{run}", True) for run in (0, 1)]
+    try:
+        registry.persist_run(t.spark, t.raw_batches(1), place, "unsafe", False)
+    except InputError:
+        totals.append({"batches_written": 0, "batches_reused": 0, "measurements_represented": 0})
+    rows = registry.read_registry(t.spark, place).select("path", "returned", "run_id")
+    counted = [F.struct(*(F.lit(value).cast("bigint").alias(name) for name, value in found.items())) for found in totals]
+    runs = F.when(F.col("run_id") == "run-0", counted[0]).when(F.col("run_id") == "run-1", counted[1]).otherwise(counted[2])
+    return rows.withColumn("t", runs).select("path", "returned", "run_id", "t.*")
+
+
 @query
 def batch_violations(t: DriverTables) -> DataFrame:
     """Contract of batches to be registered, over order rows with faults."""

@@ -635,6 +635,27 @@ class DriverTables:
         )
         return incoming, known
 
+    def raw_batches(self, run: int) -> DataFrame:
+        """Batches of one of two runs; every third order is in both, its numbers spelled in two ways."""
+        orders = self.read("orders").filter(F.col("o_orderkey") % 3 != 2 * (1 - run))
+        key = F.col("o_orderkey")
+        record = F.lit('{"value":1}' if run else '{"value":1.0}')
+        returned = (key % 4).cast("bigint")
+        return orders.select(
+            (F.col("o_custkey") % 25 + 1).cast("bigint").alias("location_id"),
+            F.lit(None).cast("string").alias("location_name"),
+            (key + 1).cast("bigint").alias("sensor_id"),
+            F.lit("pm25").alias("parameter"),
+            F.lit("2024-01-01").alias("datetime_from"),
+            F.lit("2024-01-02").alias("datetime_to"),
+            returned.alias("returned"),
+            returned.cast("string").alias("found"),
+            F.lit(False).alias("incomplete"),
+            F.lit(True).alias("pagination_complete"),
+            F.lit(None).cast("string").alias("source_meta"),
+            F.concat(F.lit("["), F.array_join(F.array_repeat(record, returned.cast("int")), ","), F.lit("]")).alias("measurements"),
+        )
+
     # -- questions and run events ------------------------------------------------------
 
     def questions(self) -> DataFrame:

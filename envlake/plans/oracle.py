@@ -853,6 +853,13 @@ SQL["registry_summary"] = (
     sum(measurements)::BIGINT AS measurements_represented, count(*) FILTER (WHERE status = 'conflict') AS conflicts
     FROM reg"""
 )
+SQL["registry_runs"] = """WITH b AS (SELECT *, o_orderkey % 4 AS returned, CASE WHEN o_orderkey % 3 <> 2 THEN 'run-0' ELSE 'run-1' END AS run_id FROM orders)
+    SELECT 'openaq/measurements/location_id=' || (o_custkey % 25 + 1) || '/parameter=pm25/sensor_id=' || (o_orderkey + 1)
+        || '/20240101__20240102.json' AS path, returned, run_id, count(*) OVER (PARTITION BY run_id) AS batches_written,
+        CASE run_id WHEN 'run-0' THEN 0 ELSE count(*) FILTER (WHERE o_orderkey % 3 = 1) OVER () END AS batches_reused,
+        CASE run_id WHEN 'run-0' THEN sum(returned) FILTER (WHERE o_orderkey % 3 <> 2) OVER ()
+            ELSE sum(returned) FILTER (WHERE o_orderkey % 3 <> 0) OVER () END::BIGINT AS measurements_represented
+    FROM b"""
 SQL["batch_violations"] = _rule_counts(
     "orders",
     {

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,6 +23,8 @@ from envlake.session import workspace
 from envlake.sources.envelopes import RESOURCE
 
 REGISTRY_DDL = "path string, content string, content_hash string, returned bigint, run_id string"
+COMMIT_DDL = "number bigint, token string"
+COMMIT_ATTEMPTS = 20
 PAGINATION_DDL = (
     "struct<pages_fetched: bigint, requested_limit: bigint, found: string, "
     "pages: array<struct<page: bigint, meta: string, returned: bigint>>>"
@@ -85,13 +91,53 @@ def content_hash(content):
     return F.sha2(variants.canonical_json(content), 256)
 
 
-def read_registry(spark: SparkSession, path: str) -> DataFrame:
+def _commits(spark: SparkSession, path: str) -> DataFrame:
+    """(number, token) of every commit; a token names a folder of batches."""
+    try:
+        return spark.read.schema(COMMIT_DDL).json(f"{path}/commits")
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
+        return spark.createDataFrame([], COMMIT_DDL)
+
+
+def read_registry(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
+    """Batches of all commits, or of those up to ``number``; what no commit names is not there."""
+    live = _commits(spark, path)
+    if number is not None:
+        live = live.filter(F.col("number") <= number)
     try:
-        return spark.read.schema(REGISTRY_DDL).parquet(path)
+        rows = spark.read.schema(f"{REGISTRY_DDL}, token string").parquet(f"{path}/batches")
     except AnalysisException as error:
         if not is_missing_path(error):
             raise
         return spark.createDataFrame([], REGISTRY_DDL)
+    return rows.join(live.select("token"), "token", "left_semi").drop("token")
+
+
+def _claim(spark: SparkSession, path: str, number: int, token: str) -> bool:
+    """Make commit ``number`` name ``token``; False if another writer has made that commit.
+
+    The commit is written aside and renamed; the file system refuses a name that exists.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target = hadoop.Path(f"{path}/commits/{number:012d}.json")
+    aside = hadoop.Path(f"{path}/commits/.{token}.json")
+    files = hadoop.FileContext.getFileContext(target.toUri(), conf)
+    system = target.getFileSystem(conf)
+    stream = system.create(aside, False)
+    stream.write(json.dumps({"number": number, "token": token}).encode())
+    stream.close()
+    no_overwrite = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        files.rename(aside, target, no_overwrite)
+    except Py4JJavaError as error:
+        system.delete(aside, False)
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    return True
 
 
 def persist_run(
@@ -101,10 +147,13 @@ def persist_run(
     run_id: str,
     checkpoint_safe: bool | None = None,
 ) -> dict[str, int]:
-    """Append the new batches of a run; refuse the whole run on any conflict.
+    """Add the new batches of a run as one commit; refuse the whole run on any conflict.
 
     An incremental run passes whether its checkpoint is safe; an unsafe run is
-    refused before anything is compared or written.
+    refused before anything is compared or written. Several runs may write at once: a run
+    compares itself with a numbered state and commits the next number. If another run has
+    taken that number, it compares itself anew, so a path is registered once. A
+    run without new batches makes no commit.
     """
     if checkpoint_safe is False:
         raise InputError("The checkpoint of this run is unsafe; nothing was registered.")
@@ -112,21 +161,29 @@ def persist_run(
     staged = workspace(spark, "register")
     prepare_batches(batches).write.parquet(staged)
     prepared = spark.read.parquet(staged)
-    registry = read_registry(spark, registry_path)
-    registered = register_batches(prepared, registry)
-    totals = registration_summary(registered).first()
-    if totals.conflicts:
-        first = registered.filter("status = 'conflict'").agg(F.min("path")).first()[0]
-        raise ConflictError(f"Different content for the same raw path: {first}")
-    fresh = registered.filter("status = 'written'").select("path")
-    one_copy = (
-        prepared.join(fresh, "path", "left_semi")
-        .groupBy("path", "content_hash")
-        # Equal digests are equal content, however it is spelled.
-        .agg(F.first(F.struct("content", "returned")).alias("b"))
-        .select("path", "b.content", "content_hash", "b.returned", F.lit(run_id).alias("run_id"))
-    )
-    one_copy.write.mode("append").option("compression", "zstd").parquet(registry_path)
+    for _ in range(COMMIT_ATTEMPTS):
+        number = _commits(spark, registry_path).agg(F.max("number")).first()[0] or 0
+        registered = register_batches(prepared, read_registry(spark, registry_path, number))
+        totals = registration_summary(registered).first()
+        if totals.conflicts:
+            first = registered.filter("status = 'conflict'").agg(F.min("path")).first()[0]
+            raise ConflictError(f"Different content for the same raw path: {first}")
+        if not totals.batches_written:
+            break
+        token = uuid.uuid4().hex
+        fresh = registered.filter("status = 'written'").select("path")
+        one_copy = (
+            prepared.join(fresh, "path", "left_semi")
+            .groupBy("path", "content_hash")
+            # Equal digests are equal content, however it is spelled.
+            .agg(F.first(F.struct("content", "returned")).alias("b"))
+            .select("path", "b.content", "content_hash", "b.returned", F.lit(run_id).alias("run_id"))
+        )
+        one_copy.write.option("compression", "zstd").parquet(f"{registry_path}/batches/token={token}")
+        if _claim(spark, registry_path, number + 1, token):
+            break
+    else:
+        raise InputError(f"{COMMIT_ATTEMPTS} other runs committed first; nothing was registered.")
     return {
         "batches_written": totals.batches_written or 0,
         "batches_reused": totals.batches_reused or 0,

@@ -12,6 +12,7 @@ from envlake.errors import ConflictError, InputError, QueryArgumentError, is_mis
 from envlake.functions import instants, text
 from envlake.functions.skew import lookup_join, running_values
 from envlake.operators import acquisition, geography, routing, run_audit, serving
+from envlake.sinks import registry
 from envlake.sinks.registry import persist_run, read_registry
 
 
@@ -232,6 +233,34 @@ def test_registry(spark, tmp_path):
     assert paths == {"20260901__20260902.json", "20260901T000000Z__20260902T000000.500000Z.json"}
 
 
+def test_registry_under_two_writers(spark, tmp_path, monkeypatch):
+    """Another run commits while this one has compared itself but not committed."""
+    place = str(tmp_path / "registry")
+    claim, turns = registry._claim, []
+
+    def late(content):
+        def run(*args):
+            if not turns:
+                turns.append(args[2])
+                persist_run(spark, batch(spark, measurements=content).unionByName(batch(spark, content, sensor_id=3)), place, "other")
+            return claim(*args)
+
+        return run
+
+    monkeypatch.setattr(registry, "_claim", late('[{"a":1.0}]'))
+    own = batch(spark).unionByName(batch(spark, sensor_id=4))
+    # The path that both bring is registered once; this run reuses it.
+    assert persist_run(spark, own, place, "own") == {"batches_written": 1, "batches_reused": 1, "measurements_represented": 2}
+    rows = [(r.path.split("/")[-2], r.run_id) for r in read_registry(spark, place).collect()]
+    assert sorted(rows) == [("sensor_id=2", "other"), ("sensor_id=3", "other"), ("sensor_id=4", "own")]
+    turns.clear()
+    place = str(tmp_path / "clash")
+    monkeypatch.setattr(registry, "_claim", late('[{"a":5}]'))
+    with pytest.raises(ConflictError):
+        persist_run(spark, own, place, "own")
+    assert {r.run_id for r in read_registry(spark, place).collect()} == {"other"}
+
+
 def test_arguments():
     for bad in ("o3", "PM25", ""):
         with pytest.raises(QueryArgumentError):
