@@ -64,7 +64,7 @@ ACCEPTED_PARAMETERS = (
     "agg_location_air_quality",
     "agg_pollution_weather",
 )
-UNIQUE = {"locations": "location_id", "stg_locations": "location_id"}
+UNIQUE = ("locations", "stg_locations")
 RELATIONSHIPS = {
     "observations": "locations",
     "stg_observations": "stg_locations",
@@ -72,6 +72,8 @@ RELATIONSHIPS = {
     "fct_air_quality_observations": "stg_locations",
 }
 
+KEY_COLUMN = "location_id"
+
 # End of fixed values. --------------------------------------------------------
 
 
@@ -102,46 +104,85 @@ def relationships(child: DataFrame, parent: DataFrame, column: str) -> DataFrame
     return keys.join(parent, column, "left_anti")
 
 
-def column_tests(model: str, rows: DataFrame) -> DataFrame:
-    """All not-null and accepted-value tests of a model from one pass."""
-    checks: list[tuple[str, str, Column]] = [
-        ("not_null", name, F.col(name).isNull()) for name in NOT_NULL[model]
-    ]
-    if model in ACCEPTED_PARAMETERS:
-        outside = F.col("parameter").isNotNull() & ~F.col("parameter").isin(*PARAMETERS)
-        checks.append(("accepted_values", "parameter", outside))
-    counted = rows.agg(*(F.count_if(broken).alias(f"t{i}") for i, (_, _, broken) in enumerate(checks)))
-    results = [
-        F.struct(
-            F.lit(model).alias("model"),
-            F.lit(test).alias("test"),
-            F.lit(column).alias("column_name"),
-            F.col(f"t{i}").alias("failures"),
-        )
-        for i, (test, column, _) in enumerate(checks)
-    ]
-    return counted.select(F.inline(F.array(*results)))
+def generic_tests(relations: Mapping[str, DataFrame]) -> DataFrame:
+    """(model, test, column_name, failures) for every declared generic test.
 
+    Models that are the same relation share one scan of it. All scans meet in one
+    aggregation by relation and location, which combines before its shuffle and holds
+    what every test needs: broken cells, rows per key, and which keys a parent has.
+    No relation is joined to another; what is joined at the end are counts.
+    """
+    scans = _distinct(relations)
+    number = {model: i for i, (_, models) in enumerate(scans) for model in models}
+    checks = [_checks(models) for _, models in scans]
+    width = max(map(len, checks))
+
+    def flags(i: int) -> list[Column]:
+        found = [broken.alias(f"broken_{j}") for j, broken in enumerate(checks[i].values())]
+        return found + [F.lit(False).alias(f"broken_{j}") for j in range(len(found), width)]
+
+    seen = [rows.select(F.lit(i).alias("relation"), KEY_COLUMN, *flags(i)) for i, (rows, _) in enumerate(scans)]
+    counted = reduce(DataFrame.unionAll, seen).groupBy("relation", KEY_COLUMN).agg(
+        F.count(F.lit(1)).alias("rows"),
+        *(F.count_if(f"broken_{j}").alias(f"broken_{j}") for j in range(width)),
+    )
+    # One entry per relation, so the list is as short as the declared suite.
+    entry = F.struct("relation", "rows", F.array(*(f"broken_{j}" for j in range(width))).alias("broken"))
+    per_key = counted.groupBy(KEY_COLUMN).agg(F.collect_list(entry).alias("found"))
+    known = F.col(KEY_COLUMN).isNotNull()
+
+    def rows_of(model: str) -> Column:
+        here = F.filter("found", lambda e: e["relation"] == number[model])
+        return F.coalesce(F.get(here, F.lit(0))["rows"], F.lit(0))
+
+    key_tests = {(model, "unique"): F.when(known & (rows_of(model) > 1), 1).otherwise(0) for model in UNIQUE}
+    key_tests |= {
+        (child, "relationships"): F.when(known & (rows_of(parent) == 0), rows_of(child)).otherwise(0)
+        for child, parent in RELATIONSHIPS.items()
+    }
 
-def _summary(failures: DataFrame, model: str, test: str, column: str, counter: Column) -> DataFrame:
-    return failures.agg(F.coalesce(counter, F.lit(0)).cast("bigint").alias("failures")).select(
-        F.lit(model).alias("model"),
-        F.lit(test).alias("test"),
-        F.lit(column).alias("column_name"),
-        "failures",
+    def failure(relation: Column, place: Column, n: Column) -> Column:
+        return F.struct(relation.alias("relation"), place.alias("place"), n.cast("bigint").alias("n"))
+
+    by_row = F.flatten(F.transform("found", lambda e: F.transform(e["broken"], lambda n, place: failure(e["relation"], place, n))))
+    by_key = F.array(*(failure(F.lit(-1), F.lit(place), n) for place, n in enumerate(key_tests.values())))
+    failures = per_key.select(F.inline(F.concat(by_row, by_key))).groupBy("relation", "place").agg(F.sum("n").alias("n"))
+    # Every declared test has a line, whatever the relations hold.
+    declared = [
+        (model, test, column, number[model], place)
+        for model in NOT_NULL
+        for place, (test, column) in enumerate(checks[number[model]])
+        if column in NOT_NULL[model] and test == "not_null" or model in ACCEPTED_PARAMETERS and test == "accepted_values"
+    ]
+    declared += [(model, test, KEY_COLUMN, -1, place) for place, (model, test) in enumerate(key_tests)]
+    names = ("model", "test", "column_name", "relation", "place")
+    lines = F.array(*(F.struct(*(F.lit(value).alias(name) for name, value in zip(names, line, strict=True))) for line in declared))
+    tests = scans[0][0].sparkSession.range(1).select(F.inline(lines))
+    return tests.join(failures, ["relation", "place"], "left").select(
+        "model", "test", "column_name", F.coalesce("n", F.lit(0)).alias("failures")
     )
 
 
-def generic_tests(relations: Mapping[str, DataFrame]) -> DataFrame:
-    """(model, test, column_name, failures) for every declared generic test."""
-    results = [column_tests(model, relations[model]) for model in NOT_NULL]
-    for model, column in UNIQUE.items():
-        found = unique(relations[model], column)
-        results.append(_summary(found, model, "unique", column, F.count(F.lit(1))))
-    for model, parent in RELATIONSHIPS.items():
-        found = relationships(relations[model], relations[parent], "location_id")
-        results.append(_summary(found, model, "relationships", "location_id", F.sum("record_count")))
-    return reduce(DataFrame.unionByName, results)
+def _distinct(relations: Mapping[str, DataFrame]) -> list[tuple[DataFrame, list[str]]]:
+    """Relations with the tested models that are the same data."""
+    found: list[tuple[DataFrame, list[str]]] = []
+    for model in NOT_NULL:
+        rows = relations[model]
+        same = next((models for other, models in found if rows is other or rows.sameSemantics(other)), None)
+        if same is None:
+            found.append((rows, [model]))
+        else:
+            same.append(model)
+    return found
+
+
+def _checks(models: list[str]) -> dict[tuple[str, str], Column]:
+    """Tests of single rows that any of the models declares."""
+    checks = {("not_null", name): F.col(name).isNull() for model in models for name in NOT_NULL[model]}
+    if any(model in ACCEPTED_PARAMETERS for model in models):
+        outside = F.col("parameter").isNotNull() & ~F.col("parameter").isin(*PARAMETERS)
+        checks["accepted_values", "parameter"] = outside
+    return checks
 
 
 def natural_key_repeats(relations: Mapping[str, DataFrame]) -> DataFrame:

@@ -676,10 +676,10 @@ def _generic() -> str:
             f"SELECT '{model}', 'accepted_values', 'parameter', count(*) FILTER (WHERE parameter = 'no2') "
             f"FROM {relation.get(model, 'qt')}"
         )
-    for model, column in e.UNIQUE.items():
+    for model in e.UNIQUE:
         lines.append(
-            f"SELECT '{model}', 'unique', '{column}', count(*) FROM (SELECT {column} FROM {relation[model]} "
-            f"GROUP BY {column} HAVING count(*) > 1)"
+            f"SELECT '{model}', 'unique', 'location_id', count(*) FROM (SELECT location_id FROM {relation[model]} "
+            "GROUP BY location_id HAVING count(*) > 1)"
         )
     for model in e.RELATIONSHIPS:
         lines.append(
