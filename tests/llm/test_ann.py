@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from envlake.llm import ann
 
@@ -29,8 +30,9 @@ def by_query(rows):
     return found
 
 
-def test_recall_over_a_table(spark):
-    folder = "/root/testdata/sf0.1"
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_recall_over_a_table(spark, size):
+    folder = f"/root/testdata/{size}"
     vectors = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
     want = brute(vectors, [(i, v) for i, v in vectors if i % 20 == 0], 20)
     found = by_query(ann.op10_collision_counting(spark, folder).collect())
@@ -48,6 +50,7 @@ def test_recall_over_a_table(spark):
 def test_edge_rows(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK_ROWS", 40)
     monkeypatch.setattr(ann, "QUERY_ROWS", 3)
+    monkeypatch.setattr(ann, "SAMPLE_ROWS", 7)
     draw = np.random.default_rng(2)
     good = [(k, (draw.standard_normal(8) * (1 + k % 5)).astype(np.float32).tolist()) for k in range(100)]
     good += [(200 + k, good[20][1]) for k in range(60)]  # ties
@@ -72,3 +75,40 @@ def test_fewer_candidates_than_wanted_and_none(spark):
     # A row with the query's id is its own.
     twice = frame.unionByName(one)
     assert by_query(ann.nearest_neighbours(twice, one, 20).collect()) == {0: [(3, 2.0), (20, 0.0)]}
+
+
+def test_candidates_follow_the_distances(monkeypatch):
+    draw = np.random.default_rng(5)
+    shares = []
+    for n in (1000, 16000):
+        vectors = draw.standard_normal((n, 32))
+        vectors /= np.sqrt((vectors**2).sum(axis=1))[:, None]
+        block = ann.ProjectedBlock(np.arange(n), vectors, 1.0)
+        met = []
+        plain = np.lexsort
+        hits = 0
+        for query in range(40):
+            scores = vectors @ vectors[query]
+            scores[query] = -2
+            with monkeypatch.context() as patch:
+                patch.setattr(np, "lexsort", lambda keys: met.append(len(keys[0])) or plain(keys))
+                ids, _ = block.nearest(query, vectors[query], 20)
+            hits += len(set(ids.tolist()) & set(np.argsort(-scores)[:20].tolist()))
+        assert hits >= 0.9 * 20 * 40
+        shares.append(sum(met) / (40 * n))
+    # Sixteen times the rows give far less than sixteen times the candidates.
+    assert shares[1] < shares[0] / 2
+
+
+def test_longest_vector_far_beyond_the_others():
+    draw = np.random.default_rng(6)
+    vectors = draw.standard_normal((3000, 16))
+    vectors[0] *= 1000
+    block = ann.ProjectedBlock(np.arange(3000), vectors, float(np.sqrt((vectors**2).sum(axis=1)).max()))
+    hits = 0
+    for query in range(1, 41):
+        ids, _ = block.nearest(query, vectors[query], 20)
+        scores = vectors @ vectors[query]
+        scores[query] = -np.inf
+        hits += len(set(ids.tolist()) & set(np.argsort(-scores)[:20].tolist()))
+    assert hits >= 0.9 * 20 * 40
