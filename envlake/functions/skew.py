@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 
 def lookup_join(facts: DataFrame, dimension: DataFrame, key: str, how: str = "left") -> DataFrame:
@@ -15,56 +13,3 @@ def lookup_join(facts: DataFrame, dimension: DataFrame, key: str, how: str = "le
     split over several tasks, each with its copy of that one dimension row.
     """
     return facts.join(dimension, key, how)
-
-
-def running_values(
-    rows: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    last: dict[str, Column] | None = None,
-    first: dict[str, Column] | None = None,
-    width: int = 100_000,
-) -> DataFrame:
-    """Add, per row, the last or first non-null value strictly before it.
-
-    ``order`` is a non-negative integer, unique within a group. Groups are cut
-    into blocks of at most ``width`` rows; blocks are scanned independently and
-    the carry between blocks is a scan over one row per block. No task sees a
-    whole hot group.
-    """
-    last, first = last or {}, first or {}
-    block_keys = [*keys, "_block"]
-    blocked = rows.withColumn("_block", F.floor(F.col(order) / width).cast("bigint")).withColumns(
-        {f"_in_{name}": value for name, value in (last | first).items()}
-    )
-
-    def at_end(name: str) -> Column:
-        pick = F.max_by if name in last else F.min_by
-        return pick(f"_in_{name}", F.when(F.col(f"_in_{name}").isNotNull(), F.col(order)))
-
-    def running(name: str, column: str, window) -> Column:
-        pick = F.last if name in last else F.first
-        return pick(column, True).over(window)
-
-    names = [*last, *first]
-    ends = blocked.groupBy(*block_keys).agg(*(at_end(name).alias(f"_end_{name}") for name in names))
-    before_block = (
-        Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = ends.select(
-        *block_keys,
-        *(running(name, f"_end_{name}", before_block).alias(f"_carry_{name}") for name in names),
-    )
-    before_row = (
-        Window.partitionBy(*block_keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    inside = blocked.select(
-        "*", *(running(name, f"_in_{name}", before_row).alias(f"_near_{name}") for name in names)
-    )
-    joined = inside.join(carried, block_keys, "left")
-    # The nearer value wins for "last", the carried one for "first".
-    found = [
-        F.coalesce(*(f"_near_{name}", f"_carry_{name}")[:: 1 if name in last else -1]).alias(name)
-        for name in names
-    ]
-    return joined.select(*rows.columns, *found)

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from envlake.domain import COUNT_KEEPING_STAGE, FAILURE_SUMMARY, FIRST_STAGE, RUN_STAGES
 from envlake.functions import instants
 from envlake.functions.rules import failed
-from envlake.functions.skew import running_values
 
 RUN = ("dag_id", "run_id")
 
@@ -17,7 +16,7 @@ MODES = ("historical", "incremental")
 
 
 def with_window(events: DataFrame) -> DataFrame:
-    """Requested window of start events as instants.
+    """Requested window of start events as instants; other events have none.
 
     A date is midnight UTC; any other text must name its zone.
     """
@@ -25,7 +24,8 @@ def with_window(events: DataFrame) -> DataFrame:
     def boundary(value: Column) -> Column:
         day = instants.parse_date(value).cast("timestamp")
         historical = F.col("run_mode") == "historical"
-        return F.when(historical & day.isNotNull(), day).otherwise(instants.parse_instant(value))
+        read = F.when(historical & day.isNotNull(), day).otherwise(instants.parse_instant(value))
+        return F.when(F.col("kind") == "start", read)
 
     return events.withColumns(
         {name: boundary(F.col(name)) for name in ("requested_start", "requested_end")}
@@ -60,7 +60,69 @@ def newest_run_events(events: DataFrame, dag_id: str) -> DataFrame:
     return own.join(newest.select("run_id"), "run_id", "left_semi")
 
 
-def fold_runs(events: DataFrame) -> DataFrame:
+# What a run can be when an event meets it: not started, running, or ended either way.
+NOT_STARTED, RUNNING, SUCCEEDED, FAILED = range(4)
+
+SET_FIELDS = ("stage", "end_at", "failed_stage", "loaded")
+
+
+def _state_type(at: str) -> str:
+    """State of a run, or what a piece of its log does to one: a null wrapper says that nothing was set."""
+    return (
+        "struct<phase: int, created: struct<run_mode: string, requested_start: timestamp, requested_end: timestamp,"
+        f" location_id: bigint, at: {at}>, stage: struct<v: string>, end_at: struct<v: {at}>,"
+        " failed_stage: struct<v: string>, loaded: struct<v: bigint>, refused: bigint>"
+    )
+
+
+def _entry_state(phase: int, at: str) -> Column:
+    """A run in a phase, with nothing set; ``at`` is the type of event times."""
+    nothing = [F.lit(None).alias(name) for name in ("created", *SET_FIELDS)]
+    return F.struct(F.lit(phase).alias("phase"), *nothing, F.lit(0).alias("refused")).cast(_state_type(at))
+
+
+def _after_event(state: Column, event: Column, at_type: str) -> Column:
+    """The state that one event leaves."""
+    kind, phase = event["kind"], state["phase"]
+
+    def holding(value: Column) -> Column:
+        return F.struct(value.alias("v"))
+
+    def changed(**fields: Column) -> Column:
+        return F.struct(*(fields.get(name, state[name]).alias(name) for name in ("phase", "created", *SET_FIELDS, "refused")))
+
+    types = {"end_at": at_type, "failed_stage": "string", "loaded": "bigint"}
+    unset = {name: holding(F.lit(None).cast(type_name)) for name, type_name in types.items()}
+    created = F.struct(*(event[name].alias(name) for name in ("run_mode", "requested_start", "requested_end", "location_id", "at")))
+    kept = F.when(event["stage"] == COUNT_KEEPING_STAGE, state["loaded"]).otherwise(unset["loaded"])
+    refused = changed(refused=state["refused"] + 1)
+    at, stage = holding(event["at"]), holding(event["stage"])
+    return (
+        F.when(kind == "start", F.when(phase == NOT_STARTED, changed(phase=F.lit(RUNNING), created=created)).otherwise(state))
+        .when(phase == NOT_STARTED, refused)
+        .when(kind == "stage", changed(**{**unset, "phase": F.lit(RUNNING), "stage": stage, "loaded": kept}))
+        .when((kind == "count") & (phase == RUNNING), changed(loaded=holding(event["observations"])))
+        .when((kind == "succeed") & (phase == RUNNING), changed(phase=F.lit(SUCCEEDED), end_at=at))
+        .when((kind == "fail") & (phase == RUNNING), changed(phase=F.lit(FAILED), end_at=at, failed_stage=stage))
+        .when((kind == "succeed") & (phase == SUCCEEDED), state)
+        # The first failure ended the run; another one names its stage anew.
+        .when((kind == "fail") & (phase == FAILED), changed(failed_stage=stage))
+        .otherwise(refused)
+    )
+
+
+def _after_block(state: Column, effects: Column) -> Column:
+    """The state that a block leaves: of its effects by phase, those for the phase the run is in."""
+    effect = F.element_at(effects, state["phase"] + 1)
+    return F.struct(
+        effect["phase"].alias("phase"),
+        F.coalesce(state["created"], effect["created"]).alias("created"),
+        *(F.coalesce(effect[name], state[name]).alias(name) for name in SET_FIELDS),
+        (state["refused"] + effect["refused"]).alias("refused"),
+    )
+
+
+def fold_runs(events: DataFrame, width: int = 100_000) -> DataFrame:
     """Final state of every run that was started.
 
     events: dag_id, run_id, seq (unique per run), at, kind, stage, observations,
@@ -73,96 +135,63 @@ def fold_runs(events: DataFrame) -> DataFrame:
     * A count needs a running run. The first success or failure after a stage
       decides; the opposite one is refused until the next stage.
 
-    Only "what came before this event" needs an ordered scan, and that is done
-    in blocks. All else is max/min by sequence number, which combines on the map
-    side however many events one run has.
+    A log is cut into blocks of at most ``width`` events by sequence number. A block is
+    folded without its predecessors: for each phase that the run may be in before it, into
+    the phase afterwards and the fields it sets. Such effects compose, so a second
+    aggregation over one row per block gives the run. Events are read and shuffled once,
+    and no task holds more of a run than a block or its blocks' effects.
     """
     valid = with_window(events).filter(event_error().isNull())
-    kind, seq = F.col("kind"), F.col("seq")
-    scanned = running_values(
-        valid,
-        RUN,
-        "seq",
-        last={
-            "marker": F.when(kind.isin("stage", "succeed", "fail"), F.struct("seq", "kind")),
-            "stage_seq": F.when(kind == "stage", seq),
-        },
-        first={"started": F.when(kind == "start", seq)},
-    )
-    alive = F.col("started").isNotNull()
-    creates = (kind == "start") & ~alive
-    marker = F.when(F.col("marker.seq") > F.col("started"), F.col("marker.kind"))
-    running = alive & F.coalesce(marker == "stage", F.lit(True))
-    own_segment = F.when(kind == "stage", seq).when(
-        F.col("stage_seq") > F.col("started"), F.col("stage_seq")
+    at_type = events.schema["at"].dataType.simpleString()
+    event = F.struct(
+        F.col("seq").cast("bigint").alias("seq"),
+        "kind",
+        "stage",
+        "at",
+        F.col("observations").cast("bigint").alias("observations"),
+        "run_mode",
+        "requested_start",
+        "requested_end",
+        F.col("location_id").cast("bigint").alias("location_id"),
     )
-    enters = alive & (kind == "stage")
-    counts = running & (kind == "count")
-    ends = alive & kind.isin("succeed", "fail")
-    forgets = enters & (F.col("stage") != COUNT_KEEPING_STAGE)
-    refused = (~alive & (kind != "start")) | (alive & ~running & (kind == "count"))
-
-    def when_seq(condition: Column) -> Column:
-        return F.when(condition, seq)
-
-    # One row per run and stage entered; events before the start stand apart.
-    segments = (
-        scanned.withColumn(
-            "segment", F.when(alive | creates, F.coalesce(own_segment, F.lit(-1)))
-        )
-        .groupBy(*RUN, "segment")
-        .agg(
-            F.min_by(
-                F.struct("run_mode", "requested_start", "requested_end", "location_id", "at"),
-                when_seq(creates),
-            ).alias("created"),
-            F.max(F.when(enters, F.col("stage"))).alias("stage"),
-            F.min_by(F.struct("kind", "at"), when_seq(ends)).alias("end"),
-            F.max_by(F.struct("stage"), when_seq(ends & (kind == "fail"))).alias("last_fail"),
-            F.count_if(ends & (kind == "fail")).alias("fails"),
-            F.count_if(ends & (kind == "succeed")).alias("successes"),
-            F.max(when_seq(counts | forgets)).alias("changed_seq"),
-            F.max_by(
-                F.struct(F.when(kind == "count", F.col("observations")).alias("n")),
-                when_seq(counts | forgets),
-            ).alias("loaded"),
-            F.count_if(refused).alias("refused"),
+    entries = F.array(*(_entry_state(phase, at_type) for phase in (NOT_STARTED, RUNNING, SUCCEEDED, FAILED)))
+    blocks = (
+        valid.groupBy(*RUN, F.floor(F.col("seq") / width).cast("bigint").alias("block"))
+        .agg(F.sort_array(F.collect_list(event)).alias("events"))
+        .select(
+            *RUN,
+            "block",
+            F.aggregate(
+                "events", entries, lambda states, e: F.transform(states, lambda state: _after_event(state, e, at_type))
+            ).alias("effects"),
         )
     )
-    # Terminal events of the kind that did not come first were refused as well.
-    overruled = F.when(F.col("end.kind") == "succeed", F.col("fails")).otherwise(F.col("successes"))
     runs = (
-        segments.withColumn(
-            "refused", F.col("refused") + F.when(F.col("end").isNull(), 0).otherwise(overruled)
+        blocks.groupBy(*RUN)
+        .agg(F.sort_array(F.collect_list(F.struct("block", "effects"))).alias("blocks"))
+        .select(
+            *RUN,
+            F.aggregate(
+                "blocks", _entry_state(NOT_STARTED, at_type), lambda state, block: _after_block(state, block["effects"])
+            ).alias("final"),
         )
-        .groupBy(*RUN)
-        .agg(
-            F.max("created").alias("created"),
-            F.max_by(F.struct("stage", "end", "last_fail"), "segment").alias("final"),
-            F.max_by("loaded", "changed_seq").alias("loaded"),
-            F.sum("refused").alias("refused_events"),
-        )
-        .filter("created IS NOT NULL")
-    )
-    stage = F.coalesce("final.stage", F.lit(FIRST_STAGE))
-    status = (
-        F.when(F.col("final.end.kind") == "succeed", "succeeded")
-        .when(F.col("final.end.kind") == "fail", "failed")
-        .otherwise("running")
+        .filter("final.created IS NOT NULL")
     )
-    has_failed = F.col("final.end.kind") == "fail"
+    stage = F.coalesce("final.stage.v", F.lit(FIRST_STAGE))
+    phase = F.col("final.phase")
+    has_failed = phase == FAILED
     return runs.select(
         *RUN,
-        "created.run_mode",
-        "created.requested_start",
-        "created.requested_end",
-        "created.location_id",
-        status.alias("status"),
+        "final.created.run_mode",
+        "final.created.requested_start",
+        "final.created.requested_end",
+        "final.created.location_id",
+        F.when(phase == SUCCEEDED, "succeeded").when(has_failed, "failed").otherwise("running").alias("status"),
         stage.alias("current_stage"),
-        F.when(has_failed, F.coalesce("final.last_fail.stage", stage)).alias("failed_stage"),
-        F.col("created.at").alias("started_at"),
-        F.col("final.end.at").alias("finished_at"),
-        F.col("loaded.n").alias("observations_loaded"),
+        F.when(has_failed, F.coalesce("final.failed_stage.v", stage)).alias("failed_stage"),
+        F.col("final.created.at").alias("started_at"),
+        F.col("final.end_at.v").alias("finished_at"),
+        F.col("final.loaded.v").alias("observations_loaded"),
         F.when(has_failed, FAILURE_SUMMARY).alias("error_summary"),
-        "refused_events",
+        F.col("final.refused").alias("refused_events"),
     )

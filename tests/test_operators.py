@@ -10,27 +10,12 @@ from pyspark.sql import functions as F
 from envlake.domain import RUN_STAGES
 from envlake.errors import ConflictError, InputError, QueryArgumentError, is_missing_path
 from envlake.functions import instants, text
-from envlake.functions.skew import lookup_join, running_values
+from envlake.functions.skew import lookup_join
 from envlake.operators import acquisition, geography, routing, run_audit, serving
 from envlake.sinks import registry
 from envlake.sinks.registry import persist_run, read_registry
 
 
-def test_running_values_cross_blocks(spark):
-    rng = random.Random(7)
-    rows = [(k, i, rng.choice([None, "a", "b", "c"])) for k in range(3) for i in range(60)]
-    frame = spark.createDataFrame(rows, "k int, i bigint, v string")
-    found = running_values(frame, ["k"], "i", last={"near": F.col("v")}, first={"far": F.col("v")}, width=7)
-    expected = set()
-    for k in range(3):
-        seen = []
-        for _, i, v in (r for r in rows if r[0] == k):
-            expected.add((k, i, seen[-1] if seen else None, seen[0] if seen else None))
-            if v is not None:
-                seen.append(v)
-    assert {(r.k, r.i, r.near, r.far) for r in found.collect()} == expected
-
-
 def test_lookup_join_keeps_one_copy_of_the_dimension(spark):
     facts = spark.range(200).withColumn("k", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 9))
     dim = spark.createDataFrame([(i, f"n{i}") for i in range(5)], "k bigint, n string")
@@ -127,7 +112,8 @@ def brute_force_run(events):
     return run, refused
 
 
-def test_run_fold_equals_brute_force(spark):
+@pytest.mark.parametrize("width", [1, 4, 100_000])
+def test_run_fold_equals_brute_force(spark, width):
     rng = random.Random(3)
     rows, expected = [], {}
     for r in range(60):
@@ -152,9 +138,12 @@ def test_run_fold_equals_brute_force(spark):
     )
     found = {
         r.run_id: (r.status, r.current_stage, r.failed_stage, r.finished_at, r.observations_loaded, r.started_at, r.refused_events)
-        for r in run_audit.fold_runs(frame).collect()
+        for r in run_audit.fold_runs(frame, width).collect()
     }
     assert found == expected
+    assert run_audit.fold_runs(frame.limit(0)).collect() == []
+    plan = run_audit.fold_runs(frame)._jdf.queryExecution().executedPlan().toString()
+    assert not any(name in plan for name in ("SortAggregate", "Window", "Join"))
 
 
 def test_page_audit(spark):
