@@ -1,8 +1,8 @@
 """Stupid-backoff scores of whole texts, by joins of n-gram count tables.
 
 Words are as in the near-duplicate operator: A to Z lower-cased, cut at white space. The
-model counts words and word pairs of the documents it is fitted on, and has the pairs that
-occur ``LEAST_PAIRS`` times or more. A pair (u, w) scores c(u w) / c(u) if the model has
+model counts words and word pairs of the documents it is fitted on, and has them all; a
+caller may leave out pairs that occur less than ``least`` times. A pair (u, w) scores c(u w) / c(u) if the model has
 it, else 0.4 c(w) / N; the first word of a text scores c(w) / N; a word that the model
 lacks counts once. The score of a text is the mean of the natural logarithms over all its
 words.
@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from envlake.llm.tables import SPACE_CLASS, read_table, small_batches, written
 
 BACKOFF = 0.4
-LEAST_PAIRS = 2
+LEAST_PAIRS = 1
 HOT_SHARE = 0.001
 # Words a task gathers before it sends their pairs on, and pairs per partition of the tables.
 FLUSH_WORDS = 1 << 21
