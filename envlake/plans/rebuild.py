@@ -1,4 +1,4 @@
-"""The whole build from raw files to marts, over files written from the driver tables."""
+"""The whole build from raw documents to marts, over bundles of documents written from the driver tables."""
 
 from __future__ import annotations
 
@@ -14,26 +14,16 @@ from envlake.plans.driver_tables import DriverTables, latitude_of, longitude_of
 from envlake.plans.pipeline import MARTS, Pipeline
 from envlake.session import workspace
 from envlake.sinks.exports import write_processed_csv
-from envlake.sources.envelopes import RAW_SUBDIR
+from envlake.sources.bundles import write_bundles
+from envlake.sources.envelopes import RAW_BUNDLES
 from envlake.sources.tables import read_processed_csv
-from envlake.sources.weather import WEATHER_SUBDIR
-
-ENVELOPE_MEMBERS = ("source", "resource", "schema_version", "retrieval", "source_meta", "measurements")
-WEATHER_MEMBERS = ("schema_version", "source", "request", "response")
-
-
-def land(files: DataFrame, members: tuple[str, ...], folder: str) -> None:
-    """Write every content as a JSON file of its own."""
-    document = files.select(F.parse_json("content").alias("d"))
-    parts = [F.try_variant_get("d", f"$.{name}", "variant").alias(name) for name in members]
-    document.select(*parts).write.mode("append").option("maxRecordsPerFile", 1).json(folder)
-
+from envlake.sources.weather import WEATHER_BUNDLES
 
 def _build(t: DriverTables) -> tuple[Pipeline, str]:
-    """Raw files, weather files and configuration below a new folder, and the finished build."""
+    """Raw documents, weather documents and configuration below a new folder, and the finished build."""
     folder = workspace(t.spark, "build")
-    land(t.envelopes(nanoseconds=False), ENVELOPE_MEMBERS, f"{folder}/raw/{RAW_SUBDIR}")
-    land(t.weather_files(faults=False), WEATHER_MEMBERS, f"{folder}/weather/{WEATHER_SUBDIR}")
+    write_bundles(t.envelopes(nanoseconds=False), f"{folder}/raw/{RAW_BUNDLES}")
+    write_bundles(t.weather_files(faults=False), f"{folder}/weather/{WEATHER_BUNDLES}")
     place = F.col("id")
     sites = t.configured.withColumns({"latitude": latitude_of(place), "longitude": longitude_of(place)})
     sites.agg(F.sort_array(F.collect_list(F.struct("*"))).alias("locations")).coalesce(1).write.json(f"{folder}/config")
@@ -92,7 +82,7 @@ def build_report(t: DriverTables) -> DataFrame:
     names = ("processed", "curated", "enriched", "warehouse", "marts")
     before = {name: store.current_version(name) for name in names}
     broken = t.weather_files(faults=False).orderBy("path").limit(1).withColumn("content", F.replace("content", F.lit('"GMT"'), F.lit('"CET"')))
-    land(broken, WEATHER_MEMBERS, f"{folder}/weather/{WEATHER_SUBDIR}")
+    write_bundles(broken, f"{folder}/weather/{WEATHER_BUNDLES}")
     try:
         pipeline.enrich(f"{folder}/weather")
         outcome = "accepted"

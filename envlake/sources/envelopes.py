@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from envlake.domain import SCHEMA_VERSION, SOURCE
-from envlake.errors import InputError, is_missing_path
+from envlake.errors import InputError
 from envlake.functions import instants, text, variants
 from envlake.functions.rules import failed
+from envlake.sources.bundles import read_documents
 
 # Place and kind of the landed batches.
 RAW_SUBDIR = "openaq/measurements"
+RAW_BUNDLES = "openaq/bundles"
 RESOURCE = "measurements"
 REQUIRED_RETRIEVAL = (
     "location_id",
@@ -37,24 +38,16 @@ ENVELOPE_STRUCT = (
 
 
 def read_raw_files(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """(path, content) of every landed batch below ``raw_dir``.
+    """(path, content) of every landed batch below ``raw_dir``, in files of its own or in bundles.
 
     One file is one JSON document, so one row; small files share a task.
     """
-    try:
-        files = spark.read.text(
-            f"{raw_dir.rstrip('/')}/{RAW_SUBDIR}",
-            wholetext=True,
-            recursiveFileLookup=True,
-            pathGlobFilter="*.json",
-        )
-    except AnalysisException as missing:
-        if not is_missing_path(missing):
-            raise
-        raise InputError(f"No measurement batches found below {RAW_SUBDIR}.") from missing
-    return files.select(
-        relative_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("content")
-    )
+    root = raw_dir.rstrip("/")
+    path = relative_path(F.col("_metadata.file_path"))
+    files = read_documents(spark, f"{root}/{RAW_SUBDIR}", f"{root}/{RAW_BUNDLES}", path)
+    if files is None:
+        raise InputError(f"No measurement batches found below {RAW_SUBDIR}.")
+    return files
 
 
 def relative_path(path: Column) -> Column:

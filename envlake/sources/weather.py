@@ -12,24 +12,26 @@ from envlake.domain import (
     WEATHER_VARIABLES,
     WEATHER_ZONES,
 )
+from envlake.errors import InputError
 from envlake.functions import rules, variants
 from envlake.functions.plans import compute_once
 from envlake.operators.geography import in_bounds
+from envlake.sources.bundles import read_documents
 
 WEATHER_SUBDIR = "open_meteo/hourly"
+WEATHER_BUNDLES = "open_meteo/bundles"
 
 HOUR_TEXT = r"^\d{4}-\d{2}-\d{2}T\d{2}:00(:00(\.0+)?)?(Z|[+-]00:?00)?$"
 
 
 def read_weather_files(spark: SparkSession, weather_dir: str) -> DataFrame:
-    """(path, content) of every cached weather response."""
-    files = spark.read.text(
-        f"{weather_dir.rstrip('/')}/{WEATHER_SUBDIR}",
-        wholetext=True,
-        recursiveFileLookup=True,
-        pathGlobFilter="*.json",
-    )
-    return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
+    """(path, content) of every cached weather response, in files of its own or in bundles."""
+    root = weather_dir.rstrip("/")
+    path = F.col("_metadata.file_path")
+    files = read_documents(spark, f"{root}/{WEATHER_SUBDIR}", f"{root}/{WEATHER_BUNDLES}", path)
+    if files is None:
+        raise InputError(f"No weather responses found below {WEATHER_SUBDIR}.")
+    return files
 
 
 def parse_weather(files: DataFrame) -> DataFrame:
