@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from envlake.domain import IDENTITY, KEY, NANO_COLUMNS, OBSERVATION_COLUMNS, PARAMETERS
@@ -13,25 +15,34 @@ PAYLOAD = tuple(
     name for name in (*OBSERVATION_COLUMNS, *NANO_COLUMNS) if name not in IDENTITY
 )
 
+# Columns of the kept copies that the quality report reads.
+REPORTED = ("unit", "value")
+
 
-def collapse(normalized: DataFrame) -> DataFrame:
+def collapse(normalized: DataFrame, payload: Sequence[str] = PAYLOAD) -> DataFrame:
     """One row per identity, plus one row per rejection reason.
 
     A single aggregation yields the kept rows, the conflicts and every count of
     the quality report. Copies combine before the shuffle, so neither an often
     repeated identity nor a common reason loads one task. The kept copy is the
     first in path order, then in position.
+
+    Wide rows are sorted, so a reader of few columns names them in ``payload``. Rows that
+    were normalized without signature are collapsed without telling conflicts.
     """
+    signed = "signature" in normalized.columns
     order = F.struct(path_parts(F.col("source_file")), F.coalesce("position", F.lit(-1)))
-    kept = F.struct(*PAYLOAD, "envelope_error", "signature", order.alias("source_order"))
+    signature = ("signature",) if signed else ()
+    kept = F.struct(*payload, "envelope_error", *signature, order.alias("source_order"))
+    extremes = [F.min("signature").alias("lowest_signature"), F.max("signature").alias("highest_signature")] if signed else []
+    conflicting = [(F.col("lowest_signature") != F.col("highest_signature")).alias("conflicting")] if signed else []
     return (
         normalized.groupBy("reject_reason", *IDENTITY)
         .agg(
             F.count(F.lit(1)).alias("copies"),
             # A file shows up once as its record 0 or as its marker row.
             F.count_if(F.coalesce("position", F.lit(0)) == 0).alias("files"),
-            F.min("signature").alias("lowest_signature"),
-            F.max("signature").alias("highest_signature"),
+            *extremes,
             F.min_by(kept, order).alias("kept"),
         )
         .select(
@@ -39,7 +50,7 @@ def collapse(normalized: DataFrame) -> DataFrame:
             *IDENTITY,
             "copies",
             "files",
-            (F.col("lowest_signature") != F.col("highest_signature")).alias("conflicting"),
+            *conflicting,
             "kept.*",
         )
     )

@@ -260,7 +260,7 @@ def normalized_rows(t: DriverTables) -> DataFrame:
 
 @query
 def dedup_rows(t: DriverTables) -> DataFrame:
-    return dedup.processed_rows(dedup.collapse(_normalized(t)))
+    return dedup.processed_rows(dedup.collapse(_normalized(t, with_signature=False)))
 
 
 @query
