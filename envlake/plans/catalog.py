@@ -270,7 +270,8 @@ def conflict_keys(t: DriverTables) -> DataFrame:
 
 @query
 def quality_report(t: DriverTables) -> DataFrame:
-    return dedup.report_lines(dedup.quality_report(dedup.collapse(_normalized(t))))
+    collapsed = dedup.collapse(_normalized(t, with_signature=False), dedup.REPORTED)
+    return dedup.report_lines(dedup.quality_report(collapsed))
 
 
 @query
