@@ -414,9 +414,9 @@ def scan_by_name(t: DriverTables) -> DataFrame:
     folder = workspace(t.spark, "scan")
     for name, parts in t.drifted_enriched().items():
         for rows in parts:
-            # Only the folder with model types is partitioned by day.
+            # Only the folder with model types is partitioned by day. Large partitions take several tasks.
             by = PARTITIONS if name == "named" else PARTITIONS[:1]
-            rows.repartition(*by).write.mode("append").partitionBy(*by).parquet(f"{folder}/{name}")
+            rows.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(f"{folder}/{name}")
     rows = tables.read_enriched(t.spark, f"{folder}/named", f"{folder}/other", extra=("event_id",))
     return rows.select(
         "event_id", "cast_error", "location_id", "sensor_id", "parameter", "parameter_id", "unit", "value",
