@@ -11,13 +11,13 @@ share a word are linked to the smallest, so a group of n copies makes n links.
 Null and empty texts have fingerprint zero and are linked like any other; repeated rows
 and equal texts share a fingerprint. An empty table gives an empty result.
 
-Near copies of the pipeline (``similar_groups``) are wider than two bits can reach; their
-shingle sets are joined exactly.
+Near copies of the pipeline (``near_groups``) are linked by these fingerprints, and beyond
+what two bits can reach by an exact join of shingle sets; groups of both are united.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ SEGMENT_BITS = 2
 PIECE = 255 << 5
 # Ids that are broadcast to the texts: eight megabytes at most.
 BROADCAST_IDS = 1 << 20
+# Fingerprints whose cells one task makes.
+TASK_ROWS = 1 << 16
 
 
 def _signed(value: int) -> int:
@@ -73,16 +75,18 @@ def text_fingerprint(text: str | None, width: int) -> int:
     return int(_majority(hashes[:, None])[0]) if len(hashes) else 0
 
 
-def fingerprints(documents: DataFrame, width: int) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row as a signed 64-bit integer."""
+def fingerprints(documents: DataFrame, width: int, ids: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """(doc_id, fp): the fingerprint of every row as a signed 64-bit integer, beside its ``ids``."""
     small_batches(documents.sparkSession)
+    names = [*ids, "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_signed(text_fingerprint(text.as_py(), width)) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
+            found = [_signed(text_fingerprint(text.as_py(), width)) for text in batch.column(len(names) - 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.int64())], names)
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    kept = [F.col(name).cast("bigint").alias(name) for name in ids]
+    return documents.select(*kept, "text").mapInArrow(run, ", ".join(f"{name} bigint" for name in names))
 
 
 def _lanes(segment_bits: int) -> list[int]:
@@ -121,28 +125,35 @@ def _words(fp: Column) -> Column:
 
 
 def links(distinct: DataFrame, segment_bits: int = SEGMENT_BITS) -> DataFrame:
-    """Links (u, v) that join all fingerprints (fp) within 2 bits of each other."""
+    """Links (u, v) that join all fingerprints (fp), each given once, within 2 bits of each other."""
     cells = distinct.select("fp", F.explode(_cells(F.col("point"), segment_bits)).alias("cell"))
-    shared = cells.groupBy("cell").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a <> b").select("cell")
-    near = cells.join(shared, "cell", "left_semi").select("fp").distinct()
+    # The cells of a fingerprint differ, so one counted twice is reached by two. Their list is
+    # written: the cells travel once, and a short list goes to them.
+    shared = written(cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1").select("cell"), "simhash-cells")
+    near = written(cells.join(_small_or_shuffled(shared), "cell", "left_semi").select("fp").distinct(), "simhash-near")
     words = near.select("fp", F.explode(_words(F.col("fp"))).alias("word"))
     hubs = words.groupBy("word").agg(F.min("fp").alias("hub"), F.max("fp").alias("last")).filter("hub <> last").select("word", "hub")
     return words.join(hubs, "word").filter("fp <> hub").select(F.col("fp").alias("u"), F.col("hub").alias("v")).distinct()
 
 
+def _rooted(rows: DataFrame, segment_bits: int) -> DataFrame:
+    """(fp, root) of every distinct fingerprint of written rows: the smallest one reachable by links."""
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // TASK_ROWS))
+    # A fingerprint has tens of cells: few rows are much work.
+    distinct = written(rows.select("fp").distinct().repartition(tasks), "simhash-distinct")
+    roots = components(links(distinct.select("fp", grid_point(F.col("fp"), segment_bits).alias("point")), segment_bits))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(documents: DataFrame, width: int = 3, segment_bits: int = SEGMENT_BITS) -> DataFrame:
     """One row per row of documents: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id)."""
     if segment_bits not in (2, 4, 8):
         raise ValueError("segment_bits must be 2, 4 or 8")
     rows = written(fingerprints(documents, width), "simhash-fingerprints")
-    groups = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    distinct = groups.select("fp", grid_point(F.col("fp"), segment_bits).alias("point"))
-    roots = components(links(distinct, segment_bits))
-    rooted = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
-    firsts = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    membership = rooted.join(firsts, "root").select("fp", "component_id")
+    firsts = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    rooted = firsts.join(_rooted(rows, segment_bits), "fp")
+    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    membership = rooted.join(least, "root").select("fp", "component_id")
     return rows.join(membership, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
@@ -156,8 +167,7 @@ def _small_or_shuffled(ids: DataFrame) -> DataFrame:
 def similar_groups(documents: DataFrame, width: int = 5) -> DataFrame:
     """(doc_id, component_id) per row: groups linked at a similarity of 0.8 of the sets of shingles.
 
-    Two differing bits lie far below that similarity, so the links are those of the exact
-    join of sets. Rows without words are one group.
+    The links are those of the exact join of sets. Rows without words are one group.
     """
     groups = written(overlap.joined(documents, width), "simhash-similar")
     wordless = groups.filter("n_shingles = 0").agg(F.min("doc_id")).first()[0]
@@ -166,13 +176,34 @@ def similar_groups(documents: DataFrame, width: int = 5) -> DataFrame:
     )
 
 
+def near_groups(documents: DataFrame, width: int = 5) -> DataFrame:
+    """(doc_id, component_id) per row: groups linked by fingerprints, or at a similarity of 0.8 of the sets of shingles.
+
+    Fingerprints within 2 bits are linked as in ``near_duplicates``. Most texts at a similarity
+    of 0.8 differ in more, so the exact join of sets adds its links, and groups that share a row
+    are one. A row is known by id and text: neither rows that repeat an id nor those without id
+    link what their texts do not. Rows without words have fingerprint zero and are one group.
+    """
+    keyed = documents.select(F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text")).alias("row_key"), "doc_id", "text")
+    rows = written(fingerprints(keyed, 3, ("row_key", "doc_id")), "simhash-fingerprints")
+    by_print = rows.join(_rooted(rows, SEGMENT_BITS), "fp").select("row_key", "doc_id", "root")
+    by_set = similar_groups(keyed.select(F.col("row_key").alias("doc_id"), "text"), width)
+    by_set = by_set.select(F.col("doc_id").alias("row_key"), F.col("component_id").alias("part")).distinct()
+    rows = written(by_print.join(by_set, "row_key"), "simhash-both")
+    hubs = rows.groupBy("root").agg(F.min("part").alias("hub"), F.max("part").alias("last")).filter("hub <> last")
+    united = components(rows.join(hubs, "root").filter("part <> hub").select(F.col("part").alias("u"), F.col("hub").alias("v")))
+    rows = rows.join(united.select(F.col("node").alias("part"), F.col("root").alias("root_of")), "part", "left").select("doc_id", F.coalesce("root_of", "part").alias("part"))
+    least = rows.groupBy("part").agg(F.min("doc_id").alias("component_id"))
+    return written(rows.join(least, "part").select("doc_id", "component_id"), "simhash-groups")
+
+
 def drop_near_duplicates(documents: DataFrame, width: int = 5) -> DataFrame:
     """Documents without near copies: of each group the row with the smallest doc_id stays.
 
     Of rows that repeat an id and its text, one stays. Rows without id go if every one of
     them has a copy with an id, else they stay, equal texts once.
     """
-    groups = similar_groups(documents, width)
+    groups = near_groups(documents, width)
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
     per_id = written(groups.groupBy("doc_id").agg(F.max(stays).alias("stays"), F.count("*").alias("n")), "simhash-ids")
     name = free_name("other_id", documents.columns)

@@ -140,6 +140,25 @@ def test_similar_groups_link_what_is_similar(spark):
             assert any((min(doc, o), max(doc, o)) in linked for o in found if o != doc and found[o] == group)
 
 
+def test_near_groups_link_fingerprints_whatever_the_sets_share(spark):
+    """Few common words in another order: equal fingerprints at times, but sets of 5-word shingles below 0.8."""
+    draw = random.Random(29)
+    table, prints = [], {}
+    while len(table) < 6:
+        text = " ".join(["a b c"] * 60 + draw.choices(["x", "y", "z"], k=draw.randint(8, 20)))
+        mine = simhash.text_fingerprint(text, 3)
+        near = [doc for doc, other in prints.items() if (mine ^ other).bit_count() <= 2]
+        if near or not table:
+            prints[len(table)] = mine
+            table.append((len(table), text))
+    assert len(set(jaccard_groups(table).values())) > 1
+    table += [(7, "quite another text"), (8, "of five words and one"), (7, table[0][1]), (None, table[1][1]), (None, "no id here at all")]
+    frame = spark.createDataFrame(table, "doc_id bigint, text string").repartition(3)
+    found = sorted(((r.doc_id, r.component_id) for r in simhash.near_groups(frame).collect()), key=str)
+    want = [(doc, 0) for doc in range(6)] + [(7, 7), (8, 8), (7, 0), (None, 0), (None, None)]
+    assert found == sorted(want, key=str)
+
+
 def jaccard_groups(table, width=5, similarity=0.8):
     """Smallest doc_id reachable per doc by links of exact Jaccard similarity."""
     sets = {doc: {" ".join(text.split()[k : k + width]) for k in range(max(1, len(text.split()) - width + 1))} for doc, text in table}
