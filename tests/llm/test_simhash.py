@@ -157,6 +157,7 @@ def test_near_groups_link_fingerprints_whatever_the_sets_share(spark):
     found = sorted(((r.doc_id, r.component_id) for r in simhash.near_groups(frame).collect()), key=str)
     want = [(doc, 0) for doc in range(6)] + [(7, 7), (8, 8), (7, 0), (None, 0), (None, None)]
     assert found == sorted(want, key=str)
+    assert {row.doc_id for row in simhash.drop_near_duplicates(frame).collect()}.isdisjoint(range(1, 6))
 
 
 def jaccard_groups(table, width=5, similarity=0.8):
