@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from envlake.llm import overlap
-from envlake.llm.components import components
+from envlake.llm.components import contracted_components
 from envlake.llm.tables import free_name, read_table, small_batches, written
 
 SEED = 42
@@ -141,7 +141,8 @@ def _rooted(rows: DataFrame, segment_bits: int) -> DataFrame:
     tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // TASK_ROWS))
     # A fingerprint has tens of cells: few rows are much work.
     distinct = written(rows.select("fp").distinct().repartition(tasks), "simhash-distinct")
-    roots = components(links(distinct.select("fp", grid_point(F.col("fp"), segment_bits).alias("point")), segment_bits))
+    found = links(distinct.select("fp", grid_point(F.col("fp"), segment_bits).alias("point")), segment_bits)
+    roots = written(contracted_components(written(found, "simhash-links")), "simhash-roots")
     return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
@@ -191,7 +192,8 @@ def near_groups(documents: DataFrame, width: int = 5) -> DataFrame:
     by_set = by_set.select(F.col("doc_id").alias("row_key"), F.col("component_id").alias("part")).distinct()
     rows = written(by_print.join(by_set, "row_key"), "simhash-both")
     hubs = rows.groupBy("root").agg(F.min("part").alias("hub"), F.max("part").alias("last")).filter("hub <> last")
-    united = components(rows.join(hubs, "root").filter("part <> hub").select(F.col("part").alias("u"), F.col("hub").alias("v")))
+    shared = rows.join(hubs, "root").filter("part <> hub").select(F.col("part").alias("u"), F.col("hub").alias("v")).distinct()
+    united = written(contracted_components(written(shared, "simhash-shared")), "simhash-united")
     rows = rows.join(united.select(F.col("node").alias("part"), F.col("root").alias("root_of")), "part", "left").select("doc_id", F.coalesce("root_of", "part").alias("part"))
     least = rows.groupBy("part").agg(F.min("doc_id").alias("component_id"))
     return written(rows.join(least, "part").select("doc_id", "component_id"), "simhash-groups")

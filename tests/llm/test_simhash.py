@@ -7,7 +7,7 @@ import random
 import pytest
 import xxhash
 
-from envlake.llm import overlap, simhash
+from envlake.llm import components as components_module, overlap, simhash
 from envlake.llm.components import components
 
 DOCS = "doc_id bigint, text string, source string"
@@ -160,6 +160,28 @@ def test_near_groups_link_fingerprints_whatever_the_sets_share(spark):
     assert {row.doc_id for row in simhash.drop_near_duplicates(frame).collect()}.isdisjoint(range(1, 6))
 
 
+@pytest.mark.parametrize("edges", [1 << 20, 4])
+def test_fingerprint_links_are_contracted_by_tasks_first(spark, monkeypatch, edges):
+    """Links of one task need no alternating rounds, and several tasks' give the same groups."""
+    rounds, plain = [], components_module.components
+
+    def counted(found):
+        rounds.append(1)
+        return plain(found)
+
+    monkeypatch.setattr(components_module, "components", counted)
+    monkeypatch.setattr(simhash, "components", counted, raising=False)
+    monkeypatch.setattr(components_module, "TASK_EDGES", edges)
+    # A chain, each within two bits of the next; far from it a pair and a single one.
+    chain = [sum(1 << 2 * bit for bit in range(k)) for k in range(20)]
+    others = [0x0FFF << 48, 0x0FFE << 48, 0xFFFF << 46]
+    rows = spark.createDataFrame([(fp,) for fp in chain + others], "fp bigint").repartition(6)
+    found = {r.fp: r.root for r in simhash._rooted(rows, 2).collect()}
+    want = [0] * len(chain) + [others[1], others[1], others[2]]
+    assert found == dict(zip(chain + others, want, strict=True))
+    assert bool(rounds) == (edges < 10)
+
+
 def jaccard_groups(table, width=5, similarity=0.8):
     """Smallest doc_id reachable per doc by links of exact Jaccard similarity."""
     sets = {doc: {" ".join(text.split()[k : k + width]) for k in range(max(1, len(text.split()) - width + 1))} for doc, text in table}
